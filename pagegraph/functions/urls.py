@@ -1,14 +1,13 @@
 """URL resolution and canonical form as Catalyst expressions.
 
+Functions take column names or other SQL text and give a ``Column`` of built-ins.
 A URL is split with the pattern of RFC 3986 appendix B. Every step binds its
 result with ``transform``, so no part is worked out twice for one URL, and the
-expression stays small enough to plan quickly.
+whole is handed to Spark as one text, so a plan over it is quick to build.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -48,235 +47,196 @@ _IPV6 = (
 _BRACKETED = rf"(?i)^[^\[]*\[(?:v[0-9a-f]+\.[^\]]+|{_IPV6}(?:%[^%\]]+)?)\]"
 
 
-def bound(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use(value)`` with ``value`` worked out once."""
-    return F.transform(F.array(value), use).getItem(0)
-
-
-def _cleaned(url: Column) -> Column:
-    return F.regexp_replace(url, r"^[\x00-\x20]+|[\t\r\n]", "")
-
-
-def _scheme(url: Column) -> Column:
-    return F.lower(F.regexp_extract(url, _UP_TO_NETLOC, 1))
 
 
-def _authority(url: Column) -> Column:
-    return F.regexp_extract(url, _UP_TO_NETLOC, 2)
+def _quoted(values: tuple[str, ...]) -> str:
+    return ", ".join(f"'{value}'" for value in values)
 
 
-def _path(url: Column) -> Column:
-    return F.regexp_extract(url, _UP_TO_PATH, 3)
+def _bound(value: str, name: str, use: str) -> str:
+    """SQL of ``use`` with ``name`` standing for ``value``, worked out once."""
+    return f"transform(array({value}), {name} -> {use})[0]"
 
 
-def _query(url: Column) -> Column:
-    return F.regexp_extract(url, _UP_TO_QUERY, 1)
+def _cleaned(url: str) -> str:
+    return rf"regexp_replace({url}, r'^[\x00-\x20]+|[\t\r\n]', '')"
 
 
-def _split(cleaned: Column) -> Column:
-    return F.struct(
-        _scheme(cleaned).alias("scheme"),
-        _authority(cleaned).alias("netloc"),
-        _path(cleaned).alias("path"),
-        _query(cleaned).alias("query"),
+def _split(url: str) -> str:
+    """Scheme, host, path with parameters, and query of a cleaned URL."""
+    return (
+        f"named_struct('scheme', lower(regexp_extract({url}, r'{_UP_TO_NETLOC}', 1)),"
+        f" 'netloc', regexp_extract({url}, r'{_UP_TO_NETLOC}', 2),"
+        f" 'path', regexp_extract({url}, r'{_UP_TO_PATH}', 3),"
+        f" 'query', if(contains({url}, '?'), regexp_extract({url}, r'{_UP_TO_QUERY}', 1), ''))"
     )
 
 
-def _is_bad_netloc(netloc: Column) -> Column:
+def _is_bad_netloc(netloc: str) -> str:
     """Brackets that hold no IP literal, or a character that hides a delimiter."""
-    bracket = F.contains(netloc, F.lit("[")) | F.contains(netloc, F.lit("]"))
-    return (bracket & ~F.rlike(netloc, F.lit(_BRACKETED))) | F.rlike(
-        netloc, F.lit(f"[{HIDDEN_DELIMITERS}]")
+    return (
+        f"({netloc} <> '' and ((({netloc} like '%[%' or {netloc} like '%]%')"
+        f" and not {netloc} rlike r'{_BRACKETED}') or {netloc} rlike r'[{HIDDEN_DELIMITERS}]'))"
     )
 
 
-def _without_params(scheme: Column, path: Column) -> Column:
-    cut = F.regexp_replace(path, r";[^/]*\z", "")
-    return F.when(scheme.isin(*PARAM_SCHEMES), cut).otherwise(path)
+def _without_params(scheme: str, path: str) -> str:
+    cut = rf"regexp_replace({path}, r';[^/]*\z', '')"
+    return f"if(contains({path}, ';') and {scheme} in ({_quoted(PARAM_SCHEMES)}), {cut}, {path})"
 
 
-def strip_default_port(scheme: Column, netloc: Column) -> Column:
-    stripped = netloc
-    for known, port in DEFAULT_PORTS.items():
-        without = F.regexp_replace(netloc, rf"{port}\z", "")
-        stripped = F.when(scheme == known, without).otherwise(stripped)
-    return stripped
+def _without_default_port(scheme: str, netloc: str) -> str:
+    cases = " ".join(
+        f"when {scheme} = '{known}' and endswith({netloc}, '{port}')"
+        f" then left({netloc}, length({netloc}) - {len(port)})"
+        for known, port in DEFAULT_PORTS.items()
+    )
+    return f"case {cases} else {netloc} end"
 
 
-def normalize_path(path: Column) -> Column:
+def _plain_path(path: str) -> str:
     """Root for an empty path; one trailing slash less for any other."""
-    return F.when(path.isin("", "/"), F.lit("/")).otherwise(F.regexp_replace(path, r"/\z", ""))
+    return (
+        f"case when {path} in ('', '/') then '/'"
+        f" when endswith({path}, '/') then left({path}, length({path}) - 1) else {path} end"
+    )
 
 
-def _joined(scheme: Column, netloc: Column, path: Column, query: Column) -> Column:
-    rooted = F.startswith(path, F.lit("/"))
+def _written(p: str) -> str:
+    """URL of its parts."""
+    path = f"{p}.path"
+    rooted = f"({path} = '' or startswith({path}, '/'))"
     body = (
-        F.when(
-            netloc != "",
-            F.concat(F.lit("//"), netloc, F.when(rooted | (path == ""), F.lit("")).otherwise(F.lit("/")), path),
-        )
-        .when(F.startswith(path, F.lit("//")), F.concat(F.lit("//"), path))
-        .when(
-            (scheme != "") & scheme.isin(*NETLOC_SCHEMES) & (rooted | (path == "")),
-            F.concat(F.lit("//"), path),
-        )
-        .otherwise(path)
+        f"case when {p}.netloc <> '' then concat('//', {p}.netloc, if({rooted}, '', '/'), {path})"
+        f" when startswith({path}, '//') then concat('//', {path})"
+        f" when {p}.scheme <> '' and {rooted} and {p}.scheme in ({_quoted(NETLOC_SCHEMES)})"
+        f" then concat('//', {path}) else {path} end"
     )
-    return F.concat(
-        F.when(scheme == "", F.lit("")).otherwise(F.concat(scheme, F.lit(":"))),
-        body,
-        F.when(query == "", F.lit("")).otherwise(F.concat(F.lit("?"), query)),
+    return (
+        f"concat(if({p}.scheme = '', '', concat({p}.scheme, ':')), {body},"
+        f" if({p}.query = '', '', concat('?', {p}.query)))"
     )
 
 
-def _canonical_parts(p: Column) -> Column:
-    return F.struct(
-        p["scheme"].alias("scheme"),
-        strip_default_port(p["scheme"], F.lower(p["netloc"])).alias("netloc"),
-        normalize_path(_without_params(p["scheme"], p["path"])).alias("path"),
-        p["query"].alias("query"),
+def _canonical_parts(p: str) -> str:
+    """Canonical form of split parts; NULL when the host is not valid."""
+    parts = (
+        f"named_struct('scheme', {p}.scheme, 'netloc', lower({p}.netloc),"
+        f" 'path', {_without_params(f'{p}.scheme', f'{p}.path')}, 'query', {p}.query)"
     )
+    plain = (
+        f"named_struct('scheme', b.scheme, 'netloc', {_without_default_port('b.scheme', 'b.netloc')},"
+        f" 'path', {_plain_path('b.path')}, 'query', b.query)"
+    )
+    return f"if({_is_bad_netloc(f'{p}.netloc')}, null, {_bound(parts, 'b', plain)})"
 
 
-def _written(p: Column) -> Column:
-    return F.when(~_is_bad_netloc(p["netloc"]), _joined(p["scheme"], p["netloc"], p["path"], p["query"]))
-
-
-def normalize_url(url: Column) -> Column:
-    """Canonical form: lower-case scheme and host, no default port, no fragment,
-    no path parameters, no trailing slash. NULL when the host is not valid."""
-    return bound(bound(bound(_cleaned(url), _split), _canonical_parts), _written)
-
+def _without_dot_segments(path: str) -> str:
+    """Path with ``.`` and ``..`` segments worked in; never empty."""
+    step = (
+        "case when seg = '.' then done"
+        " when seg = '..' then slice(done, 1, greatest(size(done) - 1, 0))"
+        " else array_append(done, seg) end"
+    )
+    walked = f"aggregate(split({path}, '/'), cast(array() as array<string>), (done, seg) -> {step})"
+    closing = rf"if({path} rlike r'(?:^|/)\.\.?\z', array(''), cast(array() as array<string>))"
+    whole = f"array_join(concat({walked}, {closing}), '/')"
+    return _bound(f"if({path} rlike r'{_DOT_SEGMENT}', {whole}, {path})", "plain", "if(plain = '', '/', plain)")
 
-def netloc(url: Column) -> Column:
-    """Host part as written, with port and user."""
-    return _authority(_cleaned(url))
 
+def _base_parts(base: str) -> str:
+    """Split base URL with the folder that relative paths start from."""
+    bare = _without_params("s.scheme", "s.path")
+    folder = r"if(bare = '', '/', regexp_extract(bare, r'^(?:[\s\S]*/)?', 0))"
+    parts = (
+        f"named_struct('scheme', s.scheme, 'netloc', s.netloc, 'path', s.path, 'query', s.query,"
+        f" 'folder', {_bound(bare, 'bare', folder)}, 'bad', {_is_bad_netloc('s.netloc')})"
+    )
+    return _bound(_bound(_cleaned(base), "c", _split("c")), "s", parts)
 
-def same_host(url: Column, seed_netloc: Column) -> Column:
-    return F.lower(netloc(url)) == F.lower(seed_netloc)
 
+def _resolved_parts(base: str, ref: str) -> str:
+    """Parts of a split reference seen from a split base."""
+    scheme = f"if({ref}.scheme = '', {base}.scheme, {ref}.scheme)"
+    known = _bound(
+        scheme,
+        "sch",
+        f"named_struct('scheme', sch, 'ref', {ref}, 'no_path', {ref}.path in ('', ';'), 'absolute',"
+        f" sch <> {base}.scheme or not sch in ({_quoted(RELATIVE_SCHEMES)}))",
+    )
+    own_host = "(k.absolute or k.ref.netloc <> '')"
+    rooted = f"if(startswith(k.ref.path, '/'), k.ref.path, regexp_replace(concat({base}.folder, k.ref.path), '/+', '/'))"
+    # Dot segments are worked in before the parameters of the last one.
+    with_params = f"concat({_without_dot_segments('bare')}, substring(whole, length(bare) + 1))"
+    merged = (
+        f"if(contains(whole, '.') or contains(whole, ';'),"
+        f" {_bound(_without_params('k.scheme', 'whole'), 'bare', with_params)}, whole)"
+    )
+    parts = (
+        f"named_struct('scheme', if(k.absolute, k.ref.scheme, k.scheme),"
+        f" 'netloc', if({own_host}, k.ref.netloc, {base}.netloc),"
+        f" 'path', case when {own_host} then k.ref.path when k.no_path then {base}.path"
+        f" else {_bound(rooted, 'whole', merged)} end,"
+        f" 'query', if(k.ref.query = '' and k.no_path and not {own_host}, {base}.query, k.ref.query),"
+        f" 'bad', {_is_bad_netloc('k.ref.netloc')} or {base}.bad, 'passed_on', k.absolute)"
+    )
+    return _bound(known, "k", parts)
 
-def _without_dot_segments(path: Column) -> Column:
-    """Path with ``.`` and ``..`` segments worked in; never empty."""
 
-    def step(done: Column, segment: Column) -> Column:
-        return (
-            F.when(segment == ".", done)
-            .when(segment == "..", F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(0))))
-            .otherwise(F.array_append(done, segment))
-        )
+def normalize_url(url: str) -> Column:
+    """Canonical form: lower-case scheme and host, no default port, no fragment,
+    no path parameters, no trailing slash. NULL when the host is not valid."""
+    split = _bound(_cleaned(url), "c", _split("c"))
+    return F.expr(_bound(_bound(split, "s", _canonical_parts("s")), "p", _written("p")))
 
-    walked = F.aggregate(F.split(path, "/"), F.array().cast("array<string>"), step)
-    ends_in_dots = F.rlike(path, F.lit(r"(?:^|/)\.\.?\z"))
-    closed = F.when(ends_in_dots, F.array_append(walked, F.lit(""))).otherwise(walked)
-    whole = F.array_join(closed, "/")
-    plain = F.when(F.rlike(path, F.lit(_DOT_SEGMENT)), whole).otherwise(path)
-    return F.when(plain == "", F.lit("/")).otherwise(plain)
 
+def netloc_sql(url: str) -> str:
+    return f"regexp_extract({_cleaned(url)}, r'{_UP_TO_NETLOC}', 2)"
 
-def _base_parts(base: Column) -> Column:
-    """Split base URL with the folder that relative paths start from."""
 
-    def with_folder(parts: Column) -> Column:
-        path = _without_params(parts["scheme"], parts["path"])
-        folder = F.when(path == "", F.lit("/")).otherwise(F.regexp_extract(path, r"^(?:[\s\S]*/)?", 0))
-        return F.struct(
-            parts["scheme"].alias("scheme"),
-            parts["netloc"].alias("netloc"),
-            parts["path"].alias("path"),
-            parts["query"].alias("query"),
-            folder.alias("folder"),
-            _is_bad_netloc(parts["netloc"]).alias("bad"),
-        )
+def netloc(url: str) -> Column:
+    """Host part as written, with port and user."""
+    return F.expr(netloc_sql(url))
 
-    return bound(bound(_cleaned(base), _split), with_folder)
 
+def same_host(url: str, seed_netloc: str) -> Column:
+    return F.expr(f"lower({netloc_sql(url)}) = lower({seed_netloc})")
 
-def _resolved_parts(base: Column, split_ref: Column) -> Column:
-    """Parts of a split reference seen from a split base."""
 
-    def how(ref: Column) -> Column:
-        scheme = F.when(ref["scheme"] == "", base["scheme"]).otherwise(ref["scheme"])
-        return F.struct(
-            scheme.alias("scheme"),
-            ref.alias("ref"),
-            ((scheme != base["scheme"]) | ~scheme.isin(*RELATIVE_SCHEMES)).alias("absolute"),
-            ref["path"].isin("", ";").alias("no_path"),
-        )
-
-    def merged(scheme: Column, whole: Column) -> Column:
-        # Dot segments are worked in before the parameters of the last one.
-        def with_params(bare: Column) -> Column:
-            params = F.substring(whole, F.length(bare) + 1, F.length(whole))
-            return F.concat(_without_dot_segments(bare), params)
-
-        return F.when(
-            F.contains(whole, F.lit(".")) | F.contains(whole, F.lit(";")),
-            bound(_without_params(scheme, whole), with_params),
-        ).otherwise(whole)
-
-    def seen(known: Column) -> Column:
-        ref = known["ref"]
-        own_host = known["absolute"] | (ref["netloc"] != "")
-        from_folder = F.regexp_replace(F.concat(base["folder"], ref["path"]), "/+", "/")
-        rooted = F.when(F.startswith(ref["path"], F.lit("/")), ref["path"]).otherwise(from_folder)
-        path = (
-            F.when(own_host, ref["path"])
-            .when(known["no_path"], base["path"])
-            .otherwise(bound(rooted, lambda whole: merged(known["scheme"], whole)))
-        )
-        return F.struct(
-            F.when(known["absolute"], ref["scheme"]).otherwise(known["scheme"]).alias("scheme"),
-            F.when(own_host, ref["netloc"]).otherwise(base["netloc"]).alias("netloc"),
-            path.alias("path"),
-            F.when(~own_host & known["no_path"] & (ref["query"] == ""), base["query"])
-            .otherwise(ref["query"])
-            .alias("query"),
-            (_is_bad_netloc(ref["netloc"]) | base["bad"]).alias("bad"),
-            known["absolute"].alias("passed_on"),
-        )
-
-    return bound(bound(split_ref, how), seen)
-
-
-def resolve_url(base: Column, ref: Column) -> Column:
+def resolve_url(base: str, ref: str) -> Column:
     """Absolute URL of ``ref`` seen from ``base``, fragment kept. A URL of another
     scheme, or a blank base or reference, is passed on as it is."""
+    whole = (
+        f"named_struct('scheme', w.scheme, 'netloc', w.netloc, 'query', w.query, 'path',"
+        f" if(w.scheme in ({_quoted(PARAM_SCHEMES)}), regexp_replace(w.path, r'{_EMPTY_PARAMS}', '$1'), w.path))"
+    )
+    fragment = _bound(f"regexp_extract({_cleaned(ref)}, r'{_FRAGMENT}', 1)", "f", "if(f = '', '', concat('#', f))")
+    joined = f"concat({_bound(whole, 'p', _written('p'))}, {fragment})"
+    outcome = f"case when w.bad then null when w.passed_on then {ref} else {joined} end"
+    split = _bound(_cleaned(ref), "c", _split("c"))
+    resolved = _bound(split, "r", _resolved_parts("b", "r"))
+    seen = _bound(_base_parts(base), "b", _bound(resolved, "w", outcome))
+    return F.expr(f"case when {base} = '' then {ref} when {ref} = '' then {base} else {seen} end")
 
-    def joined(whole: Column) -> Column:
-        path = F.when(
-            whole["scheme"].isin(*PARAM_SCHEMES), F.regexp_replace(whole["path"], _EMPTY_PARAMS, "$1")
-        ).otherwise(whole["path"])
-        form = bound(path, lambda p: _joined(whole["scheme"], whole["netloc"], p, whole["query"]))
-        fragment = F.regexp_extract(_cleaned(ref), _FRAGMENT, 1)
-        tail = F.when(fragment == "", F.lit("")).otherwise(F.concat(F.lit("#"), fragment))
-        return F.when(whole["bad"], F.lit(None)).when(whole["passed_on"], ref).otherwise(F.concat(form, tail))
 
-    def from_base(base_parts: Column) -> Column:
-        return bound(_resolved_parts(base_parts, bound(_cleaned(ref), _split)), joined)
-
-    return (
-        F.when(base == "", ref).when(ref == "", base).otherwise(bound(_base_parts(base), from_base))
-    )
+def canonical_refs_sql(base: str, refs: str) -> str:
+    split = f"transform(transform({refs}, x -> {_cleaned('x')}), c -> {_split('c')})"
+    resolved = f"transform({split}, r -> {_resolved_parts('base', 'r')})"
+    valid = f"transform({resolved}, w -> if(w.bad, null, {_canonical_parts('w')}))"
+    return _bound(_base_parts(base), "base", f"transform({valid}, p -> {_written('p')})")
 
 
-def canonical_refs(base: Column, refs: Column) -> Column:
+def canonical_refs(base: str, refs: str) -> Column:
     """Canonical absolute URL of every reference of an array, in order; NULL where
     the host is not valid."""
-
-    def from_base(base_parts: Column) -> Column:
-        split = F.transform(F.transform(refs, _cleaned), _split)
-        resolved = F.transform(split, lambda ref: _resolved_parts(base_parts, ref))
-        valid = F.transform(resolved, lambda p: F.when(~p["bad"], _canonical_parts(p)))
-        return F.transform(valid, _written)
-
-    return bound(_base_parts(base), from_base)
+    return F.expr(canonical_refs_sql(base, refs))
 
 
 def canonicalize_urls(df: DataFrame, url_col: str, base_col: str | None = None) -> DataFrame:
     """Add ``canonical_url`` and ``netloc`` to a table of URLs."""
-    url = F.col(url_col)
-    absolute = url if base_col is None else resolve_url(F.col(base_col), url)
-    with_url = df.withColumn("canonical_url", normalize_url(absolute))
-    return with_url.withColumn("netloc", netloc(F.col("canonical_url")))
+    if base_col is not None:
+        df = df.withColumn("canonical_url", resolve_url(base_col, url_col))
+    else:
+        df = df.withColumn("canonical_url", F.col(url_col))
+    with_url = df.withColumn("canonical_url", normalize_url("canonical_url"))
+    return with_url.withColumn("netloc", netloc("canonical_url"))

@@ -55,9 +55,10 @@ def _visit(corpus: DataFrame, frontier: DataFrame, level: int) -> DataFrame:
             "emails": F.coalesce(F.col("emails"), none),
             "images": F.coalesce(F.col("images"), none),
             "level": F.lit(level),
+            "seed_netloc": netloc("seed"),
         }
     )
-    return with_split_links(filled, netloc(F.col("seed"))).select(*VISITS.names)
+    return with_split_links(filled, "seed_netloc").select(*VISITS.names)
 
 
 def crawl(

@@ -7,8 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pagegraph.functions.text import blank_to_null, emails_in, has_prefix, post_username, trim_unicode
-from pagegraph.functions.urls import canonical_refs, netloc
+from pagegraph.functions.text import blank_to_null, emails_in, post_username, trim_unicode
+from pagegraph.functions.urls import canonical_refs_sql, netloc_sql
 from pagegraph.operators.elements import extract_elements
 
 # Link schemes left out, and the words a post row uses.
@@ -18,63 +18,58 @@ POST_KIND = "instagram_post"
 POST_TITLE = "Instagram"
 
 
-def _none() -> Column:
-    return F.array().cast("array<string>")
-
-
-def _or_none(values: Column) -> Column:
-    return F.coalesce(values, _none())
+NO_STRINGS = "cast(array() as array<string>)"
 
 
 def page_title(title_raw: Column) -> Column:
     return blank_to_null(trim_unicode(title_raw))
 
 
-def followable(hrefs: Column) -> Column:
+def followable(hrefs: str) -> str:
     """References that are not blank, mail addresses or scripts."""
-    return F.filter(
-        hrefs,
-        lambda h: (h != "") & ~has_prefix(h, MAILTO) & ~has_prefix(h, JAVASCRIPT),
+    return (
+        f"filter({hrefs}, h -> h <> '' and not startswith(lower(h), '{MAILTO}')"
+        f" and not startswith(lower(h), '{JAVASCRIPT}'))"
     )
 
 
-def link_candidates(hrefs: Column, base_url: Column) -> Column:
-    """Canonical links in document order, each where it first occurs; NULL stands
-    for references without a valid host."""
-    return F.array_distinct(canonical_refs(base_url, followable(hrefs)))
+def page_links(hrefs: str, base_url: str) -> Column:
+    """Canonical links in document order, each where it first occurs. References
+    without a valid host are left out; ``rejected_refs`` counts them."""
+    found = canonical_refs_sql(base_url, followable(hrefs))
+    return F.expr(f"coalesce(array_distinct(array_compact({found})), {NO_STRINGS})")
 
 
-def links_on(links: Column, seed_netloc: Column) -> Column:
-    return F.filter(links, lambda link: netloc(link) == F.lower(seed_netloc))
+def rejected_refs(hrefs: str, base_url: str) -> Column:
+    """Number of references left out because their host is not valid."""
+    return F.expr(f"size(filter({canonical_refs_sql(base_url, followable(hrefs))}, link -> link is null))")
 
 
-def links_off(links: Column, seed_netloc: Column) -> Column:
-    return F.filter(links, lambda link: netloc(link) != F.lower(seed_netloc))
+def links_on(links: str, seed_netloc: str) -> Column:
+    return F.expr(f"filter({links}, link -> {netloc_sql('link')} = {seed_netloc})")
 
 
-def rejected_refs(hrefs: Column, base_url: Column) -> Column:
-    """Number of references left out because their host is not valid."""
-    return F.size(F.filter(canonical_refs(base_url, followable(hrefs)), lambda link: link.isNull()))
+def links_off(links: str, seed_netloc: str) -> Column:
+    return F.expr(f"filter({links}, link -> {netloc_sql('link')} <> {seed_netloc})")
 
 
-def mailto_emails(hrefs: Column) -> Column:
+def mailto_emails(hrefs: str) -> Column:
     """Addresses of mail links: text up to the first ``?``, trimmed, not checked."""
-    addresses = F.transform(
-        F.filter(hrefs, lambda h: has_prefix(h, MAILTO)),
-        lambda h: trim_unicode(F.split_part(F.substring(h, F.lit(len(MAILTO) + 1), F.length(h)), F.lit("?"), F.lit(1))),
-    )
-    return F.filter(addresses, lambda a: a != "")
+    links = F.expr(f"filter({hrefs}, h -> startswith(lower(h), '{MAILTO}'))")
+    addresses = F.transform(links, lambda h: trim_unicode(F.split_part(F.substr(h, F.lit(len(MAILTO) + 1)), F.lit("?"), F.lit(1))))
+    return F.filter(addresses, lambda address: address != "")
 
 
-def page_emails(hrefs: Column, text: Column) -> Column:
+def page_emails(hrefs: str, text: str) -> Column:
     """Distinct addresses of mail links and visible text, sorted."""
-    return F.array_sort(F.array_union(_or_none(mailto_emails(hrefs)), emails_in(text)))
+    linked = F.coalesce(mailto_emails(hrefs), F.expr(NO_STRINGS))
+    return F.array_sort(F.array_union(linked, emails_in(F.col(text))))
 
 
-def page_images(srcs: Column, base_url: Column) -> Column:
+def page_images(srcs: str, base_url: str) -> Column:
     """Distinct canonical image URLs, sorted."""
-    found = canonical_refs(base_url, F.filter(srcs, lambda s: s != ""))
-    return F.array_sort(F.array_distinct(F.array_compact(found)))
+    found = canonical_refs_sql(base_url, f"filter({srcs}, s -> s <> '')")
+    return F.expr(f"coalesce(array_sort(array_distinct(array_compact({found}))), {NO_STRINGS})")
 
 
 def page_description(metas: Column, first_p: Column) -> Column:
@@ -97,23 +92,19 @@ def page_facts(pages: DataFrame, keep: Sequence[str], base_url: str = "final_url
     the facts of a page that do not depend on who visits it."""
     carried = list(dict.fromkeys([*keep, base_url]))
     elements = extract_elements(pages, ("title_raw", "hrefs", "srcs", "at_text"), carried)
-    base = F.col(base_url)
     return elements.select(
         *keep,
         page_title(F.col("title_raw")).alias("title"),
-        _or_none(F.array_compact(link_candidates(F.col("hrefs"), base))).alias("links"),
-        _or_none(page_emails(F.col("hrefs"), F.col("at_text"))).alias("emails"),
-        _or_none(page_images(F.col("srcs"), base)).alias("images"),
+        page_links("hrefs", base_url).alias("links"),
+        page_emails("hrefs", "at_text").alias("emails"),
+        page_images("srcs", base_url).alias("images"),
     )
 
 
-def with_split_links(facts: DataFrame, seed_netloc: Column) -> DataFrame:
+def with_split_links(facts: DataFrame, seed_netloc: str) -> DataFrame:
     """Replace ``links`` by internal and external links as seen from a seed's host."""
     return facts.withColumns(
-        {
-            "internal_links": links_on(F.col("links"), seed_netloc),
-            "external_links": links_off(F.col("links"), seed_netloc),
-        }
+        {"internal_links": links_on("links", seed_netloc), "external_links": links_off("links", seed_netloc)}
     ).drop("links")
 
 
@@ -121,7 +112,7 @@ def profile_pages(responses: DataFrame, seed_netloc: str, keep: Sequence[str] =
     """One row per page with its title, links split by the seed's host, emails and
     images. Pages without body give NULL title and empty arrays."""
     carried = list(dict.fromkeys([*keep, "final_url", seed_netloc]))
-    profile = with_split_links(page_facts(responses, carried), F.col(seed_netloc))
+    profile = with_split_links(page_facts(responses, carried), f"lower({seed_netloc})")
     return profile.select(
         *keep,
         F.col("final_url").alias("url"),

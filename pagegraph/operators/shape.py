@@ -71,13 +71,11 @@ def scrape(visits: DataFrame, target: str) -> DataFrame:
 def dedupe_pages(pages: DataFrame, url_col: str, order_col: str) -> DataFrame:
     """One page per URL, the one with the smallest ``order_col``, a unique key.
 
-    Only keys are grouped: bodies never enter that shuffle. The surplus pages are
-    staged, so their list is broadcast while it is small and shuffled beyond.
+    Only keys are grouped and joined: bodies never enter those shuffles. The list
+    of surplus pages is staged, so it is broadcast while small and shuffled beyond.
     """
     keys = pages.select(url_col, order_col)
-    kept = keys.groupBy(url_col).agg(
-        F.min(order_col).alias("kept"), F.count(F.lit(1)).alias("copies")
-    )
-    repeated = kept.filter(F.col("copies") > 1).select(url_col, "kept")
-    surplus = keys.join(staged(repeated, "repeated"), url_col).filter(F.col(order_col) != F.col("kept"))
-    return pages.join(staged(surplus.select(order_col), "surplus"), order_col, "left_anti")
+    copies = keys.groupBy(url_col).agg(F.min(order_col).alias("kept"), F.count(F.lit(1)).alias("copies"))
+    repeated = copies.filter(F.col("copies") > 1).select(url_col, "kept")
+    surplus = keys.join(repeated, url_col).filter(F.col(order_col) != F.col("kept")).select(order_col)
+    return pages.join(staged(surplus, "surplus"), order_col, "left_anti")

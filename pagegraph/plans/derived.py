@@ -49,7 +49,7 @@ def order_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A page per order: ways back, the parts with pictures, suppliers and mail
     links, and the clerk's address. Pending orders answer 404 without body, urgent
     ones redirect."""
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
+    orders = spread(table(spark, sf_dir, "orders")).select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
     lines = (
         table(spark, sf_dir, "lineitem")
         .groupBy("l_orderkey", "l_linenumber")

@@ -41,7 +41,7 @@ def _count(name: str, alias: str) -> Column:
 def page_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Given pages as responses, with the host of each."""
     responses = read_responses(spread(table(spark, sf_dir, "pages")))
-    return responses.withColumn("host", netloc(F.col("requested_url")))
+    return responses.withColumn("host", netloc("requested_url"))
 
 
 def page_titles(spark, sf_dir):
@@ -94,7 +94,7 @@ def emails_first_seen(spark, sf_dir):
 
 def page_email_list(spark, sf_dir):
     elements = extract_elements(page_responses(spark, sf_dir), ("hrefs", "at_text"), ("page_id",))
-    return elements.select("page_id", F.explode(page_emails(F.col("hrefs"), F.col("at_text"))).alias("email"))
+    return elements.select("page_id", F.explode(page_emails("hrefs", "at_text")).alias("email"))
 
 
 def page_description_list(spark, sf_dir):
@@ -249,7 +249,7 @@ def post_rows(spark, sf_dir):
 def _streamed_responses(spark, sf_dir) -> DataFrame:
     schema = table(spark, sf_dir, "pages").schema
     pages = spark.readStream.schema(schema).parquet(f"{sf_dir}/pages*.parquet")
-    return read_responses(pages).withColumn("host", netloc(F.col("requested_url")))
+    return read_responses(pages).withColumn("host", netloc("requested_url"))
 
 
 def _run(stream: DataFrame, label: str, mode: str = "append") -> DataFrame:

@@ -12,6 +12,8 @@ RECOMMENDED = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # Pages cost far more time than bytes: let small tables use every core.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "128k",
     # One Arrow batch of pages is bounded by bytes, whatever the page size.
     "spark.sql.execution.arrow.maxBytesPerBatch": "32m",
     # A frontier too large to broadcast still prunes pages before their shuffle.

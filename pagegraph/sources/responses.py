@@ -16,7 +16,7 @@ def read_responses(pages: DataFrame) -> DataFrame:
     """Any page table with ``url`` and ``html`` as responses: adds
     ``requested_url`` (canonical), ``status`` and ``final_url`` where they lack;
     other columns pass through. Rows whose URL has no valid host are left out."""
-    requested = normalize_url(F.col("url"))
+    requested = normalize_url("url")
     known = ("url", "html", "status", "final_url", "requested_url")
     extra = [c for c in pages.columns if c not in known]
     return pages.select(
@@ -54,5 +54,5 @@ def read_attempts(log: DataFrame, distinct: bool = False) -> DataFrame:
 
 def read_seeds(df: DataFrame, url_col: str = "url") -> DataFrame:
     """Distinct canonical seeds and their hosts."""
-    seeds = df.select(normalize_url(F.col(url_col)).alias("seed")).filter(F.col("seed").isNotNull()).distinct()
-    return seeds.withColumn("seed_netloc", netloc(F.col("seed")))
+    seeds = df.select(normalize_url(url_col).alias("seed")).filter(F.col("seed").isNotNull()).distinct()
+    return seeds.withColumn("seed_netloc", netloc("seed"))
