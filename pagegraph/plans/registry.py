@@ -147,8 +147,8 @@ def crawl_row_links(spark, sf_dir):
 
 
 def shop_crawl(spark, sf_dir, max_pages: int | None) -> DataFrame:
-    """Crawl of the derived shops, three levels deep."""
-    responses = read_responses(derived.shop_pages(spark, sf_dir))
+    """Crawl of the derived shops, three levels deep, from a table of their pages."""
+    responses = staged(read_responses(derived.shop_pages(spark, sf_dir)), "shop-pages")
     seeds = read_seeds(derived.shop_seeds(spark, sf_dir))
     return crawl(responses, seeds, depth=3, max_pages=max_pages)
 
