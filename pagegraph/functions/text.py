@@ -1,4 +1,4 @@
-"""Text helpers: Unicode trim, prefixes, media types, e-mail addresses, handles."""
+"""Text helpers: Unicode trim, media types, e-mail addresses, handles."""
 
 from __future__ import annotations
 
@@ -30,11 +30,6 @@ def blank_to_null(text: Column) -> Column:
     return F.nullif(text, F.lit(""))
 
 
-def has_prefix(text: Column, prefix: str) -> Column:
-    """Case-insensitive prefix test."""
-    return F.startswith(F.lower(text), F.lit(prefix))
-
-
 def is_html(content_type: Column) -> Column:
     """True when the media type, without parameters, names HTML or XHTML."""
     media_type = trim_unicode(F.split_part(F.lower(content_type), F.lit(";"), F.lit(1)))

@@ -74,10 +74,9 @@ def _split(url: str) -> str:
 
 def _is_bad_netloc(netloc: str) -> str:
     """Brackets that hold no IP literal, or a character that hides a delimiter."""
-    return (
-        f"({netloc} <> '' and ((({netloc} like '%[%' or {netloc} like '%]%')"
-        f" and not {netloc} rlike r'{_BRACKETED}') or {netloc} rlike r'[{HIDDEN_DELIMITERS}]'))"
-    )
+    bracketed = f"((contains({netloc}, '[') or contains({netloc}, ']')) and not {netloc} rlike r'{_BRACKETED}')"
+    hidden = f"(length({netloc}) <> octet_length({netloc}) and {netloc} rlike r'[{HIDDEN_DELIMITERS}]')"
+    return f"({netloc} <> '' and ({bracketed} or {hidden}))"
 
 
 def _without_params(scheme: str, path: str) -> str:
@@ -190,17 +189,18 @@ def normalize_url(url: str) -> Column:
     return F.expr(_bound(_bound(split, "s", _canonical_parts("s")), "p", _written("p")))
 
 
-def netloc_sql(url: str) -> str:
-    return f"regexp_extract({_cleaned(url)}, r'{_UP_TO_NETLOC}', 2)"
+def canonical_netloc(url: str) -> str:
+    """SQL of the host part of a URL already in canonical form."""
+    return f"regexp_extract({url}, r'{_UP_TO_NETLOC}', 2)"
 
 
 def netloc(url: str) -> Column:
     """Host part as written, with port and user."""
-    return F.expr(netloc_sql(url))
+    return F.expr(canonical_netloc(_cleaned(url)))
 
 
 def same_host(url: str, seed_netloc: str) -> Column:
-    return F.expr(f"lower({netloc_sql(url)}) = lower({seed_netloc})")
+    return F.expr(f"lower({canonical_netloc(_cleaned(url))}) = lower({seed_netloc})")
 
 
 def resolve_url(base: str, ref: str) -> Column:

@@ -132,6 +132,9 @@ class PageReader(HTMLParser):
             if last == tag:
                 break
 
+    def updatepos(self, i, j):
+        return j  # no line numbers wanted
+
     def handle_starttag(self, tag, attrs):
         self._open(tag, attrs)
         if tag in VOID:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pagegraph.functions.text import blank_to_null, emails_in, post_username, trim_unicode
-from pagegraph.functions.urls import canonical_refs_sql, netloc_sql
+from pagegraph.functions.urls import canonical_netloc, canonical_refs_sql
 from pagegraph.operators.elements import extract_elements
 
 # Link schemes left out, and the words a post row uses.
@@ -46,11 +46,11 @@ def rejected_refs(hrefs: str, base_url: str) -> Column:
 
 
 def links_on(links: str, seed_netloc: str) -> Column:
-    return F.expr(f"filter({links}, link -> {netloc_sql('link')} = {seed_netloc})")
+    return F.expr(f"filter({links}, link -> {canonical_netloc('link')} = {seed_netloc})")
 
 
 def links_off(links: str, seed_netloc: str) -> Column:
-    return F.expr(f"filter({links}, link -> {netloc_sql('link')} <> {seed_netloc})")
+    return F.expr(f"filter({links}, link -> {canonical_netloc('link')} <> {seed_netloc})")
 
 
 def mailto_emails(hrefs: str) -> Column:
