@@ -11,6 +11,7 @@ from pagegraph.operators.traverse import (
     MIN_DEPTH,
     child_key,
     clamp_depth,
+    first_key,
     next_frontier,
     seed_frontier,
     union_all,
@@ -33,8 +34,10 @@ def corpus_facts(responses: DataFrame) -> DataFrame:
     return page_facts(responses, ("requested_url", "status", "final_url")).select(*FACTS)
 
 
-def _visited_facts(corpus: DataFrame, frontier: DataFrame) -> DataFrame:
-    wanted = frontier.select(F.col("node").alias("requested_url")).distinct()
+def _visited_facts(corpus: DataFrame, frontier: DataFrame, level: int) -> DataFrame:
+    # The bound on the key holds for every row; it marks the frontier as the
+    # selective side, from which Spark may build a bloom filter over the corpus.
+    wanted = frontier.filter(F.col("bfs_key") >= first_key(level)).select(F.col("node").alias("requested_url"))
     if "links" in corpus.columns:
         return corpus.select(*FACTS).join(wanted, "requested_url", "left_semi")
     # A page is cut down to the visited ones before it is read, and read once
@@ -44,7 +47,7 @@ def _visited_facts(corpus: DataFrame, frontier: DataFrame) -> DataFrame:
 
 def _visit(corpus: DataFrame, frontier: DataFrame, level: int) -> DataFrame:
     """Visit every queued URL; one without response gives status 0 and no content."""
-    facts = _visited_facts(corpus, frontier)
+    facts = _visited_facts(corpus, frontier, level)
     none = F.array().cast("array<string>")
     found = frontier.join(facts, F.col("node") == F.col("requested_url"), "left")
     filled = found.withColumns(

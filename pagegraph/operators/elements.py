@@ -7,9 +7,11 @@ splitting, trimming and matching are left to Catalyst.
 
 from __future__ import annotations
 
+import re
 import sys
-from collections import Counter
+from collections import defaultdict
 from collections.abc import Iterable, Iterator, Sequence
+from html import unescape
 from html.entities import html5
 from html.parser import HTMLParser
 
@@ -29,6 +31,15 @@ VOID = frozenset(
     "basefont bgsound command frame image isindex nextid spacer".split()
 )
 UNSHOWN = frozenset(("rp", "rt", "script", "style", "template"))
+# Tags whose attributes are read.
+WITH_VALUES = frozenset(("a", "img", "meta"))
+
+# Tags whose content the tokenizer may read in a mode of its own.
+RAW_TEXT = frozenset("iframe noembed noframes noscript plaintext script style textarea title xmp".split())
+# Tags in their plainest form, which is nearly every tag.
+_PLAIN_START = re.compile(r"""<([a-z][a-z0-9]*)((?: [a-z][a-z0-9:-]*=(?:"[^"]*"|'[^']*'))*)>""")
+_PLAIN_END = re.compile("</([a-z][a-z0-9]*)>")
+_PLAIN_ATTRIBUTE = re.compile(r""" ([^=]+)=(?:"([^"]*)"|'([^']*)')""")
 
 _STRINGS = pa.list_(pa.string())
 _METAS = pa.list_(pa.struct([(part, pa.string()) for part in ("name", "property", "content")]))
@@ -47,7 +58,8 @@ class PageReader(HTMLParser):
     """Keeps the elements of one page while the tokenizer runs over it.
 
     Open tags form a stack without implied ends: a tag stays open until an end
-    tag of its name, or of a tag around it, arrives.
+    tag of its name, or of a tag around it, arrives. Plain tags are matched here;
+    all others, and everything between tags, are left to the tokenizer.
     """
 
     def __init__(self, fields: Iterable[str]):
@@ -57,12 +69,12 @@ class PageReader(HTMLParser):
 
     def read(self, html: str) -> dict:
         self.reset()
-        self.stack, self.open, self.closed_voids = [], Counter(), Counter()
+        self.stack, self.open, self.closed_voids = [], defaultdict(int), defaultdict(int)
         self.pending, self.unshown = [], 0
         self.hrefs, self.srcs, self.metas, self.nodes = [], [], [], []
         # Depth of the first title and first p while open; None before, -1 after.
         self.title_depth = self.p_depth = None
-        self.title, self.title_children, self.p_nodes = None, Counter(), []
+        self.title, self.title_children, self.p_nodes = None, defaultdict(int), []
         self.feed(html)
         self.close()
         self._end_text()
@@ -100,8 +112,9 @@ class PageReader(HTMLParser):
         self._end_text()
         self._child(text)
 
-    def _open(self, tag: str, attrs: list) -> None:
-        self._end_text()
+    def _open(self, tag: str, attrs: Iterable) -> None:
+        if self.pending:
+            self._end_text()
         self._child(None)
         if tag == "title" and self.title_depth is None:
             self.title_depth = len(self.stack)
@@ -110,7 +123,7 @@ class PageReader(HTMLParser):
         self.stack.append(tag)
         self.open[tag] += 1
         self.unshown += tag in UNSHOWN
-        if tag in ("a", "img", "meta"):
+        if tag in WITH_VALUES:
             values = {name: value or "" for name, value in attrs}
             if tag == "a" and "href" in values:
                 self.hrefs.append(values["href"])
@@ -120,7 +133,8 @@ class PageReader(HTMLParser):
                 self.metas.append({key: values.get(key) for key in ("name", "property", "content")})
 
     def _close(self, tag: str) -> None:
-        self._end_text()
+        if self.pending:
+            self._end_text()
         while self.open[tag]:
             last = self.stack.pop()
             self.open[last] -= 1
@@ -135,6 +149,23 @@ class PageReader(HTMLParser):
     def updatepos(self, i, j):
         return j  # no line numbers wanted
 
+    def parse_starttag(self, i):
+        plain = _PLAIN_START.match(self.rawdata, i)
+        if plain is None or plain[1] in RAW_TEXT:
+            return super().parse_starttag(i)
+        tag, attrs = plain[1], ()
+        if tag in WITH_VALUES:
+            attrs = [(name, unescape(a or b)) for name, a, b in _PLAIN_ATTRIBUTE.findall(plain[2])]
+        self.handle_starttag(tag, attrs)
+        return plain.end()
+
+    def parse_endtag(self, i):
+        plain = _PLAIN_END.match(self.rawdata, i)
+        if plain is None or plain[1] in RAW_TEXT or self.cdata_elem is not None:
+            return super().parse_endtag(i)
+        self.handle_endtag(plain[1])
+        return plain.end()
+
     def handle_starttag(self, tag, attrs):
         self._open(tag, attrs)
         if tag in VOID:

@@ -128,7 +128,8 @@ def shop_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def shop_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "orders").select(shop_url(key("o_orderkey", SHOP)).alias("url")).distinct()
+    shops = table(spark, sf_dir, "orders").select(key("o_orderkey", SHOP).alias("shop")).distinct()
+    return shops.select(shop_url(F.col("shop")).alias("url"))
 
 
 def post_pages(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,6 +1,10 @@
 """Page elements and page facts on small pages."""
 
+from html.parser import HTMLParser
+
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from pagegraph.operators import extract
@@ -88,6 +92,26 @@ def test_text_with_addresses_only():
     assert read("<p>a@b.org</p><p>none</p><p>c@<b>d.org</b></p>")["at_text"] == "a@b.org c@"
 
 
+class Tokenizer(PageReader):
+    """The reader with every tag left to the tokenizer."""
+
+    parse_starttag = HTMLParser.parse_starttag
+    parse_endtag = HTMLParser.parse_endtag
+
+
+MARKUP = st.sampled_from(
+    ["<a", "<p", "<img", "<meta", "<b>", "<br>", "<br/>", "<title>", "</title>", "<script>", "</script>", "</a>", "</p>", "</b >", "<P>",
+     ' href="x"', " href='y&amp;'", " src=z", ' name="d" content="a>b"', ' property="p"', " ", ">", "/>", "<", "&amp;", "&#65;", "&x",
+     "text", "a@b.co", "<!-- c -->", "<!--", "<![CDATA[q]]>", "</", "\n", "<style>", "</style>", "<textarea>", "</textarea>", '"', "'"]
+)
+
+
+@settings(max_examples=1500, deadline=None)
+@given(st.lists(MARKUP, max_size=14).map("".join))
+def test_plain_tags_read_as_the_tokenizer_reads_them(html):
+    assert PageReader(ELEMENTS).read(html) == Tokenizer(ELEMENTS).read(html)
+
+
 def test_elements_keep_rows_and_mark_refused_pages(spark):
     df = spark.createDataFrame([(1, None), (2, ""), (3, "<title>t</title>"), (4, "<![bogus[x]]>")], "k int, html string")
     rows = {r.k: r for r in extract_elements(df, ("title_raw", "hrefs")).collect()}
