@@ -232,7 +232,8 @@ def summary_lines(spark, sf_dir):
 
 
 def resolved_responses(spark, sf_dir):
-    resolved = resolve_attempts(read_attempts(derived.event_attempts(spark, sf_dir)), retries=1)
+    log = staged(read_attempts(derived.event_attempts(spark, sf_dir)), "attempts")
+    resolved = resolve_attempts(log, retries=1)
     return resolved.withColumn("status", F.col("status").cast("bigint"))
 
 
