@@ -93,4 +93,6 @@ def crawl(
         candidates = links.select("seed", "node", child_key(F.col("bfs_key"), F.col("pos")).alias("bfs_key"))
         frontier = next_frontier(union_all(frontiers), candidates, level + 1, max_pages)
         frontiers.append(staged(frontier, f"frontier{level + 1}"))
+        if frontiers[-1].isEmpty():
+            break
     return union_all(visits)

@@ -33,8 +33,8 @@ def first_key(level: int) -> int:
 
 
 def child_key(parent_key: Column, position: Column) -> Column:
-    """Key of the child at a zero-based position."""
-    return F.shiftleft(parent_key, POSITION_BITS) + position.cast("bigint") + 1
+    """Key of the child at a zero-based position, which must be an INT."""
+    return F.shiftleft(parent_key, POSITION_BITS) + position.cast("int").cast("bigint") + 1
 
 
 def next_frontier(
@@ -82,8 +82,10 @@ def bfs(
         candidates = reached.select(
             "seed", F.col("dst").alias("node"), child_key(F.col("bfs_key"), F.col("pos")).alias("bfs_key")
         )
-        frontier = next_frontier(union_all(frontiers), candidates, level, max_nodes)
-        frontiers.append(staged(frontier, f"frontier{level}"))
+        frontier = staged(next_frontier(union_all(frontiers), candidates, level, max_nodes), f"frontier{level}")
+        if frontier.isEmpty():
+            break
+        frontiers.append(frontier)
     return _levels(frontiers)
 
 

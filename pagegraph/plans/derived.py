@@ -11,9 +11,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-# Orders listed on one page, and orders of one shop.
+# Orders listed on one page, orders of one shop, and lines on one order's page.
 BLOCK = 64
 SHOP = 1024
+LINES = 8
 
 # Link positions are INT; equal ones may come in any order.
 POSITIONS = 2147483646
@@ -52,7 +53,7 @@ def order_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = spread(table(spark, sf_dir, "orders")).select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
     lines = (
         table(spark, sf_dir, "lineitem")
-        .groupBy("l_orderkey", "l_linenumber")
+        .groupBy("l_orderkey", (F.col("l_linenumber") % LINES).alias("slot"))
         .agg(F.min("l_partkey").alias("part"), F.min("l_suppkey").alias("supp"))
     )
     line = F.format_string(
@@ -60,8 +61,8 @@ def order_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         '<a href="MAILTO: sales%d@supplier.example ?subject=x">',
         "part", "supp", "part", "supp",
     )
-    shown = lines.select("l_orderkey", F.struct("l_linenumber", line.alias("line")).alias("line"))
-    # At most one entry per line number.
+    shown = lines.select("l_orderkey", F.struct("slot", line.alias("line")).alias("line"))
+    # At most one entry per slot.
     listed = shown.groupBy("l_orderkey").agg(F.array_sort(F.collect_list("line")).alias("lines"))
     orders = orders.join(listed, F.col("o_orderkey") == F.col("l_orderkey"), "left")
     body = F.concat(

@@ -162,8 +162,8 @@ o AS (
   FROM orders
 ),
 lines AS (
-  SELECT l_orderkey AS k, l_linenumber AS n, min(l_partkey) AS part, min(l_suppkey) AS supp
-  FROM lineitem GROUP BY l_orderkey, l_linenumber
+  SELECT l_orderkey AS k, l_linenumber % 8 AS n, min(l_partkey) AS part, min(l_suppkey) AS supp
+  FROM lineitem GROUP BY l_orderkey, l_linenumber % 8
 ),
 lists AS (SELECT b, h, count(*) AS n, row_number() OVER (PARTITION BY h ORDER BY b) AS p1 FROM o GROUP BY b, h),
 shops AS (SELECT h, count(*) AS n FROM lists GROUP BY h),

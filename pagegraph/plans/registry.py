@@ -18,7 +18,7 @@ from pagegraph.operators.extract import (
     post_metadata,
     profile_pages,
 )
-from pagegraph.operators.fetchlog import resolve_attempts
+from pagegraph.operators.fetchlog import DEFAULT_RETRIES, resolve_attempts
 from pagegraph.operators.shape import crawl_rows, dedupe_pages, first_source, scrape
 from pagegraph.operators.summary import summarize, summary_report
 from pagegraph.operators.traverse import bfs
@@ -232,8 +232,10 @@ def summary_lines(spark, sf_dir):
 
 
 def resolved_responses(spark, sf_dir):
-    log = staged(read_attempts(derived.event_attempts(spark, sf_dir)), "attempts")
-    resolved = resolve_attempts(log, retries=1)
+    log = read_attempts(derived.event_attempts(spark, sf_dir))
+    # Later attempts never count; said here, it bounds the ranking of a busy user.
+    tried = staged(log.filter(F.col("attempt") <= DEFAULT_RETRIES + 1), "attempts")
+    resolved = resolve_attempts(tried, DEFAULT_RETRIES)
     return resolved.withColumn("status", F.col("status").cast("bigint"))
 
 
