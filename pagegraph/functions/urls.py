@@ -49,8 +49,9 @@ _BRACKETED = rf"(?i)^[^\[]*\[(?:v[0-9a-f]+\.[^\]]+|{_IPV6}(?:%[^%\]]+)?)\]"
 
 
 
-def _quoted(values: tuple[str, ...]) -> str:
-    return ", ".join(f"'{value}'" for value in values)
+def _one_of(value: str, known: tuple[str, ...]) -> str:
+    """SQL of a membership test with a single literal."""
+    return f"find_in_set({value}, '{','.join(known)}') > 0"
 
 
 def _bound(value: str, name: str, use: str) -> str:
@@ -81,7 +82,7 @@ def _is_bad_netloc(netloc: str) -> str:
 
 def _without_params(scheme: str, path: str) -> str:
     cut = rf"regexp_replace({path}, r';[^/]*\z', '')"
-    return f"if(contains({path}, ';') and {scheme} in ({_quoted(PARAM_SCHEMES)}), {cut}, {path})"
+    return f"if(contains({path}, ';') and {_one_of(scheme, PARAM_SCHEMES)}, {cut}, {path})"
 
 
 def _without_default_port(scheme: str, netloc: str) -> str:
@@ -108,7 +109,7 @@ def _written(p: str) -> str:
     body = (
         f"case when {p}.netloc <> '' then concat('//', {p}.netloc, if({rooted}, '', '/'), {path})"
         f" when startswith({path}, '//') then concat('//', {path})"
-        f" when {p}.scheme <> '' and {rooted} and {p}.scheme in ({_quoted(NETLOC_SCHEMES)})"
+        f" when {p}.scheme <> '' and {rooted} and {_one_of(f'{p}.scheme', NETLOC_SCHEMES)}"
         f" then concat('//', {path}) else {path} end"
     )
     return (
@@ -161,7 +162,7 @@ def _resolved_parts(base: str, ref: str) -> str:
         scheme,
         "sch",
         f"named_struct('scheme', sch, 'ref', {ref}, 'no_path', {ref}.path in ('', ';'), 'absolute',"
-        f" sch <> {base}.scheme or not sch in ({_quoted(RELATIVE_SCHEMES)}))",
+        f" sch <> {base}.scheme or not {_one_of('sch', RELATIVE_SCHEMES)})",
     )
     own_host = "(k.absolute or k.ref.netloc <> '')"
     rooted = f"if(startswith(k.ref.path, '/'), k.ref.path, regexp_replace(concat({base}.folder, k.ref.path), '/+', '/'))"
@@ -208,7 +209,7 @@ def resolve_url(base: str, ref: str) -> Column:
     scheme, or a blank base or reference, is passed on as it is."""
     whole = (
         f"named_struct('scheme', w.scheme, 'netloc', w.netloc, 'query', w.query, 'path',"
-        f" if(w.scheme in ({_quoted(PARAM_SCHEMES)}), regexp_replace(w.path, r'{_EMPTY_PARAMS}', '$1'), w.path))"
+        f" if({_one_of('w.scheme', PARAM_SCHEMES)}, regexp_replace(w.path, r'{_EMPTY_PARAMS}', '$1'), w.path))"
     )
     fragment = _bound(f"regexp_extract({_cleaned(ref)}, r'{_FRAGMENT}', 1)", "f", "if(f = '', '', concat('#', f))")
     joined = f"concat({_bound(whole, 'p', _written('p'))}, {fragment})"
