@@ -48,27 +48,23 @@ def _classified(attempts: DataFrame, retries: int) -> DataFrame:
     )
 
 
-def _verdicts(attempts: DataFrame, retries: int) -> DataFrame:
-    """Per URL, without bodies: the attempt that ends it, if any, and the outcome,
-    which is that attempt or else the last answer."""
-    attempt, outcome = F.col("attempt"), F.struct("attempt", "status", "final_url", "error")
-    end = F.when(F.col("ends"), attempt)
-    last = F.max_by(outcome, F.when(F.col("answered"), attempt))
-    verdicts = (
-        _classified(attempts, retries)
-        .groupBy("url")
-        .agg(F.min(end).alias("end"), F.coalesce(F.min_by(outcome, end), last).alias("outcome"))
+def _verdicts(tried: DataFrame) -> DataFrame:
+    """Per URL the attempt that ends it, if any, and the attempt that is reported:
+    that one or else the last answered. Numbers only, so a hash aggregate."""
+    attempt = F.col("attempt")
+    verdicts = tried.groupBy("url").agg(
+        F.min(F.when(F.col("ends"), attempt)).alias("end"),
+        F.max(F.when(F.col("answered"), attempt)).alias("last"),
     )
-    return verdicts.select("url", "end", "outcome.*")
+    return verdicts.select("url", "end", F.coalesce("end", "last").alias("attempt"))
 
 
 def quarantined_urls(attempts: DataFrame, retries: int = DEFAULT_RETRIES) -> DataFrame:
     """URLs that meet an error no retry can cure, with the attempt and the error."""
-    return (
-        _verdicts(attempts, retries)
-        .filter(_unhandled(F.col("error")))
-        .select(F.col("url").alias("requested_url"), "attempt", "error")
-    )
+    tried = _classified(attempts, retries)
+    refused = tried.filter(_unhandled(F.col("error"))).select("url", "attempt", "error")
+    met = _verdicts(tried).select("url", "attempt")
+    return refused.join(met, ["url", "attempt"], "left_semi").withColumnRenamed("url", "requested_url")
 
 
 def resolve_attempts(
@@ -82,8 +78,8 @@ def resolve_attempts(
     (``quarantined_urls`` lists them), or fail the job with ``on_error='fail'``.
 
     Nearly every URL is ended by its first attempt, so those go through without a
-    shuffle of their bodies. Verdicts on the rest come from a grouping without
-    bodies; only bodies of second and later attempts are joined back.
+    shuffle of their bodies. Verdicts on the rest come from a grouping of attempt
+    numbers and are joined only to attempts of another kind.
     """
     if on_error not in ("quarantine", "fail"):
         raise ValueError("on_error is 'quarantine' or 'fail'")
@@ -94,16 +90,14 @@ def resolve_attempts(
             F.col("requested_url").alias("final_url"),
             F.lit(None).cast("string").alias("html"),
         )
-    bodies = _classified(attempts, retries).withColumn(
-        "html", usable_body(F.col("status"), F.col("content_type"), F.col("body"))
-    )
-    at_once = bodies.filter((F.col("attempt") == 1) & F.col("ends"))
-    verdicts = _verdicts(attempts, retries)
-    later = staged(verdicts.filter(F.coalesce(F.col("end") > 1, F.lit(True))), "verdicts")
-    later_bodies = bodies.filter((F.col("attempt") > 1) & F.col("html").isNotNull()).select("url", "attempt", "html")
-    resolved = at_once.select("url", "status", "final_url", "error", "html").unionByName(
-        later.join(later_bodies, ["url", "attempt"], "left").select("url", "status", "final_url", "error", "html")
-    )
+    tried = _classified(attempts, retries)
+    outcomes = tried.withColumn("html", usable_body(F.col("status"), F.col("content_type"), F.col("body")))
+    outcomes = outcomes.drop("content_type", "body")
+    first_ended = (F.col("attempt") == 1) & F.col("ends")
+    unended = _verdicts(tried).filter(F.coalesce(F.col("end") > 1, F.lit(True))).select("url", "attempt")
+    later = staged(unended, "verdicts").join(outcomes.filter(~first_ended), ["url", "attempt"], "left")
+    columns = ("url", "status", "final_url", "error", "html")
+    resolved = outcomes.filter(first_ended).select(*columns).unionByName(later.select(*columns))
     refused = _unhandled(F.col("error"))
     if on_error == "fail":
         message = F.concat(F.lit("unhandled fetch error: "), F.col("error"))
