@@ -207,24 +207,31 @@ def same_host(url: str, seed_netloc: str) -> Column:
 def resolve_url(base: str, ref: str) -> Column:
     """Absolute URL of ``ref`` seen from ``base``, fragment kept. A URL of another
     scheme, or a blank base or reference, is passed on as it is."""
+    # Columns are named outside the lambdas only, so no name can be taken for theirs.
+    given = f"named_struct('base', {base}, 'ref', {ref})"
     whole = (
         f"named_struct('scheme', w.scheme, 'netloc', w.netloc, 'query', w.query, 'path',"
         f" if({_one_of('w.scheme', PARAM_SCHEMES)}, regexp_replace(w.path, r'{_EMPTY_PARAMS}', '$1'), w.path))"
     )
-    fragment = _bound(f"regexp_extract({_cleaned(ref)}, r'{_FRAGMENT}', 1)", "f", "if(f = '', '', concat('#', f))")
+    fragment = _bound(
+        f"regexp_extract({_cleaned('g.ref')}, r'{_FRAGMENT}', 1)", "f", "if(f = '', '', concat('#', f))"
+    )
     joined = f"concat({_bound(whole, 'p', _written('p'))}, {fragment})"
-    outcome = f"case when w.bad then null when w.passed_on then {ref} else {joined} end"
-    split = _bound(_cleaned(ref), "c", _split("c"))
+    outcome = f"case when w.bad then null when w.passed_on then g.ref else {joined} end"
+    split = _bound(_cleaned("g.ref"), "c", _split("c"))
     resolved = _bound(split, "r", _resolved_parts("b", "r"))
-    seen = _bound(_base_parts(base), "b", _bound(resolved, "w", outcome))
-    return F.expr(f"case when {base} = '' then {ref} when {ref} = '' then {base} else {seen} end")
+    seen = _bound(_base_parts("g.base"), "b", _bound(resolved, "w", outcome))
+    return F.expr(
+        _bound(given, "g", f"case when g.base = '' then g.ref when g.ref = '' then g.base else {seen} end")
+    )
 
 
 def canonical_refs_sql(base: str, refs: str) -> str:
-    split = f"transform(transform({refs}, x -> {_cleaned('x')}), c -> {_split('c')})"
-    resolved = f"transform({split}, r -> {_resolved_parts('base', 'r')})"
+    given = f"named_struct('base', {_base_parts(base)}, 'refs', {refs})"
+    split = f"transform(transform(g.refs, x -> {_cleaned('x')}), c -> {_split('c')})"
+    resolved = f"transform({split}, r -> {_resolved_parts('g.base', 'r')})"
     valid = f"transform({resolved}, w -> if(w.bad, null, {_canonical_parts('w')}))"
-    return _bound(_base_parts(base), "base", f"transform({valid}, p -> {_written('p')})")
+    return _bound(given, "g", f"transform({valid}, p -> {_written('p')})")
 
 
 def canonical_refs(base: str, refs: str) -> Column:

@@ -112,8 +112,8 @@ def profile_pages(responses: DataFrame, seed_netloc: str, keep: Sequence[str] =
     """One row per page with its title, links split by the seed's host, emails and
     images. Pages without body give NULL title and empty arrays."""
     carried = list(dict.fromkeys([*keep, "final_url", seed_netloc]))
-    profile = with_split_links(page_facts(responses, carried), f"lower({seed_netloc})")
-    return profile.select(
+    facts = page_facts(responses, carried).withColumn("split_by", F.lower(seed_netloc))
+    return with_split_links(facts, "split_by").select(
         *keep,
         F.col("final_url").alias("url"),
         "title",

@@ -143,6 +143,15 @@ def test_canonicalize_against_a_base(spark):
     assert (row.canonical_url, row.netloc) == ("http://h.org/x", "h.org")
 
 
+@pytest.mark.parametrize("base, ref", [("g", "b"), ("b", "g"), ("r", "w"), ("c", "p"), ("s", "f")])
+def test_any_column_names(spark, base, ref):
+    df = spark.createDataFrame([("http://h.org/a/b?q", "../x;y#z")], f"{base} string, {ref} string")
+    row = df.select(urls.resolve_url(base, ref), urls.canonical_refs(base, f"array({ref})")).first()
+    assert tuple(row) == ("http://h.org/x;y#z", ["http://h.org/x"])
+    again = urls.canonicalize_urls(df, ref, base).first()
+    assert (again.canonical_url, again.netloc) == ("http://h.org/x", "h.org")
+
+
 def test_hidden_delimiters_are_complete():
     hidden = [
         c
