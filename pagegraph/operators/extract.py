@@ -124,6 +124,17 @@ def profile_pages(responses: DataFrame, seed_netloc: str, keep: Sequence[str] =
     )
 
 
+def page_problems(responses: DataFrame, keep: Sequence[str], base_url: str = "final_url") -> DataFrame:
+    """Pages the tokenizer refused, or with references left out: ``keep`` columns,
+    ``parse_error`` and ``n_rejected_refs``."""
+    carried = list(dict.fromkeys([*keep, base_url]))
+    elements = extract_elements(responses, ("hrefs",), carried)
+    counted = elements.select(
+        *keep, "parse_error", F.coalesce(rejected_refs("hrefs", base_url), F.lit(0)).alias("n_rejected_refs")
+    )
+    return counted.filter(F.col("parse_error").isNotNull() | (F.col("n_rejected_refs") > 0))
+
+
 def page_descriptions(responses: DataFrame, keep: Sequence[str]) -> DataFrame:
     elements = extract_elements(responses, ("metas", "first_p"), keep)
     return elements.select(*keep, page_description(F.col("metas"), F.col("first_p")).alias("description"))

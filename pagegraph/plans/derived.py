@@ -187,7 +187,7 @@ def post_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def event_attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An attempt per event, counted per user and day."""
     events = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "props")
-    url = F.concat(F.format_string("http://u%d.example/", "user_id"), F.date_format("ts", "yyyy-MM-dd"))
+    url = F.concat(F.format_string("http://u%d.example/", "user_id"), F.col("ts").cast("date").cast("string"))
     kind = F.col("event_type")
     with_url = events.withColumn("url", url)
     order = Window.partitionBy("url").orderBy("ts", "event_id")

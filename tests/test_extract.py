@@ -151,6 +151,14 @@ def test_rejected_references_are_counted(spark):
     assert df.select(extract.rejected_refs("hrefs", "base").alias("n")).first().n == 2
 
 
+def test_problems_are_listed(spark):
+    pages = ["<a href='/a'>", "<a href='http://[bad/'><a href='//x]/'><a href='/b'>", "<![bogus[x]]>", None]
+    rows = [(i, "http://h/", html) for i, html in enumerate(pages)]
+    df = read_responses(spark.createDataFrame(rows, "i int, url string, html string"))
+    got = {r.i: (r.parse_error is None, r.n_rejected_refs) for r in extract.page_problems(df, ["i"]).collect()}
+    assert got == {1: (True, 2), 2: (False, 0)}
+
+
 def test_descriptions(spark):
     pages = [
         '<meta name="description" content=" text "><p>no</p>',
