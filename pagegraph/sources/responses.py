@@ -15,7 +15,8 @@ def _or_default(df: DataFrame, name: str, default: Column) -> Column:
 def read_responses(pages: DataFrame) -> DataFrame:
     """Any page table with ``url`` and ``html`` as responses: adds
     ``requested_url`` (canonical), ``status`` and ``final_url`` where they lack;
-    other columns pass through. Rows whose URL has no valid host are left out."""
+    other columns pass through. A URL without valid host has NULL for
+    ``requested_url``, so no crawl reaches its row."""
     requested = normalize_url("url")
     known = ("url", "html", "status", "final_url", "requested_url")
     extra = [c for c in pages.columns if c not in known]
@@ -25,7 +26,7 @@ def read_responses(pages: DataFrame) -> DataFrame:
         _or_default(pages, "status", F.lit(200)).cast("int").alias("status"),
         _or_default(pages, "final_url", requested).alias("final_url"),
         "html",
-    ).filter(F.col("requested_url").isNotNull())
+    )
 
 
 ATTEMPT_COLUMNS = {

@@ -134,6 +134,15 @@ def test_scrape_credits_the_first_page(spark):
     assert unknown.columns == ["seed", "kind", "value", "source_url"] and unknown.count() == 0
 
 
+def test_urls_without_valid_host_are_kept_but_not_reached(spark):
+    rows = [(1, "http://[bad/", "<title>x</title><a href='/a'>"), (2, "http://[worse/", ""), (3, HOME, "")]
+    df = read_responses(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    assert dedupe_pages(df, "requested_url", "page_id").count() == 3
+    facts = {r.title: r for r in corpus_facts(df).collect()}
+    assert facts["x"].requested_url is None and facts["x"].links == []
+    assert [r.url for r in crawl(df, seeds_of(spark, HOME, "http://[bad/")).collect()] == [HOME]
+
+
 def test_dedupe_keeps_the_smallest_key(spark):
     rows = [(i, "https://e.org/" + "#" * (i % 2) if i % 3 else f"https://e.org/{i}", "h") for i in range(300)]
     df = read_responses(spark.createDataFrame(rows, "page_id long, url string, html string"))
