@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,6 +22,8 @@ RECOMMENDED = {
     "spark.sql.optimizer.windowGroupLimitThreshold": "100000",
 }
 
+FILE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def recommended(builder: SparkSession.Builder) -> SparkSession.Builder:
     """Put the recommended settings on a session builder."""
@@ -31,31 +33,79 @@ def recommended(builder: SparkSession.Builder) -> SparkSession.Builder:
 
 
 def staging_dir(spark: SparkSession) -> str:
-    """Shared folder for intermediate tables: ``spark.checkpoint.dir``.
+    """Shared folder for intermediate tables.
 
-    Only a local master may fall back to a folder of its own; on a cluster a
-    machine-local folder would be lost with the machine.
+    ``spark.checkpoint.dir``, which a cluster must point at shared storage; where
+    it is not set, a folder of the session's warehouse, which all executors reach
+    as well. Never a machine-local temporary folder.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        configured = tempfile.mkdtemp(prefix="pagegraph-")
-        spark.conf.set("spark.checkpoint.dir", configured)
+        configured = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/staging"
     return configured.rstrip("/")
 
 
 def staging_path(spark: SparkSession, label: str) -> str:
-    return f"{staging_dir(spark)}/pagegraph/{label}-{uuid.uuid4().hex}"
+    """A new path in the staging folder, removed when the application ends."""
+    path = f"{staging_dir(spark)}/pagegraph/{label}-{uuid.uuid4().hex}"
+    fs, hadoop_path = _hadoop(spark, path)
+    fs.deleteOnExit(hadoop_path)
+    return path
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Remove a staged table that nothing reads any more."""
+    fs, hadoop_path = _hadoop(spark, path)
+    fs.delete(hadoop_path, True)
+
+
+def _hadoop(spark: SparkSession, path: str):
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
+
+
+@contextmanager
+def _shuffles_removed(spark: SparkSession):
+    """Shuffle files of the writes inside go as soon as each write has ended."""
+    before = spark.conf.get(FILE_CLEANUP, "false")
+    spark.conf.set(FILE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(FILE_CLEANUP, before)
 
 
-def staged(df: DataFrame, label: str) -> DataFrame:
+def staged(df: DataFrame, label: str, partition_by: str | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     This cuts the lineage, survives the loss of executors, and gives the
     planner the true size of the table: it broadcasts the table while that size
     is under ``spark.sql.autoBroadcastJoinThreshold`` and shuffles it beyond.
+    With ``partition_by`` the rows of each value lie in a folder of their own.
     """
-    path = staging_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return _written(df, staging_path(df.sparkSession, label), partition_by)
+
+
+def _written(df: DataFrame, path: str, partition_by: str | None) -> DataFrame:
+    spark = df.sparkSession
+    writer = df.write.partitionBy(partition_by) if partition_by else df.write
+    with _shuffles_removed(spark):
+        writer.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+class Staging:
+    """Staged tables of one job, removed together once nothing reads them."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.paths: list[str] = []
+
+    def keep(self, df: DataFrame, label: str, partition_by: str | None = None) -> DataFrame:
+        self.paths.append(staging_path(self.spark, label))
+        return _written(df, self.paths[-1], partition_by)
+
+    def drop(self) -> None:
+        for path in self.paths:
+            drop_path(self.spark, path)
+        self.paths = []
