@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -49,8 +50,9 @@ def free_name(taken: Iterable[str], wish: str) -> str:
 
 
 def sliced(batch: pa.RecordBatch, text_at: int) -> Iterator[pa.RecordBatch]:
-    """Cut a batch into runs of at most SLICE_ROWS rows and about SLICE_BYTES of text."""
-    lengths = pa.compute.binary_length(batch.column(text_at)).to_pylist()
+    """Cut a batch into runs of at most SLICE_ROWS rows and about SLICE_BYTES of text (or list items)."""
+    column = batch.column(text_at)
+    lengths = (pc.list_value_length if pa.types.is_list(column.type) else pc.binary_length)(column).to_pylist()
     start = size = 0
     for i, n in enumerate(lengths):
         size += n or 0

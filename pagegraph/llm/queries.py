@@ -6,13 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pagegraph.llm import fingerprint, mixing, quality, sharding
+from pagegraph.llm import bpe, fingerprint, langid, licenses, mixing, quality, sharding, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": mixing.op1_mix_sources,
     "op2_fingerprint_multiset": fingerprint.op2_fingerprint_multiset,
     "op3_shard_jump": sharding.op3_shard_jump,
+    "op5_license_scan": licenses.op5_license_scan,
+    "op6_language_id": langid.op6_language_id,
+    "op7_toxicity": toxicity.op7_toxicity,
     "op8_quality_ledger": quality.op8_quality_ledger,
+    "op9_bpe_digests": bpe.op9_bpe_digests,
 }
 
 ORACLES: dict[str, str] = {
