@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pagegraph.llm import bpe, fingerprint, langid, licenses, mixing, quality, sharding, toxicity
+from pagegraph.llm import bpe, fingerprint, langid, licenses, mixing, neardup, quality, sharding, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": mixing.op1_mix_sources,
@@ -17,6 +17,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_toxicity": toxicity.op7_toxicity,
     "op8_quality_ledger": quality.op8_quality_ledger,
     "op9_bpe_digests": bpe.op9_bpe_digests,
+    "op10_simhash_components": neardup.op10_simhash_components,
 }
 
 ORACLES: dict[str, str] = {
