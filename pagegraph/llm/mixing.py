@@ -110,16 +110,23 @@ def mix(rows: DataFrame, size_col: str, id_col: str = "doc_id", source_col: str
     return apart.select(*columns).unionAll(cut.select(*columns))
 
 
-def repeated(mixed: DataFrame, text_col: str, size_col: str, columns: list[str]) -> DataFrame:
-    """``columns`` of the mix as rows: a whole copy a round, and for the cut row its first words."""
-    copies, size = F.floor(F.col("taken") / named(size_col)), named(size_col)
-    part = F.col("taken") - copies * size
-    head = F.array_join(F.slice(blank_words(named(text_col)), F.lit(1), part.cast("int")), " ")
-    copy = free_name(mixed.columns, "_copy")
-    out = mixed.filter((F.col("taken") > 0) & (size > 0))
-    out = out.withColumn(copy, F.explode(F.sequence(F.lit(1), F.ceil(F.col("taken") / size).cast("int"))))
-    shown = F.when(named(copy) <= copies, named(text_col)).otherwise(head)
-    return out.select(*[shown.alias(c) if c == text_col else named(c) for c in columns])
+def repeated(mixed: DataFrame, text_col: str, size_col: str, columns: list[str], chars_col: str | None = None) -> DataFrame:
+    """``columns`` of the mix as rows: a whole copy a round, and of the row at the cut its first words.
+
+    ``chars_col`` (if among the columns) is set to the length of a text so cut.
+    """
+    size, taken = named(size_col), F.col("taken")
+    whole = F.floor(taken / size)
+    copy, part = free_name(mixed.columns, "_copy"), free_name(mixed.columns, "_part")
+    rows = mixed.filter((taken > 0) & (size > 0)).withColumn(part, taken - whole * size)
+    rows = rows.withColumn(copy, F.explode(F.sequence(F.lit(1), F.ceil(taken / size).cast("int"))))
+    is_cut = named(copy) > whole
+    head = F.array_join(F.slice(blank_words(named(text_col)), F.lit(1), named(part).cast("int")), " ")
+    shown = {text_col: F.when(is_cut, head).otherwise(named(text_col))}
+    if chars_col in columns:
+        kind = mixed.schema[chars_col].dataType
+        shown[chars_col] = F.when(is_cut, F.length(head).cast(kind)).otherwise(named(chars_col))
+    return rows.select(*[shown.get(c, named(c)).alias(c) for c in columns])
 
 
 def op1_mix_sources(spark, sf_dir: str) -> DataFrame:

@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pagegraph.llm import bpe, fingerprint, langid, licenses, mixing, neardup, quality, sharding, toxicity
+from pagegraph.llm import bpe, fingerprint, katz, langid, licenses, mixing, neardup, quality, sharding, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": mixing.op1_mix_sources,
     "op2_fingerprint_multiset": fingerprint.op2_fingerprint_multiset,
     "op3_shard_jump": sharding.op3_shard_jump,
+    "op4_katz_scores": katz.op4_katz_scores,
     "op5_license_scan": licenses.op5_license_scan,
     "op6_language_id": langid.op6_language_id,
     "op7_toxicity": toxicity.op7_toxicity,
