@@ -97,7 +97,7 @@ def append_columns(rows: DataFrame, text_col: str, new: T.StructType, scorer: Ca
                 arrays = part.columns[1:] + [pa.array(v, t) for v, t in zip(values, types, strict=True)]
                 yield pa.RecordBatch.from_arrays(arrays, names=out.names)
 
-    source = rows.select(named(text_col), *[named(c) for c in kept])
+    source = rows.select(*[named(c).alias(f"c{i}") for i, c in enumerate([text_col, *kept])])
     return source.mapInArrow(run, out)
 
 
@@ -111,7 +111,9 @@ def keep_rows(rows: DataFrame, text_col: str, judge: Callable[[], Callable[[pa.A
             for part in sliced(batch, at):
                 yield part.filter(pa.array(accepts(part.column(at)), pa.bool_()))
 
-    return rows.mapInArrow(run, rows.schema)
+    # Plain names inside: mapInArrow reads a dot in a name as a field of a struct.
+    plain = rows.toDF(*[f"c{i}" for i in range(len(rows.columns))])
+    return plain.mapInArrow(run, plain.schema).toDF(*rows.columns)
 
 
 def arrow_type(kind: T.DataType) -> pa.DataType:

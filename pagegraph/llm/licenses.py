@@ -27,12 +27,12 @@ TO_WORDS = bytes(_STAYS.get(b, 0x20) for b in range(256))
 
 @dataclass(frozen=True)
 class Rule:
-    """``pattern`` matches whole words of the reduced text; ``keywords`` must all be in it first."""
+    """``pattern`` matches whole words of the reduced text; all of one of the ``keywords`` must be in it first."""
 
     name: str
     label: str
     pattern: str
-    keywords: tuple[str, ...]
+    keywords: tuple[tuple[str, ...], ...]
     priority: int
     confidence: float
     base: bool = False
@@ -99,7 +99,7 @@ NAMES = (
     ("ncsa", r"university of illinois ncsa open source licen[sc]e", "ncsa"),
     ("upl-1.0", r"universal permissive licen[sc]e", "upl 1 0"),
     ("vim", r"vim licen[sc]e", "vim"),
-    ("cc0", r"(?:cc0|creative commons zero)(?: 1 0)?(?: universal)?", "cc0 1 0"),
+    ("cc0", r"cc0(?: 1 0)?(?: universal)?|creative commons zero(?: 1 0)?(?: universal)?", "cc0 1 0"),
     ("cc-by", r"creative commons attribution(?: licen[sc]e)?|cc by", "cc by"),
     ("cc-by-sa", r"creative commons attribution share ?alike|cc by sa", "cc by sa"),
     ("cc-by-nd", r"creative commons attribution no ?deriv(?:ative)?s?(?: works)?|cc by nd", "cc by nd"),
@@ -155,29 +155,43 @@ ADDRESSES = (
 )
 
 
-def _keywords(pattern: str) -> tuple[str, ...]:
-    """The words every match has: those of four letters or more outside of groups and options."""
-    plain = re.sub(r"licen\[sc\]e[sd]?\??", "licen", pattern)
-    while re.search(r"\([^()]*\)\??", plain):
-        plain = re.sub(r"\([^()]*\)\??", " ", plain)
-    if "|" in plain:
-        return ()
-    plain = re.sub(r"\S*[\[\]?*+{}\\]\S*", " ", plain)
-    return tuple(dict.fromkeys(w for w in plain.split() if len(w) >= 4))
+def _alternatives(pattern: str) -> list[str]:
+    """The parts of a pattern between bars that stand in no group."""
+    parts, depth = [""], 0
+    for c in pattern:
+        depth += (c == "(") - (c == ")")
+        if c == "|" and not depth:
+            parts.append("")
+        else:
+            parts[-1] += c
+    return parts
+
+
+def _keywords(pattern: str) -> tuple[tuple[str, ...], ...]:
+    """For each alternative, words that every match has: the long ones outside of groups, or else all."""
+    found = []
+    for plain in _alternatives(pattern):
+        plain = re.sub(r"licen\[sc\]e[sd]?\??", "licen", plain)
+        while re.search(r"\([^()]*\)\??", plain):
+            plain = re.sub(r"\([^()]*\)\??", " ", plain)
+        plain = re.sub(r"\S*[\[\]?*+{}\\]\S*", " ", plain)
+        words = tuple(dict.fromkeys(plain.split()))
+        found.append(tuple(w for w in words if len(w) >= 4) or words)
+    return tuple(found)
 
 
 def rules() -> tuple[Rule, ...]:
-    """All rules in order: base phrases, sentences, identifiers, notices, names, addresses, short names."""
-    made = [Rule(f"base:{label}", label, phrase, (phrase,), 9, 0.9, True) for phrase, label in BASE_PHRASES.items()]
+    """All rules: base phrases (which count wherever they stand, so others may cover them), sentences, identifiers, notices, names, addresses, short names."""
+    made = [Rule(f"base:{label}", label, phrase, ((phrase,),), 1, 0.9, True) for phrase, label in BASE_PHRASES.items()]
     made += [Rule(f"sentence:{label}:{i}", label, p, _keywords(p), 8, 1.0) for i, (label, p) in enumerate(SENTENCES)]
     for label, name, shorts in NAMES:
         for short in shorts.split("|"):
             ids = rf"spdx license identifier {short}(?: only| or later)?"
-            made.append(Rule(f"spdx:{short}", label, ids, ("spdx",), 7, 1.0))
-            made.append(Rule(f"tag:{short}", label, rf"license {short}(?: only| or later)?", ("license",), 3, 0.6))
+            made.append(Rule(f"spdx:{short}", label, ids, (("spdx",),), 7, 1.0))
+            made.append(Rule(f"tag:{short}", label, rf"license {short}(?: only| or later)?", (("license",),), 3, 0.6))
         notice = rf"(?:licen[sc]ed|released|distributed|available|published) under (?:a |an |the )?(?:terms of (?:a |an |the )?)?(?:{name})"
-        made.append(Rule(f"notice:{label}", label, notice, ("under",), 6, 0.95))
-        made.append(Rule(f"terms:{label}", label, rf"(?:subject to|terms of) (?:the )?(?:{name})", (), 5, 0.9))
+        made.append(Rule(f"notice:{label}", label, notice, (("under",),), 6, 0.95))
+        made.append(Rule(f"terms:{label}", label, rf"(?:subject to|terms of) (?:the )?(?:{name})", (("subject",), ("terms",)), 5, 0.9))
         made.append(Rule(f"name:{label}", label, name, _keywords(name), 4, 0.8))
     made += [Rule(f"address:{label}:{i}", label, p, _keywords(p), 5, 0.9) for i, (label, p) in enumerate(ADDRESSES)]
     return tuple(made)
@@ -198,11 +212,9 @@ class Scanner:
     def __init__(self, order: tuple[Rule, ...] | None = None):
         self.rules = order or rules()
         self.patterns = [re.compile(rf"(?<![^ ])(?:{r.pattern})(?![^ ])".encode()) for r in self.rules]
-        # Rules that name no keyword of their own wait for a word every license phrase has.
-        gates = [r.keywords or ("licen",) for r in self.rules]
-        self.gates = [frozenset(g) for g in gates]
+        self.gates = [[frozenset(words) for words in r.keywords] for r in self.rules]
         self.automaton = ahocorasick.Automaton()
-        for word in {w for g in gates for w in g}:
+        for word in {w for r in self.rules for words in r.keywords for w in words}:
             self.automaton.add_word(word, word)
         self.automaton.make_automaton()
 
@@ -216,8 +228,8 @@ class Scanner:
         present = {word for _, word in self.automaton.iter(reduced.decode("latin-1"))}
         if not present:
             return
-        for rule, gate, pattern in zip(self.rules, self.gates, self.patterns):
-            if gate <= present:
+        for rule, gates, pattern in zip(self.rules, self.gates, self.patterns):
+            if any(gate <= present for gate in gates):
                 for match in pattern.finditer(reduced):
                     start = reduced.count(b" ", 0, match.start())
                     yield Detection(start, start + match.group().count(b" ") + 1, rule)

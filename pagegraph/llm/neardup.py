@@ -239,6 +239,8 @@ REFINE = 6
 #: estimate of their similarity from HASHES values may fall short (three deviations).
 WIDE = 20
 SHORT = 0.15
+#: Candidates of a text that are checked besides those that hang its group together.
+PARTNERS = 6
 #: Rows of a shard here, which holds all candidate pairs of a group of copies at once.
 SIMILAR_ROWS = 2048
 
@@ -278,10 +280,11 @@ def sketches(rows: DataFrame, text_col: str, words_each: int) -> DataFrame:
 
 
 def forest(values: np.ndarray, mins: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
-    """Edges that join texts estimated ``least`` alike, the most alike first, without any circle.
+    """Pairs that join all texts estimated ``least`` alike, directly or through others.
 
     Candidates come from the BK-tree over the fingerprints. In each round every group
-    takes its most alike pair to another group (Boruvka).
+    takes its most alike pair to another group (Boruvka). As an estimate may prove too
+    high, the PARTNERS most alike candidates of each text are added.
     """
     distinct, place = np.unique(values, return_inverse=True)
     order = np.argsort(place, kind="stable")
@@ -312,7 +315,11 @@ def forest(values: np.ndarray, mins: np.ndarray, least: float) -> tuple[np.ndarr
         taken = np.unique(best_first[first % len(best_first)])
         kept.append(taken)
         labels = merge_labels(labels, a[taken], b[taken])
-    at = np.concatenate(kept) if kept else np.zeros(0, np.int64)
+    one, pair = np.concatenate([a, b]), np.tile(np.arange(len(a)), 2)
+    order = np.lexsort((pair, -alike[pair], one))
+    nth = np.arange(len(order)) - np.searchsorted(one[order], one[order])
+    kept.append(pair[order[nth < PARTNERS]])
+    at = np.unique(np.concatenate(kept))
     return a[at], b[at]
 
 

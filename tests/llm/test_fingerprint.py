@@ -1,0 +1,99 @@
+import hashlib
+import math
+from collections import Counter
+
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+from pagegraph.llm import fingerprint as fp
+from tests.llm.conftest import values
+
+M = 1 << 32
+
+
+def chained(parts):
+    """A hash of several strings, each the seed of the next."""
+    seed = 42
+    for p in parts:
+        seed = xxhash.xxh64_intdigest(p, seed)
+    return seed
+
+
+def with_number(text, n):
+    return xxhash.xxh64_intdigest(n.to_bytes(4, "little"), xxhash.xxh64_intdigest(text, 42))
+
+
+def vector(text):
+    paragraphs = [p for p in text.split("\n") if p.strip("\x20\x09\x0a\x0b\x0c\x0d")]
+    lanes = []
+    for salt in range(fp.SALTS):
+        hashes = [with_number(p, salt) for p in paragraphs]
+        lanes += [sum(h % M for h in hashes) % M, sum(h >> 32 for h in hashes) % M]
+    shingles = []
+    for p in paragraphs:
+        words = p.encode().split()
+        shingles += [chained(words[i : i + 3]) for i in range(len(words) - 2)] if len(words) >= 3 else [chained(words)]
+    return lanes + [len(shingles)] + [sum(h >> k & 1 for h in shingles) for k in range(64)]
+
+
+def alike(a, b):
+    if a == b:
+        return 1.0
+    x, y = ([2 * v - lanes[8] for v in lanes[9:]] for lanes in (a, b))
+    norm = math.sqrt(sum(v * v for v in x) * sum(v * v for v in y))
+    return min(1.0, max(0.0, sum(p * q for p, q in zip(x, y)) / norm)) if norm else 0.0
+
+
+def signed_order(text):
+    h = xxhash.xxh64_intdigest(text, 42)
+    return h - (1 << 64) if h >> 63 else h
+
+
+def by_hand(rows):
+    docs = sorted({(i is not None, i or 0, signed_order(t or ""), t or "") for i, t in rows})
+    out = {}
+    for k, (has, i, _, text) in enumerate(docs):
+        m = len(text) // 4
+        after = docs[(k + 1) % len(docs)][3]
+        edited = text[: len(text) - m] + after[:m]
+        a, b, c = vector(text), vector(edited), vector(after)
+        show = lambda lanes: "".join(f"{v % M:08x}" for v in lanes)
+        out[i if has else None, text] = (len(text), hashlib.sha256(edited.encode()).hexdigest(), show(a), show(b), alike(a, b), alike(a, c))
+    return out
+
+
+def test_against_brute_force(odd, odd_rows):
+    texts = [(r[0], r[1]) for r in odd_rows]
+    want = Counter()
+    made = by_hand(texts)
+    for i, t in texts:
+        n, sha, a, b, near, after = made[i, t or ""]
+        want[i, n, sha, a, b, round(near, 9), round(after, 9)] += 1
+    got = Counter((r.doc_id, r.n_chars, r.edited_sha256, r.fingerprint, r.edited_fingerprint, round(r.near_edited, 9), round(r.near_next, 9)) for r in fp.edited_fingerprints(odd).collect())
+    assert got == want
+
+
+def test_sums_insert_delete_and_forget_order(spark):
+    rows = [("ab", "one two three four\nfive six"), ("a", "one two three four"), ("b", "five six"), ("ba", "five six\n\none two three four")]
+    lanes = {r.k: r.lanes for r in fp.fingerprints(spark.createDataFrame(rows, "k string, text string"), ["k"]).collect()}
+    assert lanes["ab"] == lanes["ba"] != lanes["a"]
+    one = spark.createDataFrame([(lanes["ab"], lanes["a"], lanes["b"])], "ab array<long>, a array<long>, b array<long>")
+    assert one.select(fp.plus(F.col("a"), F.col("b"))).first()[0] == lanes["ab"]
+    assert one.select(fp.minus(F.col("ab"), F.col("b"))).first()[0] == lanes["a"]
+
+
+def test_empty_single_and_clashing(spark, none, clashing, odd):
+    assert fp.edited_fingerprints(none).count() == 0
+    single = fp.edited_fingerprints(spark.createDataFrame([(5, "abcdefgh")], "doc_id long, text string")).first()
+    assert single.edited_sha256 == hashlib.sha256(b"abcdefab").hexdigest() and single.near_next == 1.0
+    columns = ("doc_id", "fingerprint", "near_next")
+    assert values(fp.edited_fingerprints(clashing), *columns) == values(fp.edited_fingerprints(odd), *columns)
+
+
+@pytest.mark.parametrize("n", [3, 17])
+def test_ring_over_many_ranges(spark, n):
+    spread = spark.range(0, n * 5, 5).repartition(4)
+    got = {r.id: (r.next.id, r.prev.id) for r in fp.neighbours(spread, ["id"]).collect()}
+    ids = list(range(0, n * 5, 5))
+    assert got == {v: (ids[(k + 1) % n], ids[k - 1]) for k, v in enumerate(ids)}

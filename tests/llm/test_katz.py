@@ -1,0 +1,106 @@
+import math
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from pagegraph.llm import katz
+from tests.llm.conftest import values
+
+
+def tokens_of(text):
+    lowered = re.sub("[A-Z]", lambda m: m.group().lower(), text or "")
+    return re.findall(r"[^\x20\x09-\x0D]+", lowered) + [None]
+
+
+class ByHand:
+    """The model from plain counters."""
+
+    def __init__(self, texts):
+        self.words, self.pairs = Counter(), Counter()
+        for t in texts:
+            tokens = tokens_of(t)
+            self.words.update(tokens)
+            self.pairs.update(zip(["<start>", *tokens[:-1]], tokens))
+        counts = lambda c: Counter(c.values())
+        self.dw, self.dp = katz.discounts(counts(self.words)), katz.discounts(counts(self.pairs))
+        self.n = sum(self.words.values())
+        lost = sum(c - self.cut(c, self.dw) for c in self.words.values())
+        self.shrink = 1.0 if lost > 0 else self.n / (self.n + 0.5)
+        self.unknown = lost / self.n if lost > 0 else 0.5 / (self.n + 0.5)
+        self.mass, self.covered, self.times = defaultdict(float), defaultdict(float), Counter()
+        for (v, w), c in self.pairs.items():
+            self.mass[v] += self.cut(c, self.dp)
+            self.covered[v] += self.word(w)
+            self.times[v] += c
+
+    @staticmethod
+    def cut(c, d):
+        return c * (d[c] if c <= katz.DISCOUNTED else 1.0)
+
+    def word(self, w):
+        return self.cut(self.words[w], self.dw) / self.n * self.shrink if w in self.words else self.unknown
+
+    def pair(self, v, w):
+        n = self.times[v]
+        if not n:
+            return self.word(w)
+        full = self.mass[v] >= n * (1 - 1e-12)
+        if (v, w) in self.pairs:
+            return self.cut(self.pairs[v, w], self.dp) / n * (n / (n + 0.5) if full else 1.0)
+        left = 0.5 / (n + 0.5) if full else 1 - self.mass[v] / n
+        return left / (1 - self.covered[v]) * self.word(w)
+
+    def score(self, text):
+        tokens = tokens_of(text)
+        return sum(math.log10(self.pair(v, w)) for v, w in zip(["<start>", *tokens[:-1]], tokens))
+
+
+def held(i):
+    return zlib.crc32(("" if i is None else str(i)).encode()) % 5 == 1
+
+
+@pytest.mark.parametrize("block, bucket", [(2_000_000, 1_000_000), (50, 40)])
+def test_against_brute_force(odd, odd_rows, monkeypatch, block, bucket):
+    monkeypatch.setattr(katz, "BLOCK_TOKENS", block)
+    monkeypatch.setattr(katz, "BUCKET_TOKENS", max(bucket, 2000))
+    model = ByHand([r[1] for r in odd_rows if not held(r[0])])
+    want = []
+    for i, text, *_ in odd_rows:
+        tokens = tokens_of(text)
+        base = sum(math.log10((model.words[w] + 0.5) / (model.n + 0.5 * (len(model.words) + 1))) for w in tokens)
+        want.append((i, held(i), len(tokens), sum(w in model.words for w in tokens), model.n, round(base, 4), round(model.score(text), 4)))
+    got = katz.scores(odd, F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 5 == 1)
+    got = [(*r[:5], round(r[5], 4), round(r[6], 4)) for r in got.collect()]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
+
+
+def test_probabilities_of_every_context_sum_to_one(odd_rows):
+    model = ByHand([r[1] for r in odd_rows])
+    for v in [*list(model.times)[:40], "<never seen>"]:
+        total = sum(model.pair(v, w) for w in model.words) + model.pair(v, "<unknown>")
+        assert total == pytest.approx(1.0, abs=1e-9)
+
+
+def test_discounts_fall_back():
+    assert katz.discounts({1: 100, 2: 40, 3: 20, 4: 12, 5: 8, 6: 6})[1:].tolist() == pytest.approx([0.6875, 0.6641, 0.7083, 0.7396, 0.8594], abs=0.2)
+    assert katz.discounts({1: 3})[1] == 0.5
+    assert katz.discounts({})[2] == 0.75
+
+
+def test_packing_round_trip():
+    for kind in (np.int32, np.int64, np.uint64, np.float64):
+        for a in (np.zeros(0, kind), np.arange(1000).astype(kind)):
+            assert np.array_equal(katz.unpack(katz.pack(a), kind), a)
+
+
+def test_empty_nothing_to_learn_and_clashing(none, odd, clashing):
+    fold = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 5 == 1
+    assert katz.scores(none, fold).count() == 0
+    untaught = katz.scores(odd, F.lit(True)).collect()
+    assert {(r.train_tokens, r.n_known, r.score, r.base_score) for r in untaught} == {(0, 0, 0.0, 0.0)}
+    rounded = lambda df: [(i, round(s, 6)) for i, s in values(katz.scores(df, fold), "doc_id", "score")]
+    assert rounded(clashing) == rounded(odd)

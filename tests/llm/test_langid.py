@@ -1,0 +1,51 @@
+from pyspark.sql import functions as F
+
+from pagegraph.llm import langid
+from tests.llm.conftest import values
+
+TEACH = {"en": "the house of the river and the long road to the town", "de": "das haus an dem fluss und die lange strasse in der stadt", "fr": "la maison de la rivière et la longue route vers la ville"}
+
+
+def lessons(spark, more=()):
+    rows = [(i, t, lang) for i, (lang, t) in enumerate((k, v) for k, v in TEACH.items() for _ in range(3))]
+    return spark.createDataFrame([*rows, *more], "doc_id long, text string, lang string")
+
+
+def test_words_first_then_shorter_ngrams(spark):
+    model = langid.train(lessons(spark))
+    predictor = langid.Predictor(model)
+    assert [predictor.predict(t)[0] for t in TEACH.values()] == list(TEACH)
+    assert "house" in model.words
+    assert predictor.predict("strassen")[0] == "de" and predictor.predict("RIVIÈRES")[0] == "fr"
+    table, logs = model.grams[5]
+    grams = [g for g in langid.grams("strassen", 5) if g in table]
+    assert grams and (model.unseen("strassen") == logs[[table[g] for g in grams]].mean(axis=0)).all()
+
+
+def test_nulls_teach_nothing_and_the_sample_is_bounded(spark):
+    more = [(90, None, "xx"), (91, "unlabelled words", None), *((100 + i, f"zz{i} qq", "zz") for i in range(50))]
+    model = langid.train(lessons(spark, more), most=4)
+    assert model.languages == ["de", "en", "fr", "zz"]
+    sample = langid.bounded_sample(lessons(spark, more), F.col("lang"), "doc_id", "text", 4)
+    assert {r.label: r.n for r in sample.groupBy("label").agg(F.count("*").alias("n")).collect()} == {"de": 3, "en": 3, "fr": 3, "zz": 4}
+
+
+def test_odd_texts_empty_and_clashing(spark, odd, none, clashing):
+    model = langid.train(lessons(spark))
+    got = {(r.doc_id, r.lang_pred, r.score) for r in langid.identify(odd.select("doc_id", "text"), model).filter("doc_id IN (2, 3, 4, 10)").collect()}
+    assert got == {(i, "und", 0.0) for i in (2, 3, 4, 10)}
+    assert langid.identify(none, model).count() == 0
+    untaught = langid.train(none)
+    assert {r.lang_pred for r in langid.identify(odd, untaught).collect()} == {"und"}
+    kept = langid.keep_known(clashing, model, 0.5)
+    assert kept.columns == clashing.columns
+    assert values(langid.identify(clashing, model), "doc_id", "lang_pred") == values(langid.identify(odd, model), "doc_id", "lang_pred")
+    known = [i for i, lang in values(langid.identify(odd, model), "doc_id", "lang_pred") if lang != "und"]
+    assert len(values(kept, "doc_id")) <= len(known)
+
+
+def test_held_out_accuracy(spark):
+    sf = "/root/testdata/sf0.01"
+    told = langid.op6_language_id(spark, sf).filter("held_out").join(spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang"), "doc_id")
+    right, all_ = told.select(F.sum((F.col("lang") == F.col("lang_pred")).cast("int")), F.count("*")).first()
+    assert right >= 0.98 * all_

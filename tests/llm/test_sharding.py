@@ -1,0 +1,48 @@
+import hashlib
+from collections import Counter
+
+import numpy as np
+
+from pagegraph.llm import sharding
+from tests.llm.conftest import values
+
+
+def jump_once(key, shards):
+    """The published loop, one key at a time."""
+    b, j = -1, 0
+    while j < shards:
+        b = j
+        key = (key * 2862933555777941757 + 1) % (1 << 64)
+        j = int((b + 1) * (2147483648.0 / ((key >> 33) + 1)))
+    return b
+
+
+def key_of(i):
+    return int(hashlib.md5(("" if i is None else str(i)).encode()).hexdigest()[:15], 16)
+
+
+def test_jump_matches_the_loop():
+    keys = np.random.default_rng(1).integers(0, 1 << 60, 500)
+    for shards in (1, 2, 24, 1000):
+        assert sharding.jump(keys, shards).tolist() == [jump_once(int(k), shards) for k in keys]
+
+
+def test_growth_moves_rows_only_into_the_new_shard():
+    keys = np.random.default_rng(2).integers(0, 1 << 60, 20_000)
+    before, after = sharding.jump(keys, 24), sharding.jump(keys, 25)
+    moved = before != after
+    assert set(after[moved]) == {24} and 0.03 < moved.mean() < 0.05
+
+
+def test_slots_shards_and_repeated_rows(odd, odd_rows):
+    rows = sharding.shard(odd, shards=3).collect()
+    assert Counter(r.doc_id for r in rows) == Counter(r[0] for r in odd_rows)
+    for r in rows:
+        assert r.shard == jump_once(key_of(r.doc_id), 3) and r.grown_shard == jump_once(key_of(r.doc_id), 4)
+    for s in range(3):
+        assert sorted(r.slot for r in rows if r.shard == s) == list(range(sum(r.shard == s for r in rows)))
+
+
+def test_empty_and_clashing(none, clashing, odd):
+    assert sharding.shard(none).count() == 0
+    assert values(sharding.shard(clashing), "doc_id", "shard") == values(sharding.shard(odd), "doc_id", "shard")
