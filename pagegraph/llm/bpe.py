@@ -15,6 +15,8 @@ from __future__ import annotations
 import hashlib
 import json
 import unicodedata
+from collections.abc import Callable
+from functools import lru_cache
 
 import pyarrow as pa
 import regex
@@ -118,17 +120,20 @@ class Vocabulary:
 
     def encode_words(self, words: list[bytes]) -> dict[bytes, list[int]]:
         """The tokens of each distinct word, by a depth-first walk over their trie."""
-        found, states, path = {}, [-1], b""
+        found, states, path, size = {}, [-1], b"", self.size
         for word in sorted(words):
             shared, most = 0, min(len(word) - 1, len(path))
-            while shared < most and word[shared] == path[shared]:
-                shared += 1
+            if word[:most] == path[:most]:
+                shared = most
+            else:
+                while word[shared] == path[shared]:
+                    shared += 1
             del states[shared + 1 :]
             path = word[:-1]
             for end in range(shared + 1, len(word)):
                 states.append(self.last_token(word, end, False, states))
             tokens, end = [self.last_token(word, len(word), True, states)], len(word)
-            while (end := end - self.size[tokens[-1]]) > 0:
+            while (end := end - size[tokens[-1]]) > 0:
                 tokens.append(states[end])
             found[word] = tokens[::-1]
         return found
@@ -145,12 +150,18 @@ def lowered(text: str) -> str:
     return text.lower()
 
 
+@lru_cache(1)
+def _vocabulary(file: bytes) -> Vocabulary:
+    """Read once a worker process."""
+    return Vocabulary(file)
+
+
 class Encoder:
-    """Encodes texts of a task; keeps the encodings of words it has met."""
+    """Encodes texts of a task; keeps what ``shape`` makes of the tokens of each word it has met."""
 
-    def __init__(self, file: bytes):
-        self.vocabulary = Vocabulary(file)
-        self.tokens: dict[str, list[int]] = {}
+    def __init__(self, file: bytes, shape: Callable[[list[int]], object] = list):
+        self.vocabulary, self.shape = _vocabulary(file), shape
+        self.known: dict[str, object] = {}
         names = sorted(self.vocabulary.special, key=len, reverse=True)
         self.special = regex.compile("(" + "|".join(map(regex.escape, names)) + ")") if names else None
 
@@ -163,24 +174,20 @@ class Encoder:
             found += [piece] if piece in self.vocabulary.special else WORDS.findall(lowered(piece))
         return found
 
-    def learn(self, lists: list[list[str]]) -> None:
-        """Encode the words of some texts that are not known yet."""
-        if len(self.tokens) > KEPT_WORDS:
-            self.tokens = {}
-        new = {w for words in lists for w in words} - self.tokens.keys()
-        special = self.vocabulary.special
-        raw = {w.encode(): w for w in new if w not in special}
-        self.tokens.update((w, [special[w]]) for w in new if w in special)
-        self.tokens.update((raw[b], ids) for b, ids in self.vocabulary.encode_words(list(raw)).items())
-
-    def split(self, batch: list[str]) -> list[list[str]]:
-        """The words of each text, their encodings known afterwards."""
+    def shaped(self, batch: list[str]) -> list[list]:
+        """For each text its words' shapes, in order."""
         lists = [self.words(t) for t in batch]
-        self.learn(lists)
-        return lists
+        if len(self.known) > KEPT_WORDS:
+            self.known = {}
+        special, new = self.vocabulary.special, set().union(*lists) - self.known.keys()
+        raw = {w.encode(): w for w in new if w not in special}
+        self.known.update((w, self.shape([special[w]])) for w in new if w in special)
+        self.known.update((raw[b], self.shape(ids)) for b, ids in self.vocabulary.encode_words(list(raw)).items())
+        known = self.known
+        return [[known[w] for w in words] for words in lists]
 
     def encode(self, batch: list[str]) -> list[list[int]]:
-        return [[i for w in words for i in self.tokens[w]] for words in self.split(batch)]
+        return [[i for ids in words for i in ids] for words in self.shaped(batch)]
 
     def decode(self, ids: list[int]) -> str:
         """The tokens' strings with a blank between, as a vocabulary without decoder gives them."""
@@ -225,19 +232,16 @@ def digests(rows: DataFrame, text_col: str = "text", vocabulary: str | None = No
     file = _shared(rows.sparkSession, vocabulary)
 
     def scorer() -> Scorer:
-        encoder = Encoder(file.value)
+        # Of a word: how many tokens, their ids as text, what they decode to.
+        encoder = Encoder(file.value, lambda ids: (len(ids), " ".join(map(str, ids)), encoder.decode(ids)))
 
         def digest(parts: list[str]) -> str:
             return hashlib.sha256(" ".join(parts).encode()).hexdigest()
 
         def score(column: pa.Array) -> list[list]:
-            # What a word's tokens look like is worked out once for all texts of the slice.
-            lists = encoder.split(texts(column))
-            tokens = {w: encoder.tokens[w] for words in lists for w in words}
-            shown = {w: " ".join(map(str, ids)) for w, ids in tokens.items()}
-            decoded = {w: encoder.decode(ids) for w, ids in tokens.items()}
-            counts = [sum(len(tokens[w]) for w in words) for words in lists]
-            return [counts, [digest([shown[w] for w in words]) for words in lists], [digest([decoded[w] for w in words]) for words in lists]]
+            told = encoder.shaped(texts(column))
+            counts = [sum([n for n, _, _ in words]) for words in told]
+            return [counts, [digest([ids for _, ids, _ in words]) for words in told], [digest([s for _, _, s in words]) for words in told]]
 
         return score
 
