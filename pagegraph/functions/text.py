@@ -22,8 +22,11 @@ _WHITESPACE = r"[\s\x1c-\x1f]"
 
 
 def trim_unicode(text: Column) -> Column:
-    """Trim every kind of Unicode white space, not only blanks."""
-    return F.regexp_replace(text, rf"(?U)^{_WHITESPACE}+|{_WHITESPACE}+\z", "")
+    """Trim every kind of Unicode white space, not only blanks.
+
+    A run of blanks inside is tried once, at its start, however long it is.
+    """
+    return F.regexp_replace(text, rf"(?U)^{_WHITESPACE}+|(?<!{_WHITESPACE}){_WHITESPACE}++\z", "")
 
 
 def blank_to_null(text: Column) -> Column:

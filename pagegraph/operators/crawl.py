@@ -12,6 +12,7 @@ from pagegraph.operators.traverse import (
     child_key,
     clamp_depth,
     first_key,
+    key_literal,
     next_frontier,
     seed_frontier,
     union_all,
@@ -37,12 +38,16 @@ def corpus_facts(responses: DataFrame) -> DataFrame:
 def _visited_facts(corpus: DataFrame, frontier: DataFrame, level: int) -> DataFrame:
     # The bound on the key holds for every row; it marks the frontier as the
     # selective side, from which Spark may build a bloom filter over the corpus.
-    wanted = frontier.filter(F.col("bfs_key") >= first_key(level)).select(F.col("node").alias("requested_url"))
+    wanted = frontier.filter(F.col("bfs_key") >= key_literal(first_key(level))).select(F.col("node").alias("requested_url"))
     if "links" in corpus.columns:
-        return corpus.select(*FACTS).join(wanted, "requested_url", "left_semi")
-    # A page is cut down to the visited ones before it is read, and read once
-    # however many seeds visit it.
-    return corpus_facts(corpus.join(wanted, "requested_url", "left_semi"))
+        facts = corpus.select(*FACTS).join(wanted, "requested_url", "left_semi")
+    else:
+        # A page is cut down to the visited ones before it is read, and read once
+        # however many seeds visit it.
+        facts = corpus_facts(corpus.join(wanted, "requested_url", "left_semi"))
+    # Of pages that share a URL one is visited; facts are few and hold no body.
+    rest = F.min(F.struct(*FACTS[1:])).alias("facts")
+    return facts.groupBy("requested_url").agg(rest).select("requested_url", "facts.*")
 
 
 def _visit(corpus: DataFrame, frontier: DataFrame, level: int) -> DataFrame:
@@ -69,8 +74,9 @@ def crawl(
 ) -> DataFrame:
     """Pages each seed reaches over links to its own host, breadth first.
 
-    ``responses`` comes from ``read_responses`` with one row per
-    ``requested_url`` (``dedupe_pages``), or from ``corpus_facts``. ``depth``
+    ``responses`` comes from ``read_responses`` or, read already, from
+    ``corpus_facts``. Rows that share a ``requested_url`` count as one page, the least
+    by status, final URL and so on; ``dedupe_pages`` chooses by another order. ``depth``
     counts levels, the seed's own included. ``bfs_key`` of the result is the order
     of visits of a seed. A page counts against ``max_pages`` whatever its status.
     """

@@ -46,11 +46,13 @@ def rejected_refs(hrefs: str, base_url: str) -> Column:
 
 
 def links_on(links: str, seed_netloc: str) -> Column:
-    return F.expr(f"filter({links}, link -> {canonical_netloc('link')} = {seed_netloc})")
+    """Links to the seed's host; a seed without host has none."""
+    return F.expr(f"filter({links}, link -> {canonical_netloc('link')} = coalesce({seed_netloc}, ''))")
 
 
 def links_off(links: str, seed_netloc: str) -> Column:
-    return F.expr(f"filter({links}, link -> {canonical_netloc('link')} <> {seed_netloc})")
+    """Links to other hosts than the seed's."""
+    return F.expr(f"filter({links}, link -> {canonical_netloc('link')} <> coalesce({seed_netloc}, ''))")
 
 
 def mailto_emails(hrefs: str) -> Column:

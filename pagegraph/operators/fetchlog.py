@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 from pagegraph.functions.text import is_html
 from pagegraph.session import staged
 
-# Retries unless told otherwise, and errors a retry may cure.
+# Retries unless told otherwise, and errors a retry may cure, which are
+# timeouts and failed connections of every kind.
 DEFAULT_RETRIES = 1
-RETRYABLE_ERRORS = ("Timeout", "ConnectionError")
+RETRYABLE_ERRORS = ("Timeout", "ConnectTimeout", "ReadTimeout", "ConnectionError", "ProxyError", "SSLError")
 
 
 def is_success(status: Column) -> Column:
@@ -27,7 +28,8 @@ def usable_body(status: Column, content_type: Column, body: Column) -> Column:
 
 
 def _unhandled(error: Column) -> Column:
-    return F.coalesce(~error.isin(*RETRYABLE_ERRORS), F.lit(False))
+    """Whether an error, named plainly or with its module, is none a retry may cure."""
+    return F.coalesce(~F.substring_index(error, ".", -1).isin(*RETRYABLE_ERRORS), F.lit(False))
 
 
 def _classified(attempts: DataFrame, retries: int) -> DataFrame:
@@ -101,8 +103,8 @@ def resolve_attempts(
     refused = _unhandled(F.col("error"))
     if on_error == "fail":
         message = F.concat(F.lit("unhandled fetch error: "), F.col("error"))
-        checked = F.when(refused, F.raise_error(message)).otherwise(F.col("status"))
-        resolved = resolved.withColumn("status", checked)
+        # A condition on rows, unlike a column, is worked out whatever is read of the result.
+        resolved = resolved.filter(F.when(refused, F.raise_error(message).cast("boolean")).otherwise(F.lit(True)))
     else:
         resolved = resolved.filter(~refused)
     return resolved.select(

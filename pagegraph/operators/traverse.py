@@ -1,7 +1,8 @@
 """Bounded breadth-first search for many seeds at once.
 
-A node's place in the queue is one BIGINT, ``bfs_key``: 0 for the seed, then the
-link positions on the way to it, 31 bits each. Keys of one seed sort in queue
+A node's place in the queue is one number, ``bfs_key``: 0 for the seed, then the
+link positions on the way to it, each a digit to the base 2^63, so that any BIGINT
+position has room and three levels fit DECIMAL(38, 0). Keys of one seed sort in queue
 order, a deeper level always after a shallower one, so ``min(bfs_key)`` over
 everything reached so far is at once the first-parent rule and the test for nodes
 already queued, in one hash aggregate that combines before its shuffle.
@@ -20,7 +21,8 @@ from pagegraph.session import staged
 MIN_DEPTH = 1
 MAX_DEPTH = 3
 
-POSITION_BITS = 31
+KEY = "decimal(38,0)"
+BASE = 1 << 63
 
 
 def clamp_depth(depth: int) -> int:
@@ -29,12 +31,18 @@ def clamp_depth(depth: int) -> int:
 
 def first_key(level: int) -> int:
     """Smallest key of a level."""
-    return 0 if level == 0 else 1 << (POSITION_BITS * (level - 1))
+    return sum(BASE**k for k in range(level))
+
+
+def key_literal(value: int) -> Column:
+    return F.lit(str(value)).cast(KEY)
 
 
 def child_key(parent_key: Column, position: Column) -> Column:
-    """Key of the child at a zero-based position, which must be an INT."""
-    return F.shiftleft(parent_key, POSITION_BITS) + position.cast("int").cast("bigint") + 1
+    """Key of the child at a zero-based position; a negative one fails the job."""
+    message = F.concat(F.lit("negative link position: "), position.cast("string"))
+    place = F.when(position < 0, F.raise_error(message).cast("bigint")).otherwise(position.cast("bigint"))
+    return (parent_key * key_literal(BASE) + place.cast(KEY) + F.lit(1)).cast(KEY)
 
 
 def next_frontier(
@@ -53,11 +61,11 @@ def next_frontier(
         queue = Window.partitionBy("seed").orderBy("bfs_key")
         reached = reached.withColumn("place", F.row_number().over(queue))
         reached = reached.filter(F.col("place") <= max_nodes).drop("place")
-    return reached.filter(F.col("bfs_key") >= first_key(level))
+    return reached.filter(F.col("bfs_key") >= key_literal(first_key(level)))
 
 
 def seed_frontier(seeds: DataFrame) -> DataFrame:
-    return seeds.select("seed", F.col("seed").alias("node"), F.lit(0).cast("bigint").alias("bfs_key"))
+    return seeds.select("seed", F.col("seed").alias("node"), key_literal(0).alias("bfs_key"))
 
 
 def union_all(parts: list[DataFrame]) -> DataFrame:

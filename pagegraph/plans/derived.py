@@ -1,8 +1,7 @@
 """Pages, posts, attempts and edges that Spark derives from the given tables.
 
-Every derived page lists a number of things bounded by key arithmetic (orders of
-one block, blocks of one shop, line numbers of one order), so no page grows with
-the tables; the number of pages does.
+A derived page lists the orders of one block, the blocks of one shop or the lines of
+one order, so no page grows with the tables; the number of pages does.
 """
 
 from __future__ import annotations
@@ -11,26 +10,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-# Orders listed on one page, orders of one shop, and lines on one order's page.
+from pagegraph.functions.urls import normalize_url
+
+# Orders listed on one page, and orders of one shop.
 BLOCK = 64
 SHOP = 1024
-LINES = 8
-
-# Link positions are INT; equal ones may come in any order.
-POSITIONS = 2147483646
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Spread a table of a few large splits over all cores; a table with at least
-    as many splits as cores stays as it is."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def key(column: str, block: int) -> Column:
     return F.expr(f"{column} div {block}")
 
@@ -50,19 +40,17 @@ def order_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A page per order: ways back, the parts with pictures, suppliers and mail
     links, and the clerk's address. Pending orders answer 404 without body, urgent
     ones redirect."""
-    orders = spread(table(spark, sf_dir, "orders")).select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
-    lines = (
-        table(spark, sf_dir, "lineitem")
-        .groupBy("l_orderkey", (F.col("l_linenumber") % LINES).alias("slot"))
-        .agg(F.min("l_partkey").alias("part"), F.min("l_suppkey").alias("supp"))
-    )
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", F.col("l_partkey").alias("part"), F.col("l_suppkey").alias("supp")
+    ).distinct()
     line = F.format_string(
         '<img src="/img/%d.png#x"><a href="http://S%d.supplier.example:80/p/%d/?o=1#top">part'
         '<a href="MAILTO: sales%d@supplier.example ?subject=x">',
         "part", "supp", "part", "supp",
     )
-    shown = lines.select("l_orderkey", F.struct("slot", line.alias("line")).alias("line"))
-    # At most one entry per slot.
+    shown = lines.select("l_orderkey", F.struct("part", "supp", line.alias("line")).alias("line"))
+    # The lines of one order.
     listed = shown.groupBy("l_orderkey").agg(F.array_sort(F.collect_list("line")).alias("lines"))
     orders = orders.join(listed, F.col("o_orderkey") == F.col("l_orderkey"), "left")
     body = F.concat(
@@ -128,6 +116,32 @@ def shop_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.unionByName(home_pages(spark, sf_dir))
 
 
+def shop_attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The shops' pages as a log of attempts: every other page timed out or met a
+    server error first."""
+    pages = shop_pages(spark, sf_dir)
+    trouble = F.crc32("url") % 4
+    answers = pages.select(
+        "url",
+        F.when(trouble < 2, 2).otherwise(1).alias("attempt"),
+        "status",
+        F.coalesce("final_url", normalize_url("url")).alias("final_url"),
+        F.lit("text/html; charset=utf-8").alias("content_type"),
+        F.col("html").alias("body"),
+        F.lit(None).cast("string").alias("error"),
+    )
+    failures = pages.filter(trouble < 2).select(
+        "url",
+        F.lit(1).alias("attempt"),
+        F.when(trouble == 0, 503).alias("status"),
+        F.when(trouble == 0, F.col("url")).alias("final_url"),
+        F.lit(None).cast("string").alias("content_type"),
+        F.lit(None).cast("string").alias("body"),
+        F.when(trouble == 1, "ReadTimeout").alias("error"),
+    )
+    return answers.unionByName(failures)
+
+
 def shop_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     shops = table(spark, sf_dir, "orders").select(key("o_orderkey", SHOP).alias("shop")).distinct()
     return shops.select(shop_url(F.col("shop")).alias("url"))
@@ -184,11 +198,21 @@ def post_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Errors of attempts without answer, by event number.
+ERRORS = (
+    "Timeout", "ReadTimeout", "ConnectTimeout", "requests.exceptions.SSLError",
+    "ConnectionError", "ProxyError", "ReadTimeout", "TooManyRedirects",
+)
+
+
 def event_attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """An attempt per event, counted per user and day."""
+    """An attempt per event, counted per user and day. Sign-ups are attempts without
+    answer: timeouts and failed connections, and in one of eight an error that no
+    retry can cure."""
     events = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "props")
     url = F.concat(F.format_string("http://u%d.example/", "user_id"), F.col("ts").cast("date").cast("string"))
     kind = F.col("event_type")
+    errors = F.array(*[F.lit(name) for name in ERRORS])
     with_url = events.withColumn("url", url)
     order = Window.partitionBy("url").orderBy("ts", "event_id")
     return with_url.select(
@@ -198,12 +222,12 @@ def event_attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(kind != "signup", F.concat(F.col("url"), F.lit("/e"), F.col("event_id"))).alias("final_url"),
         F.when(kind == "view", "Text/HTML ; charset=utf-8").when(kind == "click", "application/json").alias("content_type"),
         F.col("props").alias("body"),
-        F.when(kind == "signup", "Timeout").alias("error"),
+        F.when(kind == "signup", F.element_at(errors, (F.col("event_id") % len(ERRORS) + 1).cast("int"))).alias("error"),
     )
 
 
 def _edge(src: Column, pos: Column, dst: Column) -> list[Column]:
-    return [src.alias("src"), (pos.cast("bigint") % POSITIONS).cast("int").alias("pos"), dst.alias("dst")]
+    return [src.alias("src"), pos.cast("bigint").alias("pos"), dst.alias("dst")]
 
 
 def _node(prefix: str, column: str) -> Column:

@@ -1,5 +1,8 @@
 """The four jobs end to end: tables in, NDJSON or a report out.
 
+Jobs on responses take captured pages (``read_responses``) or a log of fetch attempts
+(``attempt_responses``, which has the number of retries).
+
 Rows of several seeds carry their ``seed``; ``with_seed=False`` leaves it out,
 which for a single seed gives the plain row.
 """
@@ -10,11 +13,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pagegraph.operators.crawl import DEFAULT_MAX_PAGES, crawl
 from pagegraph.operators.extract import post_metadata
+from pagegraph.operators.fetchlog import DEFAULT_RETRIES, resolve_attempts
 from pagegraph.operators.shape import TARGETS, crawl_rows, scrape
 from pagegraph.operators.summary import summarize, summary_report
 from pagegraph.operators.traverse import MAX_DEPTH, MIN_DEPTH
 from pagegraph.session import staged
 from pagegraph.sources.ndjson import read_ndjson, write_ndjson_counted, write_posts
+from pagegraph.sources.responses import read_attempts, read_responses
 
 
 def _checked(depth: int) -> int:
@@ -23,6 +28,11 @@ def _checked(depth: int) -> int:
     return depth
 
 
+def attempt_responses(log: DataFrame, retries: int = DEFAULT_RETRIES, on_error: str = "quarantine") -> DataFrame:
+    """A log of fetch attempts as the responses that the other jobs take."""
+    return read_responses(resolve_attempts(read_attempts(log), retries, on_error))
+
+
 def _rows(df: DataFrame, with_seed: bool) -> DataFrame:
     return df if with_seed else df.drop("seed")
 

@@ -162,8 +162,7 @@ o AS (
   FROM orders
 ),
 lines AS (
-  SELECT l_orderkey AS k, l_linenumber % 8 AS n, min(l_partkey) AS part, min(l_suppkey) AS supp
-  FROM lineitem GROUP BY l_orderkey, l_linenumber % 8
+  SELECT DISTINCT l_orderkey AS k, l_partkey AS part, l_suppkey AS supp FROM lineitem
 ),
 lists AS (SELECT b, h, count(*) AS n, row_number() OVER (PARTITION BY h ORDER BY b) AS p1 FROM o GROUP BY b, h),
 shops AS (SELECT h, count(*) AS n FROM lists GROUP BY h),
@@ -280,9 +279,16 @@ SELECT count(*) AS total_rows, count(DISTINCT canonical_url) AS unique_urls,
        count(*) FILTER (kind = 'email') AS total_emails, 0::BIGINT AS total_images
 FROM scraped s JOIN canon c ON c.page_id = s.page_id"""
 
+_SUMMARY_BY_FILE = f"""WITH {_PAGE_VALUES}
+SELECT 'crawl' AS run, * FROM ({_SUMMARY_CRAWL})
+UNION ALL
+SELECT CASE kind WHEN 'email' THEN 'emails' ELSE 'offsite' END, count(*), count(DISTINCT canonical_url), 0, 0, 0, 0, 0,
+       count(*) FILTER (kind = 'offsite_link'), count(*) FILTER (kind = 'email'), 0
+FROM scraped s JOIN canon c ON c.page_id = s.page_id GROUP BY kind"""
+
 _SUMMARY_MIXED = f"""WITH {_SHOP_VALUES},
 posts AS (
-  SELECT 'https://posts.example/p/' || c_custkey AS url, c_acctbal >= 0 AS has_image FROM customer WHERE c_nationkey <> 0
+  SELECT 'https://posts.example/p/' || c_custkey || '/' AS url, c_acctbal >= 0 AS has_image FROM customer WHERE c_nationkey <> 0
 ),
 urls AS (
   SELECT url FROM placed UNION SELECT source_url FROM scraped UNION SELECT url FROM posts
@@ -309,31 +315,38 @@ UNION ALL SELECT 8, 'Total external links', total_external_links FROM totals
 UNION ALL SELECT 9, 'Total emails', total_emails FROM totals
 UNION ALL SELECT 10, 'Total images', total_images FROM totals"""
 
-_RESOLVE_ATTEMPTS = """
+_ATTEMPTS = """
 WITH a AS (
   SELECT 'http://u' || user_id || '.example/' || strftime(ts, '%Y-%m-%d') AS url, event_type AS kind, event_id, props,
          row_number() OVER (PARTITION BY user_id, strftime(ts, '%Y-%m-%d') ORDER BY ts, event_id) AS attempt
   FROM events
 ),
 tried AS (
-  SELECT *, kind IN ('view', 'click', 'purchase') OR (kind = 'error' AND attempt = 2) AS ends, kind <> 'signup' AS answered
+  SELECT *, kind = 'signup' AND event_id % 8 = 7 AS refused, kind <> 'signup' AS answered,
+         kind IN ('view', 'click', 'purchase') OR (kind = 'error' AND attempt = 2) OR (kind = 'signup' AND event_id % 8 = 7) AS ends
   FROM a WHERE attempt <= 2
 ),
 verdict AS (
   SELECT url, coalesce(min(attempt) FILTER (ends), max(attempt) FILTER (answered)) AS attempt FROM tried GROUP BY url
-)
+)"""
+
+_QUARANTINED = f"""{_ATTEMPTS}
+SELECT t.url AS requested_url, t.attempt, 'TooManyRedirects' AS error
+FROM tried t JOIN verdict v ON v.url = t.url AND v.attempt = t.attempt WHERE t.refused"""
+
+_RESOLVE_ATTEMPTS = f"""{_ATTEMPTS}
 SELECT v.url AS requested_url,
        (CASE t.kind WHEN 'error' THEN 503 WHEN 'purchase' THEN 404 WHEN 'view' THEN 200 WHEN 'click' THEN 200 ELSE 0 END)::BIGINT AS status,
        CASE WHEN t.kind IS NULL THEN v.url ELSE v.url || '/e' || t.event_id END AS final_url,
        CASE WHEN t.kind = 'view' THEN t.props END AS html
-FROM verdict v LEFT JOIN tried t ON t.url = v.url AND t.attempt = v.attempt"""
+FROM verdict v LEFT JOIN tried t ON t.url = v.url AND t.attempt = v.attempt WHERE NOT coalesce(t.refused, false)"""
 
 _POST_USERNAME = """
 SELECT c_custkey, CASE WHEN c_custkey % 4 IN (0, 1, 2, 3) THEN lower(c_mktsegment) || '_' || c_custkey END AS username
 FROM customer"""
 
 _POST_METADATA = """
-SELECT 'instagram_post' AS kind, 'https://posts.example/p/' || c_custkey AS url, 200::BIGINT AS status,
+SELECT 'instagram_post' AS kind, 'https://posts.example/p/' || c_custkey || '/' AS url, 200::BIGINT AS status,
        CASE WHEN c_mktsegment = 'BUILDING' THEN 'Instagram' ELSE c_name END AS title,
        CASE c_custkey % 4 WHEN 0 THEN '9 likes - ' || lower(c_mktsegment) || '_' || c_custkey || ' on May 1'
          WHEN 1 THEN lower(c_mktsegment) || '_' || c_custkey || ' on May 1' WHEN 2 THEN 'Photo by someone' END AS description,
@@ -361,6 +374,7 @@ ORACLES: dict[str, str] = {
     "crawl_shops": _CRAWL_SHOPS,
     "crawl_shops_budget": _CRAWL_SHOPS_BUDGET,
     "crawl_shop_rows": _CRAWL_SHOP_ROWS,
+    "crawl_shop_attempts": _CRAWL_SHOPS,
     "scrape_offsite": _scraped_pages("offsite_link"),
     "scrape_emails": _scraped_pages("email"),
     "scrape_shop_emails": _scraped_shops("email"),
@@ -368,13 +382,15 @@ ORACLES: dict[str, str] = {
     "scrape_shop_images": _scraped_shops("image"),
     "summary_crawl": _SUMMARY_CRAWL,
     "summary_scrape": _SUMMARY_SCRAPE,
+    "summary_by_file": _SUMMARY_BY_FILE,
     "summary_mixed": _SUMMARY_MIXED,
     "summary_report": _SUMMARY_REPORT,
     "resolve_attempts": _RESOLVE_ATTEMPTS,
+    "quarantined_urls": _QUARANTINED,
     "post_username": _POST_USERNAME,
     "post_metadata": _POST_METADATA,
     "stream_page_links": _PAGE_LINKS,
-    "stream_scrape_emails": f"WITH {_PAGE_VALUES} SELECT kind, value FROM scraped WHERE kind = 'email'",
+    "stream_scrape_emails": f"SELECT kind, value, source_url FROM ({_scraped_pages('email')})",
     "stream_summary": _STREAM_SUMMARY,
     "stream_unique_urls": f"SELECT unique_urls FROM ({_SUMMARY_CRAWL})",
 }

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from pagegraph.functions.text import emails_in, post_username
 from pagegraph.functions.urls import canonicalize_urls, netloc
-from pagegraph.operators.crawl import crawl
+from pagegraph.operators.crawl import corpus_facts, crawl
 from pagegraph.operators.elements import extract_elements
 from pagegraph.operators.extract import (
     page_descriptions,
@@ -18,12 +18,13 @@ from pagegraph.operators.extract import (
     post_metadata,
     profile_pages,
 )
-from pagegraph.operators.fetchlog import DEFAULT_RETRIES, resolve_attempts
+from pagegraph.operators.fetchlog import DEFAULT_RETRIES, quarantined_urls, resolve_attempts
 from pagegraph.operators.shape import crawl_rows, dedupe_pages, first_source, scrape
 from pagegraph.operators.summary import summarize, summary_report
 from pagegraph.operators.traverse import bfs
 from pagegraph.plans import derived
-from pagegraph.plans.derived import spread, table
+from pagegraph.plans.derived import table
+from pagegraph.plans.jobs import attempt_responses
 from pagegraph.session import staged, staging_path
 from pagegraph.sources.ndjson import parse_lines, read_ndjson, write_ndjson
 from pagegraph.sources.responses import read_attempts, read_responses, read_seeds
@@ -40,7 +41,7 @@ def _count(name: str, alias: str) -> Column:
 
 def page_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Given pages as responses, with the host of each."""
-    responses = read_responses(spread(table(spark, sf_dir, "pages")))
+    responses = read_responses(table(spark, sf_dir, "pages"))
     return responses.withColumn("host", netloc("requested_url"))
 
 
@@ -118,7 +119,8 @@ def host_crawl(spark, sf_dir) -> DataFrame:
     responses = page_responses(spark, sf_dir)
     keys = canonicalize_urls(table(spark, sf_dir, "pages").select("url"), "url")
     seeds = keys.groupBy("netloc").agg(F.min("canonical_url").alias("url"))
-    return crawl(dedupe_pages(responses, "requested_url", "page_id"), read_seeds(seeds), depth=3)
+    corpus = staged(corpus_facts(dedupe_pages(responses, "requested_url", "page_id")), "page-facts")
+    return crawl(corpus, read_seeds(seeds), depth=3)
 
 
 def _visit_columns(visits: DataFrame) -> DataFrame:
@@ -147,10 +149,23 @@ def crawl_row_links(spark, sf_dir):
 
 
 def shop_crawl(spark, sf_dir, max_pages: int | None) -> DataFrame:
-    """Crawl of the derived shops, three levels deep, from a table of their pages."""
-    responses = staged(read_responses(derived.shop_pages(spark, sf_dir)), "shop-pages")
+    """Crawl of the derived shops, three levels deep.
+
+    Nearly every page is visited, so each is read once and its facts are written;
+    no HTML is, nor is any moved at a level of the crawl.
+    """
+    return _crawl_of(read_responses(derived.shop_pages(spark, sf_dir)), spark, sf_dir, max_pages)
+
+
+def _crawl_of(responses: DataFrame, spark, sf_dir, max_pages: int | None) -> DataFrame:
     seeds = read_seeds(derived.shop_seeds(spark, sf_dir))
-    return crawl(responses, seeds, depth=3, max_pages=max_pages)
+    return crawl(staged(corpus_facts(responses), "shop-facts"), seeds, depth=3, max_pages=max_pages)
+
+
+def crawl_shop_attempts(spark, sf_dir):
+    """The same crawl from a log of fetch attempts."""
+    log = staged(derived.shop_attempts(spark, sf_dir), "shop-attempts")
+    return _visit_columns(_crawl_of(attempt_responses(log), spark, sf_dir, None))
 
 
 def crawl_shops(spark, sf_dir):
@@ -209,14 +224,23 @@ def summary_crawl(spark, sf_dir):
 
 def summary_scrape(spark, sf_dir):
     visits = staged(page_visits(spark, sf_dir), "visits")
-    paths = [_written(scrape(visits, t).drop("seed"), t) for t in ("offsite", "emails")]
+    paths = [_written(scrape(visits, t).drop("seed"), t) for t in ("offsite", "emails", "images")]
     return summarize(read_ndjson(spark, paths))
 
 
+def summary_by_file(spark, sf_dir):
+    """Totals of each of several files: crawl rows and scrape rows of the given pages."""
+    visits = staged(page_visits(spark, sf_dir), "visits")
+    frames = {"crawl": crawl_rows(visits)} | {t: scrape(visits, t) for t in ("offsite", "emails")}
+    rows = read_ndjson(spark, [_written(frame.drop("seed"), label) for label, frame in frames.items()], with_file=True)
+    label = F.regexp_extract("file", r"/([a-z]+)-[0-9a-f]{32}/", 1)
+    return summarize(rows.withColumn("run", label).drop("file"), ["run"])
+
+
 def mixed_rows(spark, sf_dir) -> DataFrame:
     """Crawl rows, scrape rows of every target and post rows of derived pages."""
     visits = staged(shop_crawl(spark, sf_dir, None), "visits")
-    posts = post_metadata(read_responses(derived.post_pages(spark, sf_dir)))
+    posts = post_metadata(read_responses(derived.post_pages(spark, sf_dir), final_as_given=True))
     frames = {"crawl": crawl_rows(visits), "posts": posts}
     frames |= {target: scrape(visits, target) for target in ("emails", "offsite", "images")}
     return read_ndjson(spark, [_written(frame.drop("seed"), label) for label, frame in frames.items()])
@@ -231,11 +255,18 @@ def summary_lines(spark, sf_dir):
     return report.withColumn("ordinal", F.col("ordinal").cast("bigint"))
 
 
-def resolved_responses(spark, sf_dir):
+def _event_log(spark, sf_dir) -> DataFrame:
     log = read_attempts(derived.event_attempts(spark, sf_dir))
     # Later attempts never count; said here, it bounds the ranking of a busy user.
-    tried = staged(log.filter(F.col("attempt") <= DEFAULT_RETRIES + 1), "attempts")
-    resolved = resolve_attempts(tried, DEFAULT_RETRIES)
+    return staged(log.filter(F.col("attempt") <= DEFAULT_RETRIES + 1), "attempts")
+
+
+def quarantined(spark, sf_dir):
+    return quarantined_urls(_event_log(spark, sf_dir)).select("requested_url", _long("attempt"), "error")
+
+
+def resolved_responses(spark, sf_dir):
+    resolved = resolve_attempts(_event_log(spark, sf_dir), DEFAULT_RETRIES)
     return resolved.withColumn("status", F.col("status").cast("bigint"))
 
 
@@ -245,7 +276,7 @@ def post_usernames(spark, sf_dir):
 
 
 def post_rows(spark, sf_dir):
-    posts = post_metadata(read_responses(derived.post_pages(spark, sf_dir)))
+    posts = post_metadata(read_responses(derived.post_pages(spark, sf_dir), final_as_given=True))
     return posts.withColumn("status", F.col("status").cast("bigint"))
 
 
@@ -276,8 +307,14 @@ def stream_page_links(spark, sf_dir):
 
 
 def stream_scrape_emails(spark, sf_dir):
-    profiles = streams.stream_profiles(_streamed_responses(spark, sf_dir), "host")
-    return _run(streams.stream_scrape(profiles, "emails"), "stream-scrape").select("kind", "value")
+    """Each address of the arriving pages with the page that first had it."""
+    profiles = streams.stream_profiles(_streamed_responses(spark, sf_dir), "host", ("page_id",))
+    out = staging_path(spark, "stream-scrape")
+    values = streams.stream_values(profiles, "emails", "page_id")
+    sink = streams.first_sources_table(values, out, "page_id")
+    writer = values.writeStream.option("checkpointLocation", f"{out}-progress").foreachBatch(sink)
+    writer.trigger(availableNow=True).start().awaitTermination()
+    return streams.first_sources_read(values, out).select("kind", "value", "source_url")
 
 
 def _streamed_crawl_rows(spark, sf_dir) -> DataFrame:
@@ -314,6 +351,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "crawl_shops": crawl_shops,
     "crawl_shops_budget": crawl_shops_budget,
     "crawl_shop_rows": crawl_shop_rows,
+    "crawl_shop_attempts": crawl_shop_attempts,
     "scrape_offsite": _scrape("offsite"),
     "scrape_emails": _scrape("emails"),
     "scrape_shop_emails": _scrape_shops("emails"),
@@ -321,9 +359,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scrape_shop_images": _scrape_shops("images"),
     "summary_crawl": summary_crawl,
     "summary_scrape": summary_scrape,
+    "summary_by_file": summary_by_file,
     "summary_mixed": summary_mixed,
     "summary_report": summary_lines,
     "resolve_attempts": resolved_responses,
+    "quarantined_urls": quarantined,
     "post_username": post_usernames,
     "post_metadata": post_rows,
     "stream_page_links": stream_page_links,

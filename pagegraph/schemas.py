@@ -36,7 +36,7 @@ VISITS = T.StructType(
         T.StructField("emails", STRINGS),
         T.StructField("images", STRINGS),
         T.StructField("level", T.IntegerType()),
-        T.StructField("bfs_key", T.LongType()),
+        T.StructField("bfs_key", T.DecimalType(38, 0)),
     ]
 )
 

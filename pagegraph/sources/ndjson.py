@@ -6,33 +6,38 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from pagegraph.functions.text import trim_unicode
+from pagegraph.session import staged
 
 
-def parse_lines(lines: DataFrame) -> DataFrame:
-    """Text lines (``value``) as ``line, v``; blank lines are skipped and ``v`` is
-    NULL where a line is not one JSON object."""
-    kept = lines.select(trim_unicode(F.col("value")).alias("line")).filter(F.col("line") != "")
+def parse_lines(lines: DataFrame, *keep: Column) -> DataFrame:
+    """Text lines (``value``) as ``line, v`` and what is to be kept besides; blank lines
+    are skipped and ``v`` is NULL where a line is not one JSON object."""
+    kept = lines.select(trim_unicode(F.col("value")).alias("line"), *keep).filter(F.col("line") != "")
     parsed = F.when(F.startswith("line", F.lit("{")), F.try_parse_json("line"))
     return kept.withColumn("v", parsed)
 
 
 def _or_fail(line: Column, v: Column) -> Column:
+    """A condition that holds for good lines and fails the job at another. Rows are
+    filtered by it whatever is read of them, where a column might be pruned."""
     message = F.concat(F.lit("not a JSON object: "), line)
-    return F.when(v.isNull(), F.raise_error(message)).otherwise(v)
+    return F.when(v.isNull(), F.raise_error(message).cast("boolean")).otherwise(F.lit(True))
 
 
-def read_ndjson(spark: SparkSession, path: str | list[str], on_bad: str = "fail") -> DataFrame:
-    """Rows of NDJSON files or folders as ``v VARIANT``.
+def read_ndjson(
+    spark: SparkSession, path: str | list[str], on_bad: str = "fail", with_file: bool = False
+) -> DataFrame:
+    """Rows of NDJSON files or folders as ``v VARIANT``, with their ``file`` if wanted.
 
     A line that is no JSON object fails the job, or with ``on_bad='quarantine'``
     is left out; ``rejected_lines`` lists those.
     """
     if on_bad not in ("fail", "quarantine"):
         raise ValueError("on_bad is 'fail' or 'quarantine'")
-    rows = parse_lines(spark.read.text(path))
-    if on_bad == "quarantine":
-        return rows.filter(F.col("v").isNotNull()).select("v")
-    return rows.select(_or_fail(F.col("line"), F.col("v")).alias("v"))
+    files = [F.col("_metadata.file_path").alias("file")] if with_file else []
+    rows = parse_lines(spark.read.text(path), *files)
+    good = F.col("v").isNotNull() if on_bad == "quarantine" else _or_fail(F.col("line"), F.col("v"))
+    return rows.filter(good).drop("line")
 
 
 def rejected_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -55,5 +60,6 @@ def write_ndjson_counted(df: DataFrame, path: str) -> int:
 
 def write_posts(posts: DataFrame, path: str) -> None:
     """Write post rows, if any: without rows nothing is written, not even the folder."""
+    posts = staged(posts, "posts")
     if not posts.isEmpty():
         write_ndjson(posts, path)

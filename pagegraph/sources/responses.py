@@ -12,21 +12,29 @@ def _or_default(df: DataFrame, name: str, default: Column) -> Column:
     return F.coalesce(F.col(name), default) if name in df.columns else default
 
 
-def read_responses(pages: DataFrame) -> DataFrame:
-    """Any page table with ``url`` and ``html`` as responses: adds
-    ``requested_url`` (canonical), ``status`` and ``final_url`` where they lack;
-    other columns pass through. A URL without valid host has NULL for
-    ``requested_url``, so no crawl reaches its row."""
-    requested = normalize_url("url")
+def read_responses(pages: DataFrame, final_as_given: bool = False) -> DataFrame:
+    """Any page table with ``html`` and a ``requested_url`` or ``url`` as responses.
+
+    ``requested_url`` is made canonical; ``status`` and ``final_url`` are added where
+    they lack, the latter as the canonical URL, or the given one with
+    ``final_as_given`` (posts are reported as asked for). Other columns pass through.
+    A URL without valid host has NULL for ``requested_url``, so no crawl reaches its
+    row. What ``resolve_attempts`` returns is such a table.
+    """
+    given = "requested_url" if "requested_url" in pages.columns else "url"
     known = ("url", "html", "status", "final_url", "requested_url")
     extra = [c for c in pages.columns if c not in known]
-    return pages.select(
+    # Two steps, so that the canonical form is worked out once.
+    named = pages.select(
         *extra,
-        requested.alias("requested_url"),
+        normalize_url(given).alias("requested_url"),
+        F.col(given).alias("_given"),
         _or_default(pages, "status", F.lit(200)).cast("int").alias("status"),
-        _or_default(pages, "final_url", requested).alias("final_url"),
+        _or_default(pages, "final_url", F.lit(None).cast("string")).alias("final_url"),
         "html",
     )
+    default = F.col("_given" if final_as_given else "requested_url")
+    return named.withColumn("final_url", F.coalesce("final_url", default)).drop("_given")
 
 
 ATTEMPT_COLUMNS = {

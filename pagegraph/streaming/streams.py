@@ -6,6 +6,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pagegraph.operators.extract import profile_pages
 from pagegraph.operators.shape import TARGETS, first_source
@@ -17,18 +18,19 @@ def stream_profiles(responses: DataFrame, seed_netloc: str, keep: Sequence[str]
     return profile_pages(responses, seed_netloc, keep)
 
 
-def stream_values(profiles: DataFrame, target: str) -> DataFrame:
-    """One row per arriving page and value: ``kind, value, source_url``."""
+def stream_values(profiles: DataFrame, target: str, *keep: str) -> DataFrame:
+    """One row per arriving page and value: ``kind, value, source_url`` and ``keep``,
+    say the column that orders pages."""
     kind, column = TARGETS[target]
-    return profiles.select(
-        F.lit(kind).alias("kind"), F.explode(column).alias("value"), F.col("url").alias("source_url")
-    )
+    value = F.explode(column).alias("value")
+    return profiles.select(F.lit(kind).alias("kind"), value, F.col("url").alias("source_url"), *keep)
 
 
 def stream_scrape(profiles: DataFrame, target: str, event_time: str | None = None, within: str | None = None) -> DataFrame:
     """Each value once, when it first arrives; append mode.
 
-    Values are remembered for good. With ``event_time`` and ``within`` they are
+    Which page of a batch a value is credited to is left open; ``first_sources_table``
+    settles it. Values are remembered for good. With ``event_time`` and ``within`` they are
     forgotten after that delay, which bounds the state and lets a value return.
     """
     if event_time is None:
@@ -40,16 +42,34 @@ def stream_scrape(profiles: DataFrame, target: str, event_time: str | None = Non
     return timed.dropDuplicatesWithinWatermark(["kind", "value"])
 
 
-def first_sources_of_batch(
-    sink: Callable[[DataFrame, int], None], order: str = "page_id"
-) -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` function that credits each value of a batch to its first
-    page by ``order`` before the batch reaches ``sink``."""
+def _first_sources_schema(values: DataFrame) -> T.StructType:
+    return T.StructType(values.select("kind", "value", "source_url").schema.fields + [T.StructField("batch", T.LongType())])
+
+
+def first_sources_table(values: DataFrame, path: str, order: str) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` function over ``values`` (``stream_values`` that keeps ``order``):
+    writes each value to ``path`` once, with its page.
+
+    That is the first by ``order`` of the batch in which the value first arrives. What
+    earlier batches have written is read back, so a value stays with its page for good,
+    and a batch that is run again replaces its own rows only.
+    """
+    schema = _first_sources_schema(values)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        found = first_source(batch, ["kind", "value"], "source_url", F.col(order))
+        if batch_id > 0:
+            known = spark.read.schema(schema).parquet(path).filter(F.col("batch") < batch_id)
+            found = found.join(known, ["kind", "value"], "left_anti")
+        found.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+    return write
 
-    def reduce_batch(batch: DataFrame, batch_id: int) -> None:
-        sink(first_source(batch, ["kind", "value"], "source_url", F.col(order)), batch_id)
 
-    return reduce_batch
+def first_sources_read(values: DataFrame, path: str) -> DataFrame:
+    """What ``first_sources_table`` has written."""
+    return values.sparkSession.read.schema(_first_sources_schema(values)).parquet(path)
 
 
 def stream_counters(rows: DataFrame) -> DataFrame:

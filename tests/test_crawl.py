@@ -186,3 +186,28 @@ def test_bfs_without_budget_for_any_node(spark):
     df = spark.createDataFrame([("a", 0, "b")], "src string, pos int, dst string")
     seeds = df.select(F.col("src").alias("seed"))
     assert bfs(df, seeds, 3, 0).count() == 0
+
+
+def test_positions_of_any_size(spark):
+    """Keys beyond 32 bits sort as they are, up to the largest BIGINT."""
+    big = (1 << 63) - 1
+    edges = [("s", big, "far"), ("s", (1 << 32) + 1, "b"), ("s", 1 << 32, "a"), ("far", big, "last"), ("a", 0, "first")]
+    df = spark.createDataFrame(edges, "src string, pos long, dst string")
+    seeds = spark.createDataFrame([("s",)], "seed string")
+    rows = sorted(bfs(df, seeds, depth=3).collect(), key=lambda r: r.bfs_key)
+    assert [r.node for r in rows] == ["s", "a", "b", "far", "first", "last"]
+    assert [r.node for r in sorted(bfs(df, seeds, depth=3, max_nodes=3).collect(), key=lambda r: r.bfs_key)] == ["s", "a", "b"]
+
+
+def test_negative_positions_are_refused(spark):
+    df = spark.createDataFrame([("s", -5, "neg")], "src string, pos long, dst string")
+    with pytest.raises(Exception, match="negative link position"):
+        bfs(df, spark.createDataFrame([("s",)], "seed string"), depth=2).collect()
+
+
+def test_repeated_pages_count_once(spark):
+    pages = site(spark, {"": links("/a"), "a": "<title>A</title>"})
+    twice = pages.unionByName(pages)
+    for corpus in (twice, corpus_facts(twice)):
+        assert crawl(corpus, seeds_of(spark, HOME), depth=2).count() == 2
+        assert crawl(corpus, seeds_of(spark, HOME), depth=2, max_pages=1).count() == 1

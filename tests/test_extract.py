@@ -193,3 +193,16 @@ def test_posts(spark):
     )
     assert posts["https://p/2"].image_url is None and posts["https://p/2"].username == "h.2"
     assert posts["https://p/5"].title == "Instagram" and posts["https://p/6"].username == "solo"
+
+
+def test_a_seed_without_host_has_external_links_only(spark):
+    pages = spark.createDataFrame([("http://h/", "<a href='/x'>", None)], "url string, html string, host string")
+    row = extract.profile_pages(read_responses(pages), "host").first()
+    assert (row.internal_links, row.external_links) == ([], ["http://h/x"])
+
+
+def test_posts_are_reported_as_asked_for(spark):
+    given = "https://Posts.example/p/1/?x=1#c"
+    pages = spark.createDataFrame([(given, "<title>T</title>")], "url string, html string")
+    assert extract.post_metadata(read_responses(pages, final_as_given=True)).first().url == given
+    assert read_responses(pages).first().final_url == "https://posts.example/p/1?x=1"

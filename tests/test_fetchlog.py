@@ -78,14 +78,34 @@ def test_other_retries(spark):
     assert resolved(spark, {"a": [200, 200]}, retries=-1) == {"a": (0, "a", None)}
 
 
+def test_every_kind_of_timeout_and_lost_connection_is_retried(spark):
+    attempts = {
+        "read": ["ReadTimeout", 200],
+        "connect": ["ConnectTimeout"],
+        "ssl": ["requests.exceptions.SSLError", 200],
+        "proxy": ["ProxyError", "urllib3.ReadTimeout"],
+    }
+    assert resolved(spark, attempts) == {
+        "read": (200, "read", "body2"),
+        "connect": (0, "connect", None),
+        "ssl": (200, "ssl", "body2"),
+        "proxy": (0, "proxy", None),
+    }
+
+
 def test_unhandled_errors(spark):
-    attempts = {"a": [200, "SSLError"], "b": ["InvalidURL", 200], "c": [503, "SSLError", 200], "d": [T, 200]}
+    loops = "requests.exceptions.TooManyRedirects"
+    attempts = {"a": [200, loops], "b": ["InvalidURL", 200], "c": [503, loops, 200], "d": [T, 200]}
     got = resolved(spark, attempts)
     assert got == {"a": (200, "a", "body1"), "d": (200, "d", "body2")}
     refused = {(r.requested_url, r.attempt, r.error) for r in quarantined_urls(log(spark, attempts)).collect()}
-    assert refused == {("b", 1, "InvalidURL"), ("c", 2, "SSLError")}
+    assert refused == {("b", 1, "InvalidURL"), ("c", 2, loops)}
     with pytest.raises(Exception, match="unhandled fetch error: "):
         resolved(spark, attempts, on_error="fail")
+    failing = resolve_attempts(log(spark, attempts), on_error="fail")
+    for partial in (failing, failing.select("html")):
+        with pytest.raises(Exception, match="unhandled fetch error: "):
+            partial.count()
     assert resolved(spark, {"a": [200]}, on_error="fail") == {"a": (200, "a", "body1")}
     with pytest.raises(ValueError):
         resolved(spark, attempts, on_error="ignore")

@@ -4,7 +4,7 @@ import json
 
 import pytest
 
-from pagegraph.plans.jobs import crawl_job, post_job, scrape_job, summary_job
+from pagegraph.plans.jobs import attempt_responses, crawl_job, post_job, scrape_job, summary_job
 from pagegraph.session import staging_dir
 from pagegraph.sources.responses import read_responses, read_seeds
 from tests.test_summary import written_lines
@@ -47,6 +47,25 @@ def test_crawl_scrape_and_summary(spark, tmp_path, responses, seeds):
     }
 
 
+def test_crawl_of_an_attempt_log(spark, tmp_path, seeds):
+    log = [
+        ("HTTP://H:80/", 1, None, None, None, None, "ReadTimeout"),
+        ("HTTP://H:80/", 2, 200, "http://h/", "text/html", PAGES[0][2], None),
+        ("http://h/a", 1, 503, "http://h/a", None, None, None),
+        ("http://h/a", 2, 503, "http://h/a", None, None, None),
+        ("http://h/a", 3, 200, "http://h/a", "text/html", PAGES[1][2], None),
+        ("http://h/b/", 1, 404, "http://h/b", "text/html", "gone", None),
+    ]
+    log = spark.createDataFrame(log, "url string, attempt int, status int, final_url string, content_type string, body string, error string")
+    statuses = {}
+    for retries in (1, 2):
+        out = str(tmp_path / f"crawl{retries}")
+        assert crawl_job(attempt_responses(log, retries), seeds, out, depth=2, with_seed=False, in_order=True) == 3
+        statuses[retries] = [(r["url"], r["status"]) for r in map(json.loads, written_lines(out))]
+    assert statuses[1] == [("http://h/", 200), ("http://h/b", 404), ("http://h/a", 503)]
+    assert statuses[2][2] == ("http://h/a", 200)
+
+
 def test_limits_are_checked(tmp_path, responses, seeds):
     with pytest.raises(ValueError, match="depth"):
         crawl_job(responses, seeds, str(tmp_path / "x"), depth=4)

@@ -3,6 +3,9 @@
 import pytest
 
 import __spark_entry__ as entry
+from pagegraph.plans.derived import order_pages
+from pagegraph.plans.oracles import ORACLES
+from pagegraph.plans.registry import QUERIES
 from tests.oracle_check import actual, connect, expected
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -14,7 +17,8 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
 
 
 def test_entry(spark):
@@ -22,8 +26,19 @@ def test_entry(spark):
     assert df.columns == ["page_id", "pos", "link"] and df.count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, name):
     got, want = actual(spark, SF_DIR, name), expected(con, name)
     assert got[0] == want[0]
     assert got[1] == want[1]
+
+
+def test_order_pages_list_every_line(spark, con):
+    """Each part and supplier of an order has its link on the order's page."""
+    pages = order_pages(spark, SF_DIR).filter("html IS NOT NULL")
+    found = sum(row.html.count(".supplier.example:80/p/") for row in pages.select("html").collect())
+    want = con.execute(
+        "SELECT count(*) FROM (SELECT DISTINCT l_orderkey, l_partkey, l_suppkey FROM lineitem "
+        "JOIN orders ON o_orderkey = l_orderkey WHERE o_orderstatus <> 'P')"
+    )
+    assert found == want.fetchone()[0]

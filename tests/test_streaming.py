@@ -57,11 +57,31 @@ def test_scrape_within_a_watermark(spark, tmp_path):
     assert sorted(r.value for r in rows) == ["own0@x.org", "own1@x.org", "own2@x.org", "same@x.org"]
 
 
-def test_first_source_in_a_batch(spark):
+def test_first_source_over_batches(spark, tmp_path):
+    """Pages arrive in three batches; each value keeps its first page, as the batch gives it."""
+    path, out = pages_dir(spark, tmp_path), str(tmp_path / "sources")
+    values = streams.stream_values(streams.stream_profiles(arriving(spark, path), "host", ["page_id"]), "emails", "page_id")
+    sink = streams.first_sources_table(values, out, "page_id")
+    progress = str(tmp_path / "progress")
+    for _ in range(2):  # the second run finds nothing new
+        writer = values.writeStream.option("checkpointLocation", progress).foreachBatch(sink)
+        writer.trigger(availableNow=True).start().awaitTermination()
+    got = streams.first_sources_read(values, out).collect()
+    visits = profile_pages(responses(spark.read.parquet(path)), "host", ["page_id"])
+    rows = visits.select(F.explode("emails").alias("value"), "url", "page_id").groupBy("value").agg(F.min_by("url", "page_id").alias("u"))
+    firsts = {r.value: r.u for r in rows.collect()}
+    assert {r.value for r in got} == set(firsts) and len(got) == len(firsts)
+    assert all(r.source_url == firsts[r.value] for r in got if r.value != "same@x.org")
+
+
+def test_first_source_in_a_batch(spark, tmp_path):
     rows = [("email", "a", "late", 2), ("email", "a", "early", 1), ("email", "b", "late", 2)]
     batch = spark.createDataFrame(rows, "kind string, value string, source_url string, page_id long")
-    seen = []
-    streams.first_sources_of_batch(lambda df, _: seen.extend(df.collect()))(batch, 0)
+    write = streams.first_sources_table(batch, str(tmp_path / "t"), "page_id")
+    write(batch, 0)
+    write(batch.withColumn("source_url", F.lit("later")), 1)
+    write(batch, 0)
+    seen = streams.first_sources_read(batch, str(tmp_path / "t")).collect()
     assert sorted((r.value, r.source_url) for r in seen) == [("a", "early"), ("b", "late")]
 
 

@@ -140,3 +140,20 @@ def test_posts_without_rows_write_nothing(spark, tmp_path):
     assert len(written_lines(str(tmp_path / "some"))) == 1
     write_ndjson(posts.limit(0), str(tmp_path / "empty"))
     assert (tmp_path / "empty").exists()
+
+
+def test_bad_lines_fail_whatever_is_read(spark, tmp_path):
+    path = tmp_path / "bad.ndjson"
+    path.write_text('{"url": "a"}\nno json\n[1]\n')
+    rows = read_ndjson(spark, str(path))
+    for partial in (rows, rows.select(F.lit(1))):
+        with pytest.raises(Exception, match="not a JSON object"):
+            partial.count()
+    assert read_ndjson(spark, str(path), on_bad="quarantine").count() == 1
+
+
+def test_totals_of_each_file(spark, tmp_path):
+    for name, n in (("one", 2), ("two", 3)):
+        (tmp_path / f"{name}.ndjson").write_text("".join(f'{{"url": "u{i}", "status": 200}}\n' for i in range(n)))
+    rows = summarize(read_ndjson(spark, str(tmp_path), with_file=True), ["file"]).collect()
+    assert {r.file.rpartition("/")[2]: r.total_rows for r in rows} == {"one.ndjson": 2, "two.ndjson": 3}

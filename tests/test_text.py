@@ -66,3 +66,12 @@ def test_username_cascade(spark):
     df = spark.createDataFrame(cases, "description string, og_title string, expected string")
     got = df.withColumn("got", text.post_username(F.col("description"), F.col("og_title"))).collect()
     assert [r.got for r in got] == [r.expected for r in got]
+
+
+def test_trim_is_linear_in_a_run_of_blanks(spark):
+    import time
+
+    wide = "a" + " " * 1_000_000 + "b"
+    start = time.perf_counter()
+    assert evaluated(spark, [wide, " \u2003" + wide + "\x1c\n"], text.trim_unicode) == [wide, wide]
+    assert time.perf_counter() - start < 5
