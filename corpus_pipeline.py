@@ -20,7 +20,7 @@ LANGUAGE_SCORE = 0.5
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, learned from the labelled ones of four folds, scores under 0.5."""
-    return toxicity.keep_clean(docs, toxicity.train(toxicity.labelled_documents(docs, sf_dir)))
+    return toxicity.keep_clean(docs, toxicity.train_on(docs, sf_dir))
 
 
 def drop_unknown_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

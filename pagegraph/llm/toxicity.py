@@ -2,8 +2,9 @@
 
 A text's features are the n-grams of its distinct words (2 to 5 characters, the ends
 of a word marked), hashed into BUCKETS. Their log-count ratios between the labels come
-from all labelled rows, summed on the executors; the logistic weights on the scaled
-features are fitted on a bounded sample. What the tasks get is one number a bucket.
+from RATIO_ROWS labelled rows a label, summed on the executors; the logistic weights
+on the scaled features are fitted on the first FIT_ROWS of those. What the tasks get
+is one number a bucket.
 """
 
 from __future__ import annotations
@@ -17,19 +18,22 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from pagegraph.llm.common import Scorer, append_columns, documents, fold, keep_rows, named, sliced, texts
-from pagegraph.llm.langid import bounded_sample
+from pagegraph.session import staged
 
 BUCKET_BITS = 18
 BUCKETS = 1 << BUCKET_BITS
 SIZES = (2, 3, 4, 5)
 
-#: Rows of each label that the weights are fitted on, at most; the least by a hash of id and text.
-FIT_ROWS = 1500
+#: Rows of each label that ratios are counted on, and weights fitted on, at most: the
+#: least by a hash of the id. The ids are broadcast, so no text moves but the sample's.
+RATIO_ROWS = 5000
+FIT_ROWS = 600
 #: Steps of the fit, their length, and the pull of the weights to zero.
-ROUNDS = 100
-RATE = 1.0
+ROUNDS = 60
+RATE = 2.0
 RIDGE = 1e-7
 
 WORDS = re.compile(r"\w+")
@@ -92,7 +96,7 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in sliced(batch, 1):
             found = [np.unique(word_features(distinct_words(t))[0], return_counts=True) for t in texts(part.column(1))]
             yield pa.RecordBatch.from_arrays(
-                [part.column(0).cast(pa.int32()), pa.array([b for b, _ in found], pa.list_(pa.int64())), pa.array([n for _, n in found], pa.list_(pa.int64()))],
+                [part.column(0).cast(pa.int32()), pa.array([b.astype(np.int32) for b, _ in found], pa.list_(pa.int32())), pa.array([n.astype(np.int32) for _, n in found], pa.list_(pa.int32()))],
                 names=["label", "buckets", "counts"],
             )
 
@@ -100,19 +104,20 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def fit(features: list[tuple[int, np.ndarray, np.ndarray]], ratios: np.ndarray) -> tuple[np.ndarray, float]:
     """Logistic weights on the scaled features of some rows, and the intercept; both labels weigh alike."""
     labels = np.array([label for label, _, _ in features], np.float64)
-    lengths = np.array([len(b) for _, b, _ in features])
-    row = np.repeat(np.arange(len(features)), lengths)
+    row = np.repeat(np.arange(len(features), dtype=np.int32), [len(b) for _, b, _ in features])
     at = np.concatenate([b for _, b, _ in features])
-    values = np.concatenate([n / np.sqrt(max(n.sum(), 1)) for _, _, n in features]) * ratios[at]
+    values = np.concatenate([(n / np.sqrt(n.sum())).astype(np.float32) for _, _, n in features])
+    values *= ratios[at].astype(np.float32)
     own, column = np.unique(at, return_inverse=True)
+    column = column.astype(np.int32)
     weights, intercept = np.ones(len(own)) * 0.1, 0.0
     # Steps are scaled by each feature's own gradients.
     balance = np.where(labels == 1, 0.5 / max(labels.sum(), 1), 0.5 / max((1 - labels).sum(), 1))
     seen, seen_i = np.full(len(own), 1e-12), 1e-12
     for _ in range(ROUNDS):
-        margin = np.bincount(row, values * weights[column], len(features)) + intercept
+        margin = np.bincount(row, values * weights.astype(np.float32)[column], len(features)) + intercept
         error = (1 / (1 + np.exp(-np.clip(margin, -30, 30))) - labels) * balance
-        step = np.bincount(column, values * error[row], len(own)) + RIDGE * weights
+        step = np.bincount(column, values * error.astype(np.float32)[row], len(own)) + RIDGE * weights
         seen += step**2
         weights -= RATE * step / np.sqrt(seen)
         step_i = error.sum()
@@ -123,15 +128,29 @@ def fit(features: list[tuple[int, np.ndarray, np.ndarray]], ratios: np.ndarray)
     return whole, intercept
 
 
-def train(labelled: DataFrame, label_col: str = "toxic", id_col: str = "doc_id", text_col: str = "text", most: int = FIT_ROWS) -> Model:
-    """Learn from rows with label 0 or 1 and a text; others teach nothing.
+def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, id_col: str, text_col: str, most: int) -> DataFrame:
+    """Columns ``label``, ``place`` (by hash of the id, from 1 in each label) and ``text``: at most ``most`` rows a label.
+
+    An id labelled both ways counts as 1; of several texts of one id the least is taken.
+    """
+    known = labels.filter(named(label_col).isin(0, 1) & named(id_col).isNotNull())
+    marks = known.groupBy(named(id_col).alias("id")).agg(F.max(named(label_col)).cast("int").alias("label"))
+    order = Window.partitionBy("label").orderBy(F.xxhash64("id"), "id")
+    chosen = marks.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= most)
+    texts_of = docs.filter(named(text_col).isNotNull()).select(named(id_col).alias("id"), named(text_col).alias("text"))
+    # At most 2 * most ids, whatever the tables' size.
+    met = texts_of.join(F.broadcast(staged(chosen, "labelled-ids")), "id")
+    return staged(met.groupBy("id", "label", "place").agg(F.min("text").alias("text")).drop("id"), "labelled-sample")
+
+
+def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: str = "doc_id", text_col: str = "text", most: int = RATIO_ROWS, fit_rows: int = FIT_ROWS) -> Model:
+    """Learn from documents with a text that ``labels`` marks 0 or 1; others teach nothing.
 
     With rows of one label only, the score is that label's smoothed share; with none
     it is 0.
     """
-    rows = labelled.filter(named(label_col).isin(0, 1) & named(text_col).isNotNull())
-    pairs = rows.select(named(label_col).cast("int").alias("label"), named(text_col).alias("text"))
-    counted = pairs.mapInArrow(_sums, "label int, bucket long, n long").groupBy("label", "bucket").agg(F.sum("n").alias("n")).toArrow()
+    sample = labelled_sample(docs, labels, label_col, id_col, text_col, most)
+    counted = sample.select("label", "text").mapInArrow(_sums, "label int, bucket long, n long").groupBy("label", "bucket").agg(F.sum("n").alias("n")).toArrow()
     sums = np.zeros((2, BUCKETS + 1))
     sums[counted["label"].to_numpy(), counted["bucket"].to_numpy()] = counted["n"].to_numpy()
     n_rows = sums[:, -1].copy()
@@ -140,8 +159,8 @@ def train(labelled: DataFrame, label_col: str = "toxic", id_col: str = "doc_id",
         return Model(np.zeros(1), 0.0, float((n_rows[1] + 0.5) / (total + 1)) if total else 0.0)
     smoothed = sums[:, :BUCKETS] + 1.0
     ratios = np.log(smoothed[1] / (n_rows[1] + 2)) - np.log(smoothed[0] / (n_rows[0] + 2))
-    sample = bounded_sample(rows, named(label_col).cast("int"), id_col, text_col, most)
-    told = sample.mapInArrow(_features, "label int, buckets array<long>, counts array<long>").toArrow()
+    fitted = sample.filter(F.col("place") <= fit_rows).select("label", "text")
+    told = fitted.mapInArrow(_features, "label int, buckets array<int>, counts array<int>").toArrow()
     features = [(label, np.asarray(b.values), np.asarray(n.values)) for label, b, n in zip(told["label"].to_pylist(), told["buckets"], told["counts"])]
     features = sorted((f for f in features if len(f[1])), key=lambda f: (f[0], f[1].tobytes(), f[2].tobytes()))
     weights, intercept = fit(features, ratios)
@@ -210,16 +229,14 @@ HELD_OUT = 0
 FOLDS = 5
 
 
-def labelled_documents(docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents outside the held-out fold with their label; a document labelled twice differently counts as toxic."""
+def train_on(docs: DataFrame, sf_dir: str) -> Model:
+    """Learn from the labelled documents outside the held-out fold."""
     labels = docs.sparkSession.read.parquet(f"{sf_dir}/labels.parquet")
-    marks = labels.groupBy(F.col("doc_id").alias("_labelled")).agg(F.max("toxic").alias("toxic"))
-    known = docs.filter(fold("doc_id", FOLDS) != HELD_OUT).select("doc_id", "text")
-    return known.join(marks, F.col("doc_id") == F.col("_labelled")).select("doc_id", "text", "toxic")
+    return train(docs, labels.filter(fold("doc_id", FOLDS) != HELD_OUT))
 
 
 def op7_toxicity(spark, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     held_out = fold("doc_id", FOLDS) == HELD_OUT
-    model = train(labelled_documents(docs, sf_dir))
+    model = train_on(docs, sf_dir)
     return classify(docs.select("doc_id", "text", held_out.alias("held_out")), model)

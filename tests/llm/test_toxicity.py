@@ -1,0 +1,55 @@
+import numpy as np
+from pyspark.sql import functions as F
+
+from pagegraph.llm import toxicity
+from tests.llm.conftest import values
+
+
+def lessons(spark, n=60):
+    rows = [(i, f"a calm note {i} on w{i % 7} and v{i % 5}" + (" you stupid fool" if i % 3 == 0 else " kind friend"), int(i % 3 == 0)) for i in range(n)]
+    return spark.createDataFrame([*rows, (900, None, 1), (901, "unlabelled", None), (902, "odd label", 7)], "doc_id long, text string, toxic int")
+
+
+def trained(rows):
+    return toxicity.train(rows, rows)
+
+
+def test_features_are_the_ngrams_of_each_word():
+    buckets, owner = toxicity.word_features(["ab", "abc", ""])
+    counts = np.bincount(owner, minlength=3)
+    assert counts.tolist() == [3 + 2 + 1, 4 + 3 + 2 + 1, 1]
+    again, _ = toxicity.word_features(["abc"])
+    assert sorted(again) == sorted(buckets[owner == 1])
+
+
+def test_learns_spelling_variants(spark):
+    judge = toxicity.Judge(trained(lessons(spark)))
+    bad, good, variant = judge.scores(["such a stupid fool", "a kind friend", "stupidest foolish words"])
+    assert bad > 0.5 > good and variant > good
+
+
+def test_one_label_or_none(spark, none):
+    only = lessons(spark).filter("toxic = 0")
+    model = trained(only)
+    assert 0 < model.constant < 0.1
+    untaught = trained(none.select("doc_id", "text", F.lit(1).alias("toxic")))
+    assert untaught.constant == 0.0
+
+
+def test_odd_texts_empty_and_clashing(spark, odd, odd_rows, none, clashing):
+    model = trained(lessons(spark))
+    rows = toxicity.classify(odd.select("doc_id", "text"), model).collect()
+    assert len(rows) == len(odd_rows) and all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in rows)
+    assert toxicity.classify(none, model).count() == 0
+    assert values(toxicity.classify(clashing, model), "doc_id", "score") == values(toxicity.classify(odd, model), "doc_id", "score")
+    kept = toxicity.keep_clean(clashing, model)
+    assert kept.columns == clashing.columns and kept.count() == sum(r.score < 0.5 for r in rows)
+
+
+def test_held_out_documents(spark):
+    sf = "/root/testdata/sf0.01"
+    told = toxicity.op7_toxicity(spark, sf).filter("held_out").join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id")
+    rows = told.select("toxic", "score", "predicted").collect()
+    toxic, clean = [r.score for r in rows if r.toxic], [r.score for r in rows if not r.toxic]
+    ranked = np.mean([[a > b for b in clean] for a in toxic])
+    assert ranked > 0.95 and sum(r.predicted for r in rows if not r.toxic) <= 1
