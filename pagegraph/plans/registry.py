@@ -73,8 +73,9 @@ def url_normalize(spark, sf_dir):
 
 
 def url_dedupe(spark, sf_dir):
-    pages = dedupe_pages(read_responses(table(spark, sf_dir, "pages")), "requested_url", "page_id")
-    return pages.select("page_id", "requested_url", F.length("html").cast("bigint").alias("n_chars"))
+    pages = read_responses(table(spark, sf_dir, "pages"))
+    sized = pages.select("page_id", "requested_url", F.length("html").cast("bigint").alias("n_chars"))
+    return dedupe_pages(sized, "requested_url", "page_id")
 
 
 def host_page_counts(spark, sf_dir):

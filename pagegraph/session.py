@@ -14,6 +14,8 @@ RECOMMENDED = {
     "spark.sql.session.timeZone": "UTC",
     # Pages cost far more time than bytes: let small tables use every core.
     "spark.sql.adaptive.coalescePartitions.minPartitionSize": "128k",
+    # Pages and long texts cost time by the byte: smaller splits spread them further.
+    "spark.sql.files.maxPartitionBytes": "32m",
     # One Arrow batch of pages is bounded by bytes, whatever the page size.
     "spark.sql.execution.arrow.maxBytesPerBatch": "32m",
     # A frontier too large to broadcast still prunes pages before their shuffle.

@@ -211,3 +211,20 @@ def test_repeated_pages_count_once(spark):
     for corpus in (twice, corpus_facts(twice)):
         assert crawl(corpus, seeds_of(spark, HOME), depth=2).count() == 2
         assert crawl(corpus, seeds_of(spark, HOME), depth=2, max_pages=1).count() == 1
+
+
+def test_dedupe_moves_only_possible_copies(spark):
+    """Without broadcasts, only pages that hit the bitmap are shuffled, and results stay exact."""
+    rows = [(i, f"http://h/{i // 2 if i < 40 else i}", "x" * 50) for i in range(400)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kept = dedupe_pages(pages, "url", "page_id")
+        assert kept.columns == pages.columns
+        assert sorted(r.page_id for r in kept.collect()) == [i for i in range(400) if i >= 40 or i % 2 == 0]
+        plan = kept._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        passing = plan[plan.index("Union") : plan.index("SortMergeJoin")]
+        assert "hashpartitioning(page_id" not in passing and "LeftAnti" in plan[plan.index("SortMergeJoin") :]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
