@@ -9,6 +9,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 BLANKS = r"[\x20\x09-\x0D]+"
 
@@ -49,6 +50,23 @@ def free_name(taken: Iterable[str], wish: str) -> str:
     return wish
 
 
+#: Parts in which the rows of one group are ranked first.
+RANK_PARTS = 64
+
+
+def least_rows(rows: DataFrame, group: str, order: list[str], most: int) -> DataFrame:
+    """At most ``most`` rows of each group, the least by ``order``, with their ``place`` from 1.
+
+    Ranked in parts first, so that what meets for the final ranking of a group is at
+    most RANK_PARTS times ``most`` rows, however many tasks and rows there are.
+    """
+    part = free_name(rows.columns, "_part")
+    parts = rows.withColumn(part, F.pmod(F.xxhash64(*order), F.lit(RANK_PARTS)))
+    place = lambda *keys: F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    first = parts.withColumn("place", place(group, part)).filter(F.col("place") <= most).drop("place", part)
+    return first.withColumn("place", place(group)).filter(F.col("place") <= most)
+
+
 def sliced(batch: pa.RecordBatch, text_at: int) -> Iterator[pa.RecordBatch]:
     """Cut a batch into runs of at most SLICE_ROWS rows and about SLICE_BYTES of text (or list items)."""
     column = batch.column(text_at)

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from pagegraph.llm.common import Scorer, append_columns, documents, fold, keep_rows, named, texts
+from pagegraph.llm.common import Scorer, append_columns, documents, fold, keep_rows, least_rows, named, texts
 from pagegraph.session import staged
 
 #: Labelled rows of a language that are learned from, at most; the least by a hash of id and text.
@@ -43,8 +43,8 @@ def bounded_sample(rows: DataFrame, group: Column, id_col: str, text_col: str, m
     """
     hashed = rows.select(group.alias("label"), F.xxhash64(named(id_col), named(text_col)).alias("h"), named(text_col).alias("text"))
     hashed = hashed.filter(F.col("label").isNotNull() & F.col("text").isNotNull())
-    ranks = hashed.select("label", "h").withColumn("place", F.row_number().over(Window.partitionBy("label").orderBy("h")))
-    limits = staged(ranks.filter(F.col("place") <= most).groupBy("label").agg(F.max("h").alias("limit")), "sample-limits")
+    ranks = least_rows(hashed.select("label", "h"), "label", ["h"], most)
+    limits = staged(ranks.groupBy("label").agg(F.max("h").alias("limit")), "sample-limits")
     met = hashed.join(limits, "label").filter(F.col("h") <= F.col("limit"))
     return met.dropDuplicates(["label", "h"]).select("label", "text")
 

@@ -18,9 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import Window
 
-from pagegraph.llm.common import Scorer, append_columns, documents, fold, keep_rows, named, sliced, texts
+from pagegraph.llm.common import Scorer, append_columns, documents, fold, keep_rows, least_rows, named, sliced, texts
 from pagegraph.session import staged
 
 BUCKET_BITS = 18
@@ -135,8 +134,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, id_col:
     """
     known = labels.filter(named(label_col).isin(0, 1) & named(id_col).isNotNull())
     marks = known.groupBy(named(id_col).alias("id")).agg(F.max(named(label_col)).cast("int").alias("label"))
-    order = Window.partitionBy("label").orderBy(F.xxhash64("id"), "id")
-    chosen = marks.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= most)
+    chosen = least_rows(marks.withColumn("h", F.xxhash64("id")), "label", ["h", "id"], most).drop("h")
     texts_of = docs.filter(named(text_col).isNotNull()).select(named(id_col).alias("id"), named(text_col).alias("text"))
     # At most 2 * most ids, whatever the tables' size.
     met = texts_of.join(F.broadcast(staged(chosen, "labelled-ids")), "id")
