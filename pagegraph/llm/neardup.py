@@ -239,10 +239,12 @@ REFINE = 6
 #: estimate of their similarity from HASHES values may fall short (three deviations).
 WIDE = 20
 SHORT = 0.15
-#: Candidates of a text that are checked besides those that hang its group together.
-PARTNERS = 6
-#: Rows of a shard here, which holds all candidate pairs of a group of copies at once.
+#: Rows of a shard here, and the shingles in their sets.
 SIMILAR_ROWS = 2048
+SIMILAR_ITEMS = 1 << 21
+#: Texts searched at a time, and sets compared with one at a time.
+SIMILAR_QUERIES = 256
+PARTNERS_AT_ONCE = 64
 
 _RANDOM = np.random.default_rng(SEED)
 _FACTORS = _RANDOM.integers(1, 1 << 63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -279,48 +281,69 @@ def sketches(rows: DataFrame, text_col: str, words_each: int) -> DataFrame:
     return append_columns(rows, text_col, new, scorer)
 
 
-def forest(values: np.ndarray, mins: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs that join all texts estimated ``least`` alike, directly or through others.
+def candidates(values: np.ndarray, mins: np.ndarray, least: float, labels: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of places estimated ``least`` alike, of different ``labels``, in parts.
 
-    Candidates come from the BK-tree over the fingerprints. In each round every group
-    takes its most alike pair to another group (Boruvka). As an estimate may prove too
-    high, the PARTNERS most alike candidates of each text are added.
+    All of them: from the BK-tree over the fingerprints, none dropped for another. The
+    caller may join labels between parts, which spares the pairs inside a group.
     """
     distinct, place = np.unique(values, return_inverse=True)
     order = np.argsort(place, kind="stable")
     starts = np.searchsorted(place[order], np.arange(len(distinct) + 1))
-    tree, a, b, alike = BKTree(distinct), [], [], []
-    for start in range(0, len(values), QUERIES):
-        for query, node in tree.within(values[start : start + QUERIES], WIDE):
+    tree = BKTree(distinct)
+    for start in range(0, len(values), SIMILAR_QUERIES):
+        a, b = [], []
+        for query, node in tree.within(values[start : start + SIMILAR_QUERIES], WIDE):
             n = starts[node + 1] - starts[node]
             one = np.repeat(query + start, n)
             other = order[np.repeat(starts[node], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)]
-            one, other = one[one < other], other[one < other]
+            met = (one < other) & (labels[one] != labels[other])
+            one, other = one[met], other[met]
             for at in range(0, len(one), CHUNK):
                 x, y = one[at : at + CHUNK], other[at : at + CHUNK]
-                likeness = (mins[x] == mins[y]).mean(axis=1, dtype=np.float32)
-                good = likeness >= least
+                good = (mins[x] == mins[y]).mean(axis=1, dtype=np.float32) >= least
                 a.append(x[good].astype(np.int32))
                 b.append(y[good].astype(np.int32))
-                alike.append(likeness[good])
-    a, b, alike = (np.concatenate(x) if x else np.zeros(0, np.int32) for x in (a, b, alike))
-    labels, kept = np.arange(len(values)), []
-    while True:
-        open_ = np.flatnonzero(labels[a] != labels[b])
-        if not len(open_):
-            break
-        best_first = open_[np.lexsort((open_, -alike[open_]))]
-        groups = np.concatenate([labels[a[best_first]], labels[b[best_first]]])
-        _, first = np.unique(groups, return_index=True)
-        taken = np.unique(best_first[first % len(best_first)])
-        kept.append(taken)
-        labels = merge_labels(labels, a[taken], b[taken])
-    one, pair = np.concatenate([a, b]), np.tile(np.arange(len(a)), 2)
-    order = np.lexsort((pair, -alike[pair], one))
-    nth = np.arange(len(order)) - np.searchsorted(one[order], one[order])
-    kept.append(pair[order[nth < PARTNERS]])
-    at = np.unique(np.concatenate(kept))
-    return a[at], b[at]
+        if a:
+            yield np.concatenate(a), np.concatenate(b)
+
+
+def join_estimated(values: np.ndarray, mins: np.ndarray, least: float, labels: np.ndarray) -> None:
+    """Join the labels of all texts estimated ``least`` alike."""
+    for a, b in candidates(values, mins, least, labels):
+        labels[:] = merge_labels(labels, a, b)
+
+
+def join_verified(values: np.ndarray, mins: np.ndarray, least: float, labels: np.ndarray, sets: np.ndarray, sizes: np.ndarray, similarity: float) -> None:
+    """Join the labels of all candidates whose whole sets have the Jaccard similarity.
+
+    ``sets`` are the texts' distinct shingles one after another, ``sizes`` their numbers.
+    A candidate is left unchecked only if a verified group holds both already, or if the
+    sizes alone rule the similarity out.
+    """
+    words, codes = np.unique(sets, return_inverse=True)
+    starts, marked = np.cumsum(sizes) - sizes, np.zeros(len(words), bool)
+    for a, b in candidates(values, mins, least, labels):
+        order = np.argsort(a, kind="stable")
+        a, b = a[order], b[order]
+        edges = np.flatnonzero(np.diff(a, prepend=-1, append=-1))
+        for low, high in zip(edges[:-1], edges[1:]):
+            x = a[low]
+            own = codes[starts[x] : starts[x] + sizes[x]]
+            marked[own] = True
+            for at in range(low, high, PARTNERS_AT_ONCE):
+                y = b[at : min(at + PARTNERS_AT_ONCE, high)]
+                y = y[(labels[y] != labels[x]) & (np.minimum(sizes[y], sizes[x]) >= similarity * np.maximum(sizes[y], sizes[x]))]
+                if not len(y):
+                    continue
+                firsts = np.cumsum(sizes[y]) - sizes[y]
+                items = codes[np.repeat(starts[y] - firsts, sizes[y]) + np.arange(sizes[y].sum())]
+                shared = np.add.reduceat(marked[items], firsts, dtype=np.int64)
+                alike = y[shared / (sizes[x] + sizes[y] - shared) >= similarity]
+                if len(alike):
+                    joined = np.unique(np.append(labels[alike], labels[x]))
+                    labels[np.isin(labels, joined)] = joined[0]
+            marked[own] = False
 
 
 def band_keys(nodes: DataFrame) -> DataFrame:
@@ -343,24 +366,28 @@ def band_keys(nodes: DataFrame) -> DataFrame:
 LINKS = T.StructType().add("u", "string").add("v", "string").add("key", "long")
 
 
-def shard_forest(table: pa.Table, least: float) -> pa.Table:
-    """Links of one shard; and, of each group in a part of a larger key, one text (``v`` null) to meet the other parts."""
-    names, keys, parts = (table.column(c).to_pylist() for c in ("node", "key", "parts"))
-    first = {name: i for i, name in reversed(list(enumerate(names)))}
-    distinct = sorted(first)
-    place = {name: i for i, name in enumerate(distinct)}
-    once = table.take([first[name] for name in distinct])
-    mins = np.array(once.column("mins").to_pylist(), np.int32).reshape(-1, HASHES)
-    a, b = forest(once.column("fp").to_numpy().view(np.uint64), mins, least)
-    labels = merge_labels(np.arange(len(distinct)), a, b)
-    pairs = [(distinct[i], distinct[j], None) for i, j in zip(a, b)]
-    leads = {(name, None, key) for name, key, n in zip(names, keys, parts) if n > 1 and labels[place[name]] == place[name]}
-    columns = list(zip(*pairs, *leads)) or [(), (), ()]
+def once_each(table: pa.Table) -> tuple[pa.Table, list[str], np.ndarray]:
+    """A row of each text, in order of the names; the names; the MinHash values."""
+    first = {name: i for i, name in reversed(list(enumerate(table.column("node").to_pylist())))}
+    names = sorted(first)
+    once = table.take([first[name] for name in names]).combine_chunks()
+    return once, names, np.array(once.column("mins").to_pylist(), np.int32).reshape(-1, HASHES)
+
+
+def estimated_groups(table: pa.Table, least: float) -> pa.Table:
+    """Stars of one shard; and, of each group in a part of a larger key, one text (``v`` null) to meet the other parts."""
+    once, names, mins = once_each(table)
+    place, labels = {name: i for i, name in enumerate(names)}, np.arange(len(names))
+    join_estimated(once.column("fp").to_numpy().view(np.uint64), mins, least, labels)
+    stars = [(names[i], names[labels[i]], None) for i in np.flatnonzero(labels != np.arange(len(names)))]
+    rows = zip(*(table.column(c).to_pylist() for c in ("node", "key", "parts")))
+    leads = {(name, None, key) for name, key, n in rows if n > 1 and labels[place[name]] == place[name]}
+    columns = list(zip(*stars, *leads)) or [(), (), ()]
     return pa.table([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.string(), pa.int64()))], names=["u", "v", "key"])
 
 
 def similar_links(nodes: DataFrame, similarity: float) -> DataFrame:
-    """``u`` and ``v``: candidate pairs of texts (``node``) by band, tree and estimate, a forest a shard.
+    """``u`` and ``v``: links by which texts (``node``) hang together by band, tree and estimate.
 
     A key that is still crowded after ``band_keys`` is dealt out in parts by a hash of
     the text; one text of each group that a part has found goes on to a further round
@@ -375,7 +402,7 @@ def similar_links(nodes: DataFrame, similarity: float) -> DataFrame:
         # A part of a key lies in one shard; small keys share shards of about SIMILAR_ROWS.
         shard = F.pmod(F.xxhash64("key", "part"), F.lit(max(1, -(-total // SIMILAR_ROWS))))
         dealt = met.select("node", "key", "parts", shard.alias("shard")).join(nodes.select("node", "fp", "mins"), "node")
-        told = dealt.groupBy("shard").applyInArrow(lambda table: shard_forest(table, least), LINKS)
+        told = dealt.groupBy("shard").applyInArrow(lambda table: estimated_groups(table, least), LINKS)
         told = staged(told, "shard-links")
         pairs = told.filter("v IS NOT NULL").select("u", "v")
         found = pairs if found is None else found.unionAll(pairs)
@@ -385,8 +412,25 @@ def similar_links(nodes: DataFrame, similarity: float) -> DataFrame:
             return found.distinct()
 
 
+def verified_groups(table: pa.Table, similarity: float) -> pa.Table:
+    """Stars of the texts of one shard by their whole sets."""
+    once, names, mins = once_each(table)
+    labels, sets = np.arange(len(names)), once.column("set").combine_chunks()
+    join_verified(once.column("fp").to_numpy().view(np.uint64), mins, similarity - SHORT, labels, sets.flatten().to_numpy(), np.diff(sets.offsets.to_numpy()).astype(np.int64), similarity)
+    own = np.flatnonzero(labels != np.arange(len(names)))
+    return pa.table({"u": pa.array([names[i] for i in own], pa.string()), "v": pa.array([names[i] for i in labels[own]], pa.string())})
+
+
+def verified_links(clusters: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
+    """``u`` and ``v``: links between texts of one cluster (``node``, ``key``, ``set``) by their whole sets, a star a group."""
+    items = clusters.agg(F.count("*"), F.coalesce(F.sum(F.size("set")), F.lit(0))).first()
+    shard = F.pmod(F.xxhash64("key"), F.lit(max(1, -(-items[0] // SIMILAR_ROWS), -(-items[1] // SIMILAR_ITEMS))))
+    dealt = clusters.select("node", "set", shard.alias("shard")).join(nodes.select("node", "fp", "mins"), "node")
+    return dealt.groupBy("shard").applyInArrow(lambda table: verified_groups(table, similarity), "u string, v string")
+
+
 def shingle_sets(rows: DataFrame, words_each: int) -> DataFrame:
-    """``node`` and ``shingles``: the distinct shingles of each ``body``, as 32-bit hashes."""
+    """``node`` and ``set``: the distinct shingles of each ``body``, as 32-bit hashes."""
 
     def scorer() -> Scorer:
         def one(raw: bytes) -> np.ndarray:
@@ -394,7 +438,7 @@ def shingle_sets(rows: DataFrame, words_each: int) -> DataFrame:
 
         return lambda column: [[one(raw) for raw in raw_texts(column)]]
 
-    return append_columns(rows, "body", T.StructType().add("shingles", T.ArrayType(T.IntegerType())), scorer)
+    return append_columns(rows, "body", T.StructType().add("set", T.ArrayType(T.IntegerType())), scorer)
 
 
 def keep_one(rows: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, words_each: int = 5, similarity: float = 0.8) -> DataFrame:
@@ -412,17 +456,15 @@ def keep_one(rows: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
     met = staged(sketches(narrow, "body", words_each), "sketches")
     lead = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "h"))
     nodes = staged(met.groupBy("node").agg(lead.alias("lead"), F.first("fp").alias("fp"), F.first("mins").alias("mins"), F.first("shingles").alias("shingles")), "nodes")
-    pairs = staged(similar_links(nodes.filter("shingles > 0"), similarity), "candidates")
+    # What one estimate or several hang together is a cluster: pairs of two clusters are no candidates.
+    stars = components(similar_links(nodes.filter("shingles > 0"), similarity))
+    ends = staged(stars.unionAll(stars.select(F.col("v").alias("u"), "v").distinct()).select(F.col("u").alias("node"), F.xxhash64("v").alias("key")), "clusters")
 
-    # Only the texts in a candidate pair, one copy of each, give their sets.
-    ends = pairs.select(F.col("u").alias("node")).unionAll(pairs.select("v")).distinct()
-    asked = nodes.join(ends, "node", "left_semi").select("node", F.col("lead.id").alias("lead_id"), F.col("lead.h").alias("lead_h"))
+    # Only the texts in a cluster, one copy of each, give their sets.
+    asked = nodes.join(ends, "node").select("node", "key", F.col("lead.id").alias("lead_id"), F.col("lead.h").alias("lead_h"))
     texts_asked = narrow.join(asked, F.col("id").eqNullSafe(F.col("lead_id")) & (F.col("h") == F.col("lead_h")))
-    sets = staged(shingle_sets(texts_asked.select("node", "body"), words_each).dropDuplicates(["node"]), "shingle-sets")
-    both = pairs.join(sets.select(F.col("node").alias("u"), F.col("shingles").alias("a")), "u").join(sets.select(F.col("node").alias("v"), F.col("shingles").alias("b")), "v")
-    shared = F.size(F.array_intersect("a", "b"))
-    alike = both.select("u", "v", (shared / (F.size("a") + F.size("b") - shared)).alias("jaccard"))
-    links = alike.filter(F.col("jaccard") >= similarity).select("u", "v")
+    sets = staged(shingle_sets(texts_asked.select("node", "key", "body"), words_each).dropDuplicates(["node"]), "shingle-sets")
+    links = verified_links(sets, nodes, similarity)
 
     roots = components(links).select(F.col("u").alias("node"), F.col("v").alias("root"))
     groups = nodes.select("node", "lead").join(roots, "node", "left").groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("lead").alias("lead"))
