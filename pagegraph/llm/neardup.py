@@ -363,70 +363,71 @@ def band_keys(nodes: DataFrame) -> DataFrame:
     return met.filter(F.col("n") <= SIMILAR_ROWS).select("node", "key").unionAll(cut)
 
 
-LINKS = T.StructType().add("u", "string").add("v", "string").add("key", "long")
+def shard_groups(table: pa.Table, similarity: float, verify: bool) -> pa.Table:
+    """Links of one shard: of each ``group`` that another joins, one text to one of the other.
 
-
-def once_each(table: pa.Table) -> tuple[pa.Table, list[str], np.ndarray]:
-    """A row of each text, in order of the names; the names; the MinHash values."""
+    By the estimate, or, if ``verify``, by the whole sets of shingles (``set``).
+    """
     first = {name: i for i, name in reversed(list(enumerate(table.column("node").to_pylist())))}
     names = sorted(first)
     once = table.take([first[name] for name in names]).combine_chunks()
-    return once, names, np.array(once.column("mins").to_pylist(), np.int32).reshape(-1, HASHES)
-
-
-def estimated_groups(table: pa.Table, least: float) -> pa.Table:
-    """Stars of one shard; and, of each group in a part of a larger key, one text (``v`` null) to meet the other parts."""
-    once, names, mins = once_each(table)
-    place, labels = {name: i for i, name in enumerate(names)}, np.arange(len(names))
-    join_estimated(once.column("fp").to_numpy().view(np.uint64), mins, least, labels)
-    stars = [(names[i], names[labels[i]], None) for i in np.flatnonzero(labels != np.arange(len(names)))]
-    rows = zip(*(table.column(c).to_pylist() for c in ("node", "key", "parts")))
-    leads = {(name, None, key) for name, key, n in rows if n > 1 and labels[place[name]] == place[name]}
-    columns = list(zip(*stars, *leads)) or [(), (), ()]
-    return pa.table([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.string(), pa.int64()))], names=["u", "v", "key"])
+    _, least, place = np.unique(once.column("group").to_numpy(zero_copy_only=False).astype(str), return_index=True, return_inverse=True)
+    labels = least[place]
+    fps, mins = once.column("fp").to_numpy().view(np.uint64), np.array(once.column("mins").to_pylist(), np.int32).reshape(-1, HASHES)
+    if verify:
+        sets = once.column("set").combine_chunks()
+        join_verified(fps, mins, similarity - SHORT, labels, sets.flatten().to_numpy(), np.diff(sets.offsets.to_numpy()).astype(np.int64), similarity)
+    else:
+        join_estimated(fps, mins, similarity - SHORT, labels)
+    own = least[labels[least] != least]
+    return pa.table({"u": pa.array([names[i] for i in own], pa.string()), "v": pa.array([names[i] for i in labels[own]], pa.string())})
 
 
-def similar_links(nodes: DataFrame, similarity: float) -> DataFrame:
-    """``u`` and ``v``: links by which texts (``node``) hang together by band, tree and estimate.
+def key_links(rows: DataFrame, carried: DataFrame, similarity: float, verify: bool) -> DataFrame:
+    """``u`` and ``v``: links by which alike texts hang together that share a ``key``.
 
-    A key that is still crowded after ``band_keys`` is dealt out in parts by a hash of
-    the text; one text of each group that a part has found goes on to a further round
-    with those of the other parts, while rounds get smaller by a third or more.
+    ``rows`` have ``key``, ``node`` and ``items`` (what its set counts for a shard's
+    size); ``carried`` has what the tasks compare. Complete: a key of more than a shard is
+    dealt in parts, each of them compared in itself; then its texts outside the group that
+    most of them have come to are dealt again, and every two of those parts, and every one
+    of them with every part of that group, meet in a task. Only pairs inside a group
+    that is joined already are left out.
     """
-    least = similarity - SHORT
-    rows, found = staged(band_keys(nodes).distinct(), "shard-keys"), None
-    while True:
-        total = rows.count()
-        counts = rows.groupBy("key").agg(F.ceil(F.count("*") / SIMILAR_ROWS).alias("parts"), F.count("*").alias("n")).filter("n > 1")
-        met = rows.join(counts, "key").withColumn("part", F.pmod(F.xxhash64("node", F.lit(total)), "parts"))
-        # A part of a key lies in one shard; small keys share shards of about SIMILAR_ROWS.
-        shard = F.pmod(F.xxhash64("key", "part"), F.lit(max(1, -(-total // SIMILAR_ROWS))))
-        dealt = met.select("node", "key", "parts", shard.alias("shard")).join(nodes.select("node", "fp", "mins"), "node")
-        told = dealt.groupBy("shard").applyInArrow(lambda table: estimated_groups(table, least), LINKS)
-        told = staged(told, "shard-links")
-        pairs = told.filter("v IS NOT NULL").select("u", "v")
-        found = pairs if found is None else found.unionAll(pairs)
-        rows = staged(told.filter("v IS NULL").select(F.col("u").alias("node"), "key").distinct(), "shard-keys")
-        left = rows.count()
-        if not left or left > 0.7 * total:
-            return found.distinct()
-
-
-def verified_groups(table: pa.Table, similarity: float) -> pa.Table:
-    """Stars of the texts of one shard by their whole sets."""
-    once, names, mins = once_each(table)
-    labels, sets = np.arange(len(names)), once.column("set").combine_chunks()
-    join_verified(once.column("fp").to_numpy().view(np.uint64), mins, similarity - SHORT, labels, sets.flatten().to_numpy(), np.diff(sets.offsets.to_numpy()).astype(np.int64), similarity)
-    own = np.flatnonzero(labels != np.arange(len(names)))
-    return pa.table({"u": pa.array([names[i] for i in own], pa.string()), "v": pa.array([names[i] for i in labels[own]], pa.string())})
-
-
-def verified_links(clusters: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
-    """``u`` and ``v``: links between texts of one cluster (``node``, ``key``, ``set``) by their whole sets, a star a group."""
-    items = clusters.agg(F.count("*"), F.coalesce(F.sum(F.size("set")), F.lit(0))).first()
-    shard = F.pmod(F.xxhash64("key"), F.lit(max(1, -(-items[0] // SIMILAR_ROWS), -(-items[1] // SIMILAR_ITEMS))))
-    dealt = clusters.select("node", "set", shard.alias("shard")).join(nodes.select("node", "fp", "mins"), "node")
-    return dealt.groupBy("shard").applyInArrow(lambda table: verified_groups(table, similarity), "u string, v string")
+    rows = staged(rows, "keyed-texts")
+    shards = lambda n, items: F.greatest(F.lit(1), F.ceil(n / SIMILAR_ROWS), F.ceil(items / SIMILAR_ITEMS))
+    compare = lambda table: shard_groups(table, similarity, verify)
+
+    def compared(dealt: DataFrame) -> DataFrame:
+        return staged(dealt.join(carried, "node").groupBy("shard").applyInArrow(compare, "u string, v string"), "shard-links")
+
+    counts = rows.groupBy("key").agg(shards(F.count("*"), F.sum("items")).alias("parts"), F.count("*").alias("n")).filter("n > 1")
+    met = rows.join(counts, "key")
+    total = met.agg(shards(F.count("*"), F.coalesce(F.sum("items"), F.lit(0)))).first()[0]
+    part = F.pmod(F.xxhash64("node", "key"), "parts")
+    found = compared(met.select("node", F.col("node").alias("group"), F.pmod(F.xxhash64("key", part), F.lit(total)).alias("shard")))
+    crowded = staged(met.filter("parts > 1").select("key", "node", "items"), "crowded-keys")
+    if crowded.isEmpty():
+        return found
+
+    roots = components(found).select(F.col("u").alias("node"), F.col("v").alias("root"))
+    grouped = staged(crowded.join(roots, "node", "left").select("key", "node", "items", F.coalesce("root", "node").alias("group")), "crowded-groups")
+    sizes = grouped.groupBy("key", "group").agg(F.count("*").alias("n"), F.sum("items").alias("items"))
+    most = F.max_by("group", F.struct("n", "group"))
+    main = staged(sizes.groupBy("key").agg(most.alias("main")), "main-groups")
+    in_main = F.col("group") == F.col("main")
+    number = lambda side: shards(F.coalesce(F.sum(F.when(side, F.col("n"))), F.lit(0)), F.coalesce(F.sum(F.when(side, F.col("items"))), F.lit(0)))
+    parts = sizes.join(main, "key").groupBy("key").agg(number(~in_main).alias("others"), number(in_main).alias("mains"), F.count("*").alias("groups"))
+    open_ = staged(parts.filter("groups > 1").join(main, "key").drop("groups"), "open-keys")
+    if open_.isEmpty():
+        return found
+    # A block is a pair of parts: of others (i <= j), or of others and the main group (j < 0).
+    own = F.pmod(F.xxhash64(F.lit(1), "node", "key"), F.when(in_main, F.col("mains")).otherwise(F.col("others")))
+    upto = lambda n: F.sequence(F.lit(0).cast("long"), n - 1)
+    pair = lambda i, j: F.struct(i.alias("i"), j.alias("j"))
+    of_other = F.concat(F.transform(upto(F.col("others")), lambda k: pair(F.least(k, "own"), F.greatest(k, "own"))), F.transform(upto(F.col("mains")), lambda k: pair(F.col("own"), -1 - k)))
+    of_main = F.transform(upto(F.col("others")), lambda k: pair(k, -1 - F.col("own")))
+    blocks = grouped.join(open_, "key").withColumn("own", own).select("key", "node", "group", F.explode(F.when(in_main, of_main).otherwise(of_other)).alias("block"))
+    return found.unionAll(compared(blocks.select("node", "group", F.xxhash64("key", "block.i", "block.j").alias("shard"))))
 
 
 def shingle_sets(rows: DataFrame, words_each: int) -> DataFrame:
@@ -457,14 +458,17 @@ def keep_one(rows: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
     lead = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "h"))
     nodes = staged(met.groupBy("node").agg(lead.alias("lead"), F.first("fp").alias("fp"), F.first("mins").alias("mins"), F.first("shingles").alias("shingles")), "nodes")
     # What one estimate or several hang together is a cluster: pairs of two clusters are no candidates.
-    stars = components(similar_links(nodes.filter("shingles > 0"), similarity))
+    worded = nodes.filter("shingles > 0")
+    keys = band_keys(worded).distinct().withColumn("items", F.lit(0).cast("long"))
+    stars = components(key_links(keys, worded.select("node", "fp", "mins"), similarity, verify=False))
     ends = staged(stars.unionAll(stars.select(F.col("v").alias("u"), "v").distinct()).select(F.col("u").alias("node"), F.xxhash64("v").alias("key")), "clusters")
 
     # Only the texts in a cluster, one copy of each, give their sets.
     asked = nodes.join(ends, "node").select("node", "key", F.col("lead.id").alias("lead_id"), F.col("lead.h").alias("lead_h"))
     texts_asked = narrow.join(asked, F.col("id").eqNullSafe(F.col("lead_id")) & (F.col("h") == F.col("lead_h")))
     sets = staged(shingle_sets(texts_asked.select("node", "key", "body"), words_each).dropDuplicates(["node"]), "shingle-sets")
-    links = verified_links(sets, nodes, similarity)
+    carried = sets.select("node", "set").join(nodes.select("node", "fp", "mins"), "node")
+    links = key_links(sets.select("key", "node", F.size("set").cast("long").alias("items")), carried, similarity, verify=True)
 
     roots = components(links).select(F.col("u").alias("node"), F.col("v").alias("root"))
     groups = nodes.select("node", "lead").join(roots, "node", "left").groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("lead").alias("lead"))

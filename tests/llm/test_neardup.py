@@ -137,3 +137,20 @@ def test_pairs_among_siblings_just_below(spark):
     assert 0.75 < jaccard(sets[0], sets[2]) < 0.78 and 0.82 < jaccard(sets[0], sets[1]) < 0.85
     assert want == list(range(0, 300, 2))
     assert kept_ids(spark, texts) == want
+
+
+def test_one_original_among_parts_of_its_copies(spark, monkeypatch):
+    """Copies 0.85 like the original and 0.72 like each other under a single key of several parts."""
+    monkeypatch.setattr(neardup, "SIMILAR_ROWS", 40)
+    monkeypatch.setattr(neardup, "BANDS", 1)
+    monkeypatch.setattr(neardup, "REFINE", 1)
+    rng, base = random.Random(7), [f"o{i}" for i in range(300)]
+    texts = [" ".join(base)]
+    same = lambda t: neardup.minhashes(neardup.shingle_hashes(t.encode(), 5))[: neardup.BAND_ROWS + 1].tolist()
+    while len(texts) < 201:
+        at = set(rng.sample(range(5, 295, 5), 5))
+        text = " ".join(f"d{len(texts)}e{i}" if i in at else w for i, w in enumerate(base))
+        texts += [text] if same(text) == same(texts[0]) else []
+    want, sets = brute_force(texts)
+    assert want == [0] and all(0.82 < jaccard(sets[0], s) < 0.87 for s in sets[1:])
+    assert kept_ids(spark, texts) == want
