@@ -262,14 +262,14 @@ def minhashes(hashes: np.ndarray) -> np.ndarray:
 
 
 def sketches(rows: DataFrame, text_col: str, words_each: int) -> DataFrame:
-    """``rows`` without the text, with ``node`` (128-bit digest of the text), ``fp``, ``mins`` and ``shingles`` (their number)."""
+    """``rows`` without the text, with ``node`` (128-bit digest of the text), ``fp``, ``mins`` and ``shingles`` (their number), all of the distinct shingles."""
     new = T.StructType().add("node", "string").add("fp", "long").add("mins", T.ArrayType(T.IntegerType())).add("shingles", "long")
 
     def scorer() -> Scorer:
         def score(column: pa.Array) -> list[list]:
             nodes, fps, mins, numbers = [], [], [], []
             for raw in raw_texts(column):
-                hashes = shingle_hashes(raw, words_each)
+                hashes = np.unique(shingle_hashes(raw, words_each))
                 nodes.append(xxhash.xxh3_128_hexdigest(raw))
                 fps.append(signed(simhash(hashes)))
                 mins.append(minhashes(hashes) if len(hashes) else np.zeros(HASHES, np.int32))

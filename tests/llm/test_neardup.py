@@ -154,3 +154,14 @@ def test_one_original_among_parts_of_its_copies(spark, monkeypatch):
     want, sets = brute_force(texts)
     assert want == [0] and all(0.82 < jaccard(sets[0], s) < 0.87 for s in sets[1:])
     assert kept_ids(spark, texts) == want
+
+
+def test_repeats_do_not_part_equal_sets(spark):
+    """A line that one copy repeats many times adds to its counts, hardly to its set."""
+    texts = []
+    for d in range(60):
+        words = [f"d{d}w{i}" for i in range(300)]
+        texts += [" ".join(words), " ".join(words + words[-16:] * 40)]
+    want, sets = brute_force(texts)
+    assert want == list(range(0, 120, 2)) and jaccard(sets[0], sets[1]) > 0.97
+    assert kept_ids(spark, texts) == want
