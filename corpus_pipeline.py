@@ -55,7 +55,7 @@ STAGES = [
     ("bpe", encode),
 ]
 
-#: Learned models and near duplicates are beyond SQL; the tests hold run() against brute force.
+#: Learned models and near duplicates are beyond SQL; the tests hold keep_one against brute force, of run() the number of rows.
 ORACLE_SQL = None
 
 
