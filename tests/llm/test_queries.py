@@ -21,8 +21,14 @@ COLUMNS = {
     "op8_": "doc_id n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept",
     "op9_": "doc_id n_tokens ids_sha256 decoded_sha256",
     "op10_": "doc_id fingerprint component_id",
+    "op11_": "vec_id component n deviation whitened explained identity_error",
+    "op12_": "vec_id cluster distance cluster_inertia inertia centroid_sha256",
+    "op13_": "page_id url text n_chars",
 }
 
+#: Tables other than documents, and rows of the result to a row of the table.
+TABLES = {"op11_": ("embeddings", 4), "op12_": ("embeddings", 1), "op13_": ("pages", 1)}
+
 
 def test_all_are_registered():
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries())
@@ -36,7 +42,8 @@ def test_query(spark, name):
     prefix = name[: name.index("_") + 1]
     assert set(COLUMNS[prefix].split()) <= set(df.columns)
     rows = [tuple(r) for r in df.collect()]
-    assert len(rows) == spark.read.parquet(f"{SF_DIR}/documents.parquet").count()
+    table, times = TABLES.get(prefix, ("documents", 1))
+    assert len(rows) == times * spark.read.parquet(f"{SF_DIR}/{table}.parquet").count()
     if name in ORACLES:
         result = connect(SF_DIR).execute(ORACLES[name])
         columns = [d[0] for d in result.description]

@@ -1,0 +1,176 @@
+"""Whitening and clustering against numpy on small tables."""
+
+import hashlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from pagegraph.llm.clustering import assignments, chunked, lloyd, op12_lloyd_shards
+from pagegraph.llm.vectors import narrowed, packed, stacked, unpacked
+from pagegraph.llm.whitening import op11_lanczos_whitening
+from pagegraph.session import bucketed
+
+SCHEMA = "vec_id long, embedding array<float>, label int, x string"
+
+
+def table(spark, rows, folder):
+    path = f"{folder}/embeddings.parquet"
+    spark.createDataFrame([(*r, 0, "clash") for r in rows], SCHEMA).write.mode("overwrite").parquet(path)
+    return str(folder)
+
+
+def numbers(n, d, seed=1):
+    return np.random.default_rng(seed).normal(0, 0.3, (n, d)).astype(np.float32)
+
+
+def whitened_by_numpy(rows, width):
+    usable = [(i, v) for i, v in rows if v is not None and all(c is not None and np.isfinite(c) for c in v)]
+    x = [np.floor(256 * np.array(v, np.float32).astype(np.float64)).astype(np.int64) for _, v in usable]
+    x = np.array([np.pad(v, (0, width - len(v))) for v in x])
+    distinct = np.unique(x, axis=0)
+    n, sums = len(distinct), distinct.sum(0)
+    centred = distinct - sums / n
+    values, vectors = np.linalg.eigh(centred.T @ centred / n)
+    order = np.argsort(-values)[:4]
+    values, vectors = values[order], vectors[:, order]
+    good = values > 1e-9
+    whitened = (x - sums / n) @ vectors[:, good] / np.sqrt(values[good])
+    return [i for i, _ in usable], n, whitened, ((n * x - sums) ** 2).sum(1), values[good], centred
+
+
+def check_whitening(spark, rows, width, folder, unique=True):
+    got = op11_lanczos_whitening(spark, table(spark, rows, folder)).collect()
+    ids, n, want, deviation, values, centred = whitened_by_numpy(rows, width)
+    k = want.shape[1]
+    assert len(got) == k * len(ids)
+    assert {r.n for r in got} <= {n} and all(r.identity_error < 1e-8 for r in got)
+    trace = (centred**2).sum() / n
+    for c in range(k):
+        part = [r for r in got if r.component == c + 1]
+        assert sorted(map(str, (r.vec_id for r in part))) == sorted(map(str, ids))
+        assert all(abs(r.explained - values[c] / trace) < 1e-12 for r in part)
+        if unique:
+            mine = sorted((abs(r.whitened), r.deviation) for r in part)
+            theirs = sorted(zip(np.abs(want[:, c]).tolist(), deviation.tolist(), strict=True))
+            assert np.allclose([m[0] for m in mine], [t[0] for t in theirs], atol=1e-9)
+            assert sorted(m[1] for m in mine) == sorted(t[1] for t in theirs)
+            by_id = {r.vec_id: r.whitened for r in part}
+            signs = {np.sign(by_id[i] * w) for i, w in zip(ids, want[:, c], strict=True) if i is not None and ids.count(i) == 1 and abs(w) > 1e-6}
+            assert len(signs) <= 1
+    return got
+
+
+def test_whitening_odd_rows(spark, tmp_path):
+    v = numbers(60, 7).tolist()
+    odd = [(100, None), (101, [None] * 7), (102, [float("nan")] * 7), (103, [float("inf")] + [0.0] * 6), (104, v[0]), (104, v[0]), (None, v[1]), (105, [-0.0] * 7), (106, [0.0] * 7)]
+    check_whitening(spark, list(enumerate(v)) + odd, 7, tmp_path)
+
+
+def test_whitening_hot_vector(spark, tmp_path):
+    """A vector that a third of all rows share counts once in the fit."""
+    v = numbers(40, 5, 2).tolist()
+    check_whitening(spark, list(enumerate(v)) + [(1000 + i, v[3]) for i in range(30)], 5, tmp_path)
+
+
+def test_whitening_short_vectors(spark, tmp_path):
+    v = numbers(30, 6, 3).tolist()
+    check_whitening(spark, [(i, x[: 6 - i % 3]) for i, x in enumerate(v)] + [(99, [])], 6, tmp_path)
+
+
+def test_whitening_low_rank(spark, tmp_path):
+    """Two directions of variance give two components."""
+    a, b = numbers(2, 8, 4)
+    whole = np.round(np.outer(np.arange(20) % 5, np.round(a * 8)) + np.outer(np.arange(20) // 5, np.round(b * 8)))
+    rows = [(i, (x / 256).tolist()) for i, x in enumerate(whole)]
+    assert {r.component for r in check_whitening(spark, rows, 8, tmp_path)} == {1, 2}
+
+
+def test_whitening_equal_values(spark, tmp_path):
+    """Rows on the axes, both ways: all eigenvalues are equal, and none is missed."""
+    rows = [(2 * i + s, (np.eye(6)[i] * (1 - 2 * s)).tolist()) for i in range(6) for s in (0, 1)]
+    got = check_whitening(spark, rows, 6, tmp_path, unique=False)
+    assert {r.component for r in got} == {1, 2, 3, 4}
+
+
+def test_whitening_without_variance(spark, tmp_path):
+    assert op11_lanczos_whitening(spark, table(spark, [(1, [0.5, 1.0]), (2, [0.5, 1.0])], tmp_path / "one")).count() == 0
+    assert op11_lanczos_whitening(spark, table(spark, [], tmp_path / "none")).count() == 0
+    assert op11_lanczos_whitening(spark, table(spark, [(1, None), (2, [None])], tmp_path / "bad")).count() == 0
+
+
+def lloyd_by_numpy(rows):
+    usable = [(i, v) for i, v in rows if v is not None and len(v) == 64 and all(c is not None and np.isfinite(c) for c in v)]
+    q = np.array([np.floor(1024 * np.array(v, np.float32).astype(np.float64)) for _, v in usable]).astype(np.int64)
+    digest = [hashlib.sha256(f"3:{i}".encode()).hexdigest() if i is not None else "z" for i, _ in usable]
+    first = sorted(range(len(q)), key=lambda at: (digest[at], q[at].tolist()))[:8]
+    c = q[first].copy()
+    for _ in range(10):
+        label = ((q[:, None] - c) ** 2).sum(2).argmin(1)
+        for k in set(label.tolist()):
+            c[k] = q[label == k].sum(0) // (label == k).sum()
+    squares = ((q[:, None] - c) ** 2).sum(2)
+    label, least = squares.argmin(1), squares.min(1)
+    sha = [hashlib.sha256(",".join(map(str, x)).encode()).hexdigest() for x in c.tolist()]
+    return [(usable[i][0], int(label[i]), int(least[i]), int(least[label == label[i]].sum()), int(least.sum()), sha[label[i]]) for i in range(len(q))]
+
+
+@pytest.mark.parametrize("n", [300, 5])
+def test_lloyd(spark, tmp_path, n):
+    """Odd rows, ties (equal vectors among the first centroids leave some empty), hot vectors, few rows."""
+    v = numbers(n, 64, 5).tolist()
+    rows = list(enumerate(v)) + [(900 + i, v[2]) for i in range(n // 2)]
+    rows += [(800, None), (801, v[0][:63]), (802, v[0] + [1.0]), (803, [None] * 64), (804, [float("nan")] * 64), (7, v[1]), (7, v[1]), (None, v[0]), (None, v[3])]
+    got = op12_lloyd_shards(spark, table(spark, rows, tmp_path)).collect()
+    assert sorted(map(tuple, got), key=repr) == sorted(lloyd_by_numpy(rows), key=repr)
+
+
+def test_lloyd_empty(spark, tmp_path):
+    assert op12_lloyd_shards(spark, table(spark, [], tmp_path / "a")).collect() == []
+    got = op12_lloyd_shards(spark, table(spark, [(1, None)], tmp_path / "b"))
+    assert got.collect() == [] and got.columns == "vec_id cluster distance cluster_inertia inertia centroid_sha256".split()
+
+
+def test_lloyd_any_width(spark):
+    """The operator itself takes rows of any width, dealt out by 32 columns, the last shard narrower."""
+    x = np.random.default_rng(6).integers(-50, 50, (200, 41))
+    rows = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "id long, x array<long>")
+    blocks = bucketed(chunked(rows, 41), "test-blocks", ["chunk", "shard"])
+    assert {r.shard for r in blocks.select("shard").distinct().collect()} == {0, 1}
+    start = x[:3].astype(np.int64)
+    centroids = lloyd(blocks, start, 4)
+    want = start.copy()
+    for _ in range(4):
+        label = ((x[:, None] - want) ** 2).sum(2).argmin(1)
+        want = np.array([x[label == k].sum(0) // (label == k).sum() for k in range(3)])
+    assert (centroids == want).all()
+    told = {r.id: (r.cluster, r.distance) for r in assignments(blocks, centroids).collect()}
+    squares = ((x[:, None] - want) ** 2).sum(2)
+    assert told == {i: (int(squares[i].argmin()), int(squares[i].min())) for i in range(200)}
+
+
+def test_lloyd_leaves_blocks_in_place(spark):
+    """No round shuffles the blocks, also where labels are too many to broadcast."""
+    from pagegraph.llm.clustering import nearest, partial_distances, slice_sums
+
+    x = np.random.default_rng(7).integers(-50, 50, (50, 64))
+    rows = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "id long, x array<long>")
+    blocks = bucketed(chunked(rows, 64), "test-blocks", ["chunk", "shard"])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        labels = nearest(partial_distances(blocks, x[:2].astype(np.int64)), 2)
+        plan = slice_sums(blocks, labels, 64, 2)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    moved = [line for line in plan.splitlines() if "Exchange" in line]
+    assert not any("data" in line for line in moved) and "SortMergeJoin" in plan
+
+
+def test_packing():
+    for top in (100, 30_000, 2_000_000_000, 1 << 40):
+        rows = np.random.default_rng(8).integers(-top, top, (5, 3))
+        data, item = packed(rows)
+        assert (unpacked(data, item, 3) == rows).all() and item == narrowed(rows).itemsize
+    import pyarrow as pa
+
+    assert stacked(pa.array([[1, 2, 3], [4], []], pa.list_(pa.int64())), 3).tolist() == [[1, 2, 3], [4, 0, 0], [0, 0, 0]]
