@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pagegraph.functions.urls import netloc
-from pagegraph.operators.extract import page_facts, with_split_links
+from pagegraph.operators.corpus import Corpus, corpus_facts, corpus_of
+from pagegraph.operators.counts import Counts
+from pagegraph.operators.extract import FACTS, with_split_links
 from pagegraph.operators.traverse import (
     MIN_DEPTH,
     child_key,
@@ -23,38 +27,28 @@ from pagegraph.session import staged
 # Fixed value: pages a crawl visits per seed unless told otherwise.
 DEFAULT_MAX_PAGES = 50
 
-FACTS = ("requested_url", "status", "final_url", "title", "links", "emails", "images")
-
-
-def corpus_facts(responses: DataFrame) -> DataFrame:
-    """Facts of every response, for crawls over one corpus that share the reading.
-
-    Worth writing to a table when the seeds reach a good part of the corpus;
-    otherwise ``crawl`` reads only the pages it visits.
-    """
-    return page_facts(responses, ("requested_url", "status", "final_url")).select(*FACTS)
+VISIT_FACTS = {"title": "string", "links": "array<string>", "emails": "array<string>", "images": "array<string>"}
 
 
-def _visited_facts(corpus: DataFrame, frontier: DataFrame, level: int) -> DataFrame:
+def _visited_facts(corpus: Corpus, frontier: DataFrame, level: int, fields: Sequence[str], counts: Counts | None) -> DataFrame:
+    """Facts of the frontier's pages: the corpus is cut down to them before any page is
+    read, and a page is read once however many seeds visit it."""
     # The bound on the key holds for every row; it marks the frontier as the
     # selective side, from which Spark may build a bloom filter over the corpus.
     wanted = frontier.filter(F.col("bfs_key") >= key_literal(first_key(level))).select(F.col("node").alias("requested_url"))
-    if "links" in corpus.columns:
-        facts = corpus.select(*FACTS).join(wanted, "requested_url", "left_semi")
-    else:
-        # A page is cut down to the visited ones before it is read, and read once
-        # however many seeds visit it.
-        facts = corpus_facts(corpus.join(wanted, "requested_url", "left_semi"))
-    # Of pages that share a URL one is visited; facts are few and hold no body.
-    rest = F.min(F.struct(*FACTS[1:])).alias("facts")
-    return facts.groupBy("requested_url").agg(rest).select("requested_url", "facts.*")
+    if corpus.laid_out:
+        # The buckets are streamed past the frontier's URLs, neither moved nor sorted.
+        wanted = wanted.hint("shuffle_hash")
+    met = corpus.pages.join(wanted, "requested_url", "left_semi")
+    return met if corpus.read else corpus_facts(met, fields, counts)
 
 
-def _visit(corpus: DataFrame, frontier: DataFrame, level: int) -> DataFrame:
+def _visit(corpus: Corpus, frontier: DataFrame, level: int, fields: Sequence[str], counts: Counts | None) -> DataFrame:
     """Visit every queued URL; one without response gives status 0 and no content."""
-    facts = _visited_facts(corpus, frontier, level)
+    facts = _visited_facts(corpus, frontier, level, fields, counts)
     none = F.array().cast("array<string>")
     found = frontier.join(facts, F.col("node") == F.col("requested_url"), "left")
+    found = found.withColumns({f: F.lit(None).cast(VISIT_FACTS[f]) for f in FACTS if f not in facts.columns})
     filled = found.withColumns(
         {
             "url": F.coalesce(F.col("final_url"), F.col("node")),
@@ -70,27 +64,36 @@ def _visit(corpus: DataFrame, frontier: DataFrame, level: int) -> DataFrame:
 
 
 def crawl(
-    responses: DataFrame, seeds: DataFrame, depth: int = MIN_DEPTH, max_pages: int | None = DEFAULT_MAX_PAGES
+    responses: DataFrame | Corpus,
+    seeds: DataFrame,
+    depth: int = MIN_DEPTH,
+    max_pages: int | None = DEFAULT_MAX_PAGES,
+    fields: Sequence[str] = FACTS,
+    counts: Counts | None = None,
 ) -> DataFrame:
     """Pages each seed reaches over links to its own host, breadth first.
 
-    ``responses`` comes from ``read_responses`` or, read already, from
-    ``corpus_facts``. Rows that share a ``requested_url`` count as one page, the least
-    by status, final URL and so on; ``dedupe_pages`` chooses by another order. ``depth``
-    counts levels, the seed's own included. ``bfs_key`` of the result is the order
-    of visits of a seed. A page counts against ``max_pages`` whatever its status.
+    ``responses`` comes from ``read_responses`` or, read already, from ``corpus_facts``;
+    ``write_corpus`` and ``write_facts`` lay either out for good. Rows that share a
+    ``requested_url`` count as one page, the least by status, final URL and a hash of the
+    row; ``dedupe_pages`` chooses by another order. ``depth`` counts levels, the seed's own
+    included. ``bfs_key`` of the result is the order of visits of a seed. A page counts
+    against ``max_pages`` whatever its status; no page beyond it is read. Facts that are not
+    among ``fields`` stay empty, and ``counts`` gets what ``page_facts`` counts.
     """
-    spark = responses.sparkSession
+    spark = seeds.sparkSession
     if max_pages is not None and max_pages < 1:
         return spark.createDataFrame([], VISITS)
+    corpus = responses if isinstance(responses, Corpus) else corpus_of(responses)
     depth = clamp_depth(depth)
     frontiers = [seed_frontier(seeds)]
     if depth > 1:
         frontiers = [staged(frontiers[0], "seeds")]
     visits = []
     for level in range(depth):
-        visited = _visit(responses, frontiers[-1], level)
-        if level == depth - 1:
+        last = level == depth - 1
+        visited = _visit(corpus, frontiers[-1], level, fields if last else [*fields, "links"], counts)
+        if last:
             visits.append(visited)
             break
         # Read by the result and by the next level, so it is kept.

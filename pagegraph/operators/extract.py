@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from pagegraph.functions.text import blank_to_null, emails_in, post_username, trim_unicode
 from pagegraph.functions.urls import canonical_netloc, canonical_refs_sql
+from pagegraph.operators.counts import Counts, how_many, watched
 from pagegraph.operators.elements import extract_elements
 
 # Link schemes left out, and the words a post row uses.
@@ -89,18 +90,35 @@ def _first_content(metas: Column) -> Column:
     return blank_to_null(trim_unicode(F.try_element_at(metas, F.lit(1))["content"]))
 
 
-def page_facts(pages: DataFrame, keep: Sequence[str], base_url: str = "final_url") -> DataFrame:
-    """``keep`` columns with title, canonical links, emails and images of each page:
-    the facts of a page that do not depend on who visits it."""
+#: Facts of a page, and the elements each is made from.
+_ELEMENTS_OF = {"title": ("title_raw",), "links": ("hrefs",), "emails": ("hrefs", "at_text"), "images": ("srcs",)}
+FACTS = tuple(_ELEMENTS_OF)
+
+
+def page_facts(
+    pages: DataFrame, keep: Sequence[str], base_url: str = "final_url", fields: Sequence[str] = FACTS, counts: Counts | None = None
+) -> DataFrame:
+    """``keep`` columns with title, canonical links, emails and images of each page, or
+    those named: the facts of a page that do not depend on who visits it.
+
+    Only the elements they need are read. ``counts`` gets ``pages_read``, ``pages_refused`` by
+    the tokenizer and, with links, ``refs_left_out`` for want of a valid host.
+    """
     carried = list(dict.fromkeys([*keep, base_url]))
-    elements = extract_elements(pages, ("title_raw", "hrefs", "srcs", "at_text"), carried)
-    return elements.select(
-        *keep,
-        page_title(F.col("title_raw")).alias("title"),
-        page_links("hrefs", base_url).alias("links"),
-        page_emails("hrefs", "at_text").alias("emails"),
-        page_images("srcs", base_url).alias("images"),
-    )
+    wanted = list(dict.fromkeys(e for f in fields for e in _ELEMENTS_OF[f]))
+    elements = extract_elements(pages, wanted, carried)
+    if counts is not None:
+        counted = {"pages_read": F.count(F.lit(1)), "pages_refused": how_many(F.col("parse_error").isNotNull())}
+        if "links" in fields:
+            counted["refs_left_out"] = F.coalesce(F.sum(rejected_refs("hrefs", base_url)), F.lit(0))
+        elements = watched(elements, counts, **counted)
+    made = {
+        "title": lambda: page_title(F.col("title_raw")),
+        "links": lambda: page_links("hrefs", base_url),
+        "emails": lambda: page_emails("hrefs", "at_text"),
+        "images": lambda: page_images("srcs", base_url),
+    }
+    return elements.select(*keep, *[made[f]().alias(f) for f in FACTS if f in fields])
 
 
 def with_split_links(facts: DataFrame, seed_netloc: str) -> DataFrame:

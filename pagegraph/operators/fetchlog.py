@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pagegraph.functions.text import is_html
+from pagegraph.operators.counts import Counts, how_many, watched
 from pagegraph.session import staged
 
 # Retries unless told otherwise, and errors a retry may cure, which are
@@ -70,14 +71,15 @@ def quarantined_urls(attempts: DataFrame, retries: int = DEFAULT_RETRIES) -> Dat
 
 
 def resolve_attempts(
-    attempts: DataFrame, retries: int = DEFAULT_RETRIES, on_error: str = "quarantine"
+    attempts: DataFrame, retries: int = DEFAULT_RETRIES, on_error: str = "quarantine", counts: Counts | None = None
 ) -> DataFrame:
     """One response per URL: ``requested_url, status, final_url, html``.
 
     Attempts count up to the first answer that is not a server error with retries
     left; status and final URL are those of the last answer, 0 and the URL itself
     where none came. URLs that meet an error no retry can cure are left out
-    (``quarantined_urls`` lists them), or fail the job with ``on_error='fail'``.
+    (``quarantined_urls`` lists them, ``counts`` gets ``urls_refused`` in passing), or
+    fail the job with ``on_error='fail'``.
 
     Nearly every URL is ended by its first attempt, so those go through without a
     shuffle of their bodies. Verdicts on the rest come from a grouping of attempt
@@ -101,6 +103,7 @@ def resolve_attempts(
     columns = ("url", "status", "final_url", "error", "html")
     resolved = outcomes.filter(first_ended).select(*columns).unionByName(later.select(*columns))
     refused = _unhandled(F.col("error"))
+    resolved = watched(resolved, counts, urls_refused=how_many(refused))
     if on_error == "fail":
         message = F.concat(F.lit("unhandled fetch error: "), F.col("error"))
         # A condition on rows, unlike a column, is worked out whatever is read of the result.

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pagegraph.operators.keys import split_by
 from pagegraph.schemas import SCRAPE_ROWS
 from pagegraph.session import staged
 
@@ -15,6 +16,8 @@ TARGETS = {
     "offsite": ("offsite_link", "external_links"),
     "images": ("image", "images"),
 }
+#: What a crawl has to read of a page for each.
+TARGET_FACTS = {"emails": ("emails",), "offsite": ("links",), "images": ("images",)}
 
 
 def crawl_rows(visits: DataFrame) -> DataFrame:
@@ -68,39 +71,24 @@ def scrape(visits: DataFrame, target: str) -> DataFrame:
     )
 
 
-#: Bits of the membership test over surplus pages: 128 bitmaps of 4 KB, 512 KB in all.
-SURPLUS_BITS = 1 << 22
-
-
-def _maybe_in(rows: DataFrame, members: DataFrame, key: str) -> DataFrame:
-    """``rows`` with ``maybe``: false only where ``key`` is surely not among ``members``.
-
-    A bitmap over hashed keys, of a size fixed by SURPLUS_BITS, goes to every task.
-    """
-    place = F.pmod(F.xxhash64(key), F.lit(SURPLUS_BITS)) + 1
-    placed = members.select(place.alias("place"))
-    maps = placed.groupBy(F.bitmap_bucket_number("place").alias("bucket")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bits")
-    )
-    asked = rows.withColumns({"bucket": F.bitmap_bucket_number(place), "bit": F.bitmap_bit_position(place)})
-    met = asked.join(F.broadcast(maps), "bucket", "left")
-    byte = F.conv(F.hex(F.expr("substring(bits, cast(bit div 8 as int) + 1, 1)")), 16, 10).cast("int")
-    is_set = F.expr("shiftright(byte, cast(bit % 8 as int)) & 1") == 1
-    return met.withColumn("byte", byte).withColumn("maybe", F.coalesce(is_set, F.lit(False))).drop("bucket", "bit", "bits", "byte")
+def scrape_all(visits: DataFrame) -> DataFrame:
+    """The rows of every target, in one pass over the visits and one grouping."""
+    found = [F.expr(f"transform({column}, v -> named_struct('kind', '{kind}', 'value', v))") for kind, column in TARGETS.values()]
+    rows = visits.select("seed", "bfs_key", F.col("url").alias("source_url"), F.inline(F.concat(*found)))
+    return first_source(rows, ["seed", "kind", "value"], "source_url", F.col("bfs_key")).select(*SCRAPE_ROWS.names)
 
 
 def dedupe_pages(pages: DataFrame, url_col: str, order_col: str) -> DataFrame:
     """One page per URL, the one with the smallest ``order_col``, a unique key.
 
-    Keys alone are grouped and joined. A bitmap of the surplus keys, bounded whatever
-    their number, then lets all other pages through as they are; only pages that hit
-    it meet the exact list, so no other body is ever shuffled.
+    Keys alone are grouped and joined. A filter sized by the number of surplus keys then lets
+    nearly all other pages through as they are; only pages that hit it meet the exact
+    list, so hardly any other body is ever shuffled.
     """
     keys = pages.select(url_col, order_col)
     copies = keys.groupBy(url_col).agg(F.min(order_col).alias("kept"), F.count(F.lit(1)).alias("copies"))
     repeated = copies.filter(F.col("copies") > 1).select(url_col, "kept")
     surplus = keys.join(repeated, url_col).filter(F.col(order_col) != F.col("kept")).select(order_col)
     surplus = staged(surplus, "surplus")
-    tested = _maybe_in(pages, surplus, order_col)
-    hits = tested.filter("maybe").join(surplus, order_col, "left_anti")
-    return tested.filter("NOT maybe").unionByName(hits).select(*pages.columns)
+    n = surplus.count()
+    return split_by(pages, surplus, [order_col], n)[0] if n else pages

@@ -354,8 +354,6 @@ SELECT 'instagram_post' AS kind, 'https://posts.example/p/' || c_custkey || '/'
        lower(c_mktsegment) || '_' || c_custkey AS username
 FROM customer WHERE c_nationkey <> 0"""
 
-_STREAM_SUMMARY = f"SELECT * EXCLUDE (unique_urls) FROM ({_SUMMARY_CRAWL})"
-
 ORACLES: dict[str, str] = {
     "page_title": _PAGE_TITLE,
     "page_links": _PAGE_LINKS,
@@ -391,6 +389,9 @@ ORACLES: dict[str, str] = {
     "post_metadata": _POST_METADATA,
     "stream_page_links": _PAGE_LINKS,
     "stream_scrape_emails": f"SELECT kind, value, source_url FROM ({_scraped_pages('email')})",
-    "stream_summary": _STREAM_SUMMARY,
+    "stream_summary": _SUMMARY_CRAWL,
     "stream_unique_urls": f"SELECT unique_urls FROM ({_SUMMARY_CRAWL})",
+    "crawl_clamped": _CRAWL_VISITS,
+    "posts_written": _POST_METADATA,
+    "rows_written": "SELECT count(*) AS n_rows FROM pages",
 }

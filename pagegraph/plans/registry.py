@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagegraph.functions.text import emails_in, post_username
 from pagegraph.functions.urls import canonicalize_urls, netloc
-from pagegraph.operators.crawl import corpus_facts, crawl
+from pagegraph.operators.corpus import write_corpus, write_facts
+from pagegraph.operators.crawl import crawl
 from pagegraph.operators.elements import extract_elements
 from pagegraph.operators.extract import (
+    FACTS,
     page_descriptions,
     page_emails,
     page_title,
@@ -19,14 +21,14 @@ from pagegraph.operators.extract import (
     profile_pages,
 )
 from pagegraph.operators.fetchlog import DEFAULT_RETRIES, quarantined_urls, resolve_attempts
-from pagegraph.operators.shape import crawl_rows, dedupe_pages, first_source, scrape
+from pagegraph.operators.shape import TARGET_FACTS, crawl_rows, dedupe_pages, first_source, scrape, scrape_all
 from pagegraph.operators.summary import summarize, summary_report
-from pagegraph.operators.traverse import bfs
+from pagegraph.operators.traverse import MAX_DEPTH, bfs
 from pagegraph.plans import derived
 from pagegraph.plans.derived import table
 from pagegraph.plans.jobs import attempt_responses
 from pagegraph.session import staged, staging_path
-from pagegraph.sources.ndjson import parse_lines, read_ndjson, write_ndjson
+from pagegraph.sources.ndjson import parse_lines, read_ndjson, write_ndjson, write_ndjson_counted, write_posts
 from pagegraph.sources.responses import read_attempts, read_responses, read_seeds
 from pagegraph.streaming import streams
 
@@ -115,13 +117,13 @@ def bfs_budget(spark, sf_dir):
     return reached.select("seed", "node", _long("level"))
 
 
-def host_crawl(spark, sf_dir) -> DataFrame:
+def host_crawl(spark, sf_dir, depth: int = MAX_DEPTH) -> DataFrame:
     """Crawl of the given pages, one seed per host."""
     responses = page_responses(spark, sf_dir)
     keys = canonicalize_urls(table(spark, sf_dir, "pages").select("url"), "url")
     seeds = keys.groupBy("netloc").agg(F.min("canonical_url").alias("url"))
-    corpus = staged(corpus_facts(dedupe_pages(responses, "requested_url", "page_id")), "page-facts")
-    return crawl(corpus, read_seeds(seeds), depth=3)
+    corpus = write_facts(dedupe_pages(responses, "requested_url", "page_id"))
+    return crawl(corpus, read_seeds(seeds), depth=depth)
 
 
 def _visit_columns(visits: DataFrame) -> DataFrame:
@@ -142,6 +144,11 @@ def crawl_visits(spark, sf_dir):
     return _visit_columns(host_crawl(spark, sf_dir))
 
 
+def crawl_clamped(spark, sf_dir):
+    """The same from a depth far beyond the greatest."""
+    return _visit_columns(host_crawl(spark, sf_dir, depth=99))
+
+
 def crawl_row_links(spark, sf_dir):
     rows = crawl_rows(host_crawl(spark, sf_dir))
     return rows.select(
@@ -149,18 +156,20 @@ def crawl_row_links(spark, sf_dir):
     ).select("seed", "url", "status", "level", "n_internal_links", _long("pos"), "link")
 
 
-def shop_crawl(spark, sf_dir, max_pages: int | None) -> DataFrame:
+def shop_crawl(spark, sf_dir, max_pages: int | None = None, fields: Sequence[str] = FACTS) -> DataFrame:
     """Crawl of the derived shops, three levels deep.
 
-    Nearly every page is visited, so each is read once and its facts are written;
-    no HTML is, nor is any moved at a level of the crawl.
+    Without a budget nearly every page is visited: each is read once, and its facts are
+    laid out by URL. With one, the pages are, and only those visited are read.
     """
-    return _crawl_of(read_responses(derived.shop_pages(spark, sf_dir)), spark, sf_dir, max_pages)
+    responses = read_responses(derived.shop_pages(spark, sf_dir))
+    return _crawl_of(responses, spark, sf_dir, max_pages, fields)
 
 
-def _crawl_of(responses: DataFrame, spark, sf_dir, max_pages: int | None) -> DataFrame:
+def _crawl_of(responses: DataFrame, spark, sf_dir, max_pages: int | None, fields: Sequence[str] = FACTS) -> DataFrame:
     seeds = read_seeds(derived.shop_seeds(spark, sf_dir))
-    return crawl(staged(corpus_facts(responses), "shop-facts"), seeds, depth=3, max_pages=max_pages)
+    corpus = write_facts(responses, [*fields, "links"]) if max_pages is None else write_corpus(responses)
+    return crawl(corpus, seeds, depth=3, max_pages=max_pages, fields=fields)
 
 
 def crawl_shop_attempts(spark, sf_dir):
@@ -170,7 +179,7 @@ def crawl_shop_attempts(spark, sf_dir):
 
 
 def crawl_shops(spark, sf_dir):
-    return _visit_columns(shop_crawl(spark, sf_dir, None))
+    return _visit_columns(shop_crawl(spark, sf_dir))
 
 
 def crawl_shops_budget(spark, sf_dir):
@@ -178,7 +187,7 @@ def crawl_shops_budget(spark, sf_dir):
 
 
 def crawl_shop_rows(spark, sf_dir):
-    rows = crawl_rows(shop_crawl(spark, sf_dir, None))
+    rows = crawl_rows(shop_crawl(spark, sf_dir))
     return rows.groupBy("seed", "level", "status").agg(
         F.count(F.lit(1)).alias("n_pages"),
         F.sum("n_internal_links").alias("n_internal_links"),
@@ -209,7 +218,8 @@ def _scrape(target: str) -> Callable[[SparkSession, str], DataFrame]:
 
 
 def _scrape_shops(target: str) -> Callable[[SparkSession, str], DataFrame]:
-    return lambda spark, sf_dir: scrape(shop_crawl(spark, sf_dir, None), target)
+    """Scrapes of the shops' crawl, which reads what the target needs."""
+    return lambda spark, sf_dir: scrape(shop_crawl(spark, sf_dir, fields=TARGET_FACTS[target]), target)
 
 
 def _written(frame: DataFrame, label: str) -> str:
@@ -224,9 +234,7 @@ def summary_crawl(spark, sf_dir):
 
 
 def summary_scrape(spark, sf_dir):
-    visits = staged(page_visits(spark, sf_dir), "visits")
-    paths = [_written(scrape(visits, t).drop("seed"), t) for t in ("offsite", "emails", "images")]
-    return summarize(read_ndjson(spark, paths))
+    return summarize(read_ndjson(spark, _written(scrape_all(page_visits(spark, sf_dir)).drop("seed"), "scrapes")))
 
 
 def summary_by_file(spark, sf_dir):
@@ -240,10 +248,9 @@ def summary_by_file(spark, sf_dir):
 
 def mixed_rows(spark, sf_dir) -> DataFrame:
     """Crawl rows, scrape rows of every target and post rows of derived pages."""
-    visits = staged(shop_crawl(spark, sf_dir, None), "visits")
+    visits = staged(shop_crawl(spark, sf_dir), "visits")
     posts = post_metadata(read_responses(derived.post_pages(spark, sf_dir), final_as_given=True))
-    frames = {"crawl": crawl_rows(visits), "posts": posts}
-    frames |= {target: scrape(visits, target) for target in ("emails", "offsite", "images")}
+    frames = {"crawl": crawl_rows(visits), "posts": posts, "scrapes": scrape_all(visits)}
     return read_ndjson(spark, [_written(frame.drop("seed"), label) for label, frame in frames.items()])
 
 
@@ -281,6 +288,21 @@ def post_rows(spark, sf_dir):
     return posts.withColumn("status", F.col("status").cast("bigint"))
 
 
+def posts_written(spark, sf_dir):
+    """Post rows as the sink has written them."""
+    rows = post_rows(spark, sf_dir)
+    out = staging_path(spark, "posts")
+    write_posts(rows, out)
+    return spark.read.schema(rows.schema).json(out)
+
+
+def rows_written(spark, sf_dir):
+    """The number of crawl rows of the given pages, counted as they are written."""
+    rows = crawl_rows(page_visits(spark, sf_dir)).drop("seed")
+    n = write_ndjson_counted(rows, staging_path(spark, "counted"))
+    return spark.range(1).select(F.lit(n).cast("bigint").alias("n_rows"))
+
+
 def _streamed_responses(spark, sf_dir) -> DataFrame:
     schema = table(spark, sf_dir, "pages").schema
     pages = spark.readStream.schema(schema).parquet(f"{sf_dir}/pages*.parquet")
@@ -311,11 +333,10 @@ def stream_scrape_emails(spark, sf_dir):
     """Each address of the arriving pages with the page that first had it."""
     profiles = streams.stream_profiles(_streamed_responses(spark, sf_dir), "host", ("page_id",))
     out = staging_path(spark, "stream-scrape")
-    values = streams.stream_values(profiles, "emails", "page_id")
-    sink = streams.first_sources_table(values, out, "page_id")
-    writer = values.writeStream.option("checkpointLocation", f"{out}-progress").foreachBatch(sink)
-    writer.trigger(availableNow=True).start().awaitTermination()
-    return streams.first_sources_read(values, out).select("kind", "value", "source_url")
+    first = streams.stream_first_sources(streams.stream_values(profiles, "emails", "page_id"), "page_id")
+    writer = first.writeStream.outputMode("update").option("checkpointLocation", f"{out}-progress")
+    writer.foreachBatch(streams.write_batches(out)).trigger(availableNow=True).start().awaitTermination()
+    return streams.read_batches(spark, out)
 
 
 def _streamed_crawl_rows(spark, sf_dir) -> DataFrame:
@@ -324,9 +345,8 @@ def _streamed_crawl_rows(spark, sf_dir) -> DataFrame:
     return parse_lines(lines).select("v")
 
 
-def stream_summary_counters(spark, sf_dir):
-    counters = streams.stream_counters(_streamed_crawl_rows(spark, sf_dir)).drop("approx_unique_urls")
-    return _run(counters, "stream-counters", "complete")
+def stream_summary_totals(spark, sf_dir):
+    return _run(streams.stream_summary(_streamed_crawl_rows(spark, sf_dir)), "stream-summary", "complete")
 
 
 def stream_unique_urls(spark, sf_dir):
@@ -369,6 +389,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "post_metadata": post_rows,
     "stream_page_links": stream_page_links,
     "stream_scrape_emails": stream_scrape_emails,
-    "stream_summary": stream_summary_counters,
+    "stream_summary": stream_summary_totals,
     "stream_unique_urls": stream_unique_urls,
+    "crawl_clamped": crawl_clamped,
+    "posts_written": posts_written,
+    "rows_written": rows_written,
 }

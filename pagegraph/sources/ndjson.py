@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from pagegraph.functions.text import trim_unicode
+from pagegraph.operators.counts import Counts, how_many, watched
 from pagegraph.session import staged
 
 
@@ -25,17 +26,17 @@ def _or_fail(line: Column, v: Column) -> Column:
 
 
 def read_ndjson(
-    spark: SparkSession, path: str | list[str], on_bad: str = "fail", with_file: bool = False
+    spark: SparkSession, path: str | list[str], on_bad: str = "fail", with_file: bool = False, counts: Counts | None = None
 ) -> DataFrame:
     """Rows of NDJSON files or folders as ``v VARIANT``, with their ``file`` if wanted.
 
     A line that is no JSON object fails the job, or with ``on_bad='quarantine'``
-    is left out; ``rejected_lines`` lists those.
+    is left out; ``rejected_lines`` lists those and ``counts`` gets ``lines_rejected`` in passing.
     """
     if on_bad not in ("fail", "quarantine"):
         raise ValueError("on_bad is 'fail' or 'quarantine'")
     files = [F.col("_metadata.file_path").alias("file")] if with_file else []
-    rows = parse_lines(spark.read.text(path), *files)
+    rows = watched(parse_lines(spark.read.text(path), *files), counts, lines_rejected=how_many(F.col("v").isNull()))
     good = F.col("v").isNotNull() if on_bad == "quarantine" else _or_fail(F.col("line"), F.col("v"))
     return rows.filter(good).drop("line")
 

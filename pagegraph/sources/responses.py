@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pagegraph.functions.urls import netloc, normalize_url
+from pagegraph.operators.keys import one_of_each
 
 
 def _or_default(df: DataFrame, name: str, default: Column) -> Column:
@@ -52,13 +53,14 @@ def read_attempts(log: DataFrame, distinct: bool = False) -> DataFrame:
     """Fetch log, one row per (url, attempt), cast to the attempt schema.
 
     ``distinct`` is for logs delivered more than once: it keeps one row of each
-    (url, attempt) at the price of a shuffle.
+    (url, attempt), the least by a hash of the row. Keys alone are grouped; bodies of
+    attempts that are there once stay where they are.
     """
     missing = set(ATTEMPT_COLUMNS) - set(log.columns)
     if missing:
         raise ValueError(f"attempt log lacks {sorted(missing)}")
     attempts = log.select(*[F.col(name).cast(kind).alias(name) for name, kind in ATTEMPT_COLUMNS.items()])
-    return attempts.dropDuplicates(["url", "attempt"]) if distinct else attempts
+    return one_of_each(attempts, ["url", "attempt"]) if distinct else attempts
 
 
 def read_seeds(df: DataFrame, url_col: str = "url") -> DataFrame:

@@ -6,8 +6,10 @@ from collections import deque
 import pytest
 from pyspark.sql import functions as F
 
-from pagegraph.operators.crawl import corpus_facts, crawl
-from pagegraph.operators.shape import crawl_rows, dedupe_pages, scrape
+from pagegraph.operators.corpus import corpus_facts, corpus_of, write_corpus, write_facts
+from pagegraph.operators.counts import Counts
+from pagegraph.operators.crawl import crawl
+from pagegraph.operators.shape import crawl_rows, dedupe_pages, scrape, scrape_all
 from pagegraph.operators.traverse import bfs, clamp_depth
 from pagegraph.sources.responses import read_responses, read_seeds
 
@@ -213,8 +215,70 @@ def test_repeated_pages_count_once(spark):
         assert crawl(corpus, seeds_of(spark, HOME), depth=2, max_pages=1).count() == 1
 
 
+def test_which_of_repeated_pages(spark):
+    """The least by status, final URL and hash of the row, whatever the order and number of rows."""
+    rows = [(HOME, s, None, f"<title>{t}</title>") for s, t in ((503, "c"), (200, "a"), (200, "b"), (200, "a"))]
+    rows += [(f"{HOME}{i}", 200, None, "x") for i in range(30)]
+    titles = set()
+    for order in (rows, rows[::-1]):
+        pages = read_responses(spark.createDataFrame(order, "url string, status int, final_url string, html string"))
+        corpora = (pages, corpus_facts(corpus_of(pages).pages), write_corpus(pages), write_facts(pages))
+        titles |= {crawl(c, seeds_of(spark, HOME)).first().title for c in corpora}
+    assert len(titles) == 1 and titles <= {"a", "b"}
+
+
+def test_laid_out_corpora_give_the_same(spark):
+    pages = GRAPH | {"z": (200, HOME + "a", links("/c")), "gone": (404, None, None)}
+    responses, seeds = site(spark, pages), seeds_of(spark, HOME, HOME + "b", HOME + "z", HOME + "none")
+    whole = sorted(crawl(responses, seeds, depth=3, max_pages=4).collect())
+    for corpus in (write_corpus(responses), write_facts(responses), write_corpus(responses, buckets=3)):
+        assert sorted(crawl(corpus, seeds, depth=3, max_pages=4).collect()) == whole
+
+
+def test_budget_reads_only_visited_pages(spark):
+    """Three seeds of a hundred pages each read as many pages as their budgets allow, and no others."""
+    pages = {}
+    for s in "abc":
+        pages |= {f"{s}": links(*[f"/{s}{i}" for i in range(100)])} | {f"{s}{i}": links(f"/{s}{i + 1}") for i in range(100)}
+    responses, seeds = site(spark, pages), seeds_of(spark, *[HOME + s for s in "abc"])
+    for corpus in (responses, write_corpus(responses)):
+        counts = Counts()
+        visits = crawl(corpus, seeds, depth=3, max_pages=5, counts=counts).collect()
+        assert len(visits) == 15 and counts.totals()["pages_read"] == 15
+
+
+def test_levels_leave_the_corpus_in_place(spark):
+    """Without broadcasts neither pages nor facts are shuffled or sorted by a level."""
+    responses, seeds = site(spark, GRAPH), seeds_of(spark, HOME)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for corpus, body in ((write_corpus(responses), "html"), (write_facts(responses), "links")):
+            plan = crawl(corpus, seeds, depth=1)._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+            assert "Bucketed: true" in plan and "ShuffledHashJoin" in plan
+            assert "SortAggregate" not in plan
+            scan = max(i for i, line in enumerate(plan.splitlines()) if body in line and "Scan" in line)
+            join = max(i for i, line in enumerate(plan.splitlines()) if "ShuffledHashJoin" in line)
+            between = plan.splitlines()[join + 1 : scan]
+            assert not any("Exchange" in line or "Sort" in line for line in between)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_crawl_reads_wanted_facts_only(spark):
+    pages = {"": "<title>T</title>" + links("/a", "mailto:m@x.org"), "a": "<img src=i.png>" + links("https://o.org")}
+    responses, seeds = site(spark, pages), seeds_of(spark, HOME)
+    for corpus in (responses, write_facts(responses, ("images", "links"))):
+        rows = sorted(crawl(corpus, seeds, depth=2, fields=("images",)).collect(), key=lambda r: r.bfs_key)
+        assert [r.images for r in rows] == [[], [HOME + "i.png"]]
+        assert all(r.title is None and r.emails == [] for r in rows)
+    visits = crawl(responses, seeds, depth=2)
+    rows = {tuple(r) for t in ("emails", "offsite", "images") for r in scrape(visits, t).collect()}
+    assert {tuple(r) for r in scrape_all(visits).collect()} == rows and len(rows) == 3
+
+
 def test_dedupe_moves_only_possible_copies(spark):
-    """Without broadcasts, only pages that hit the bitmap are shuffled, and results stay exact."""
+    """Without broadcasts, only pages that hit the filter are shuffled, and results stay exact."""
     rows = [(i, f"http://h/{i // 2 if i < 40 else i}", "x" * 50) for i in range(400)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")

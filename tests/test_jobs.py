@@ -4,6 +4,7 @@ import json
 
 import pytest
 
+from pagegraph.operators.counts import Counts
 from pagegraph.plans.jobs import attempt_responses, crawl_job, post_job, scrape_job, summary_job
 from pagegraph.session import staging_dir
 from pagegraph.sources.responses import read_responses, read_seeds
@@ -66,6 +67,25 @@ def test_crawl_of_an_attempt_log(spark, tmp_path, seeds):
     assert statuses[2][2] == ("http://h/a", 200)
 
 
+def test_jobs_count_what_they_leave_out(spark, tmp_path, seeds):
+    pages = [
+        ("http://h/", 200, "<a href='/b'><a href='http://[bad'><a href='http://[worse/'><a href='/a'>"),
+        ("http://h/a", 200, "<p>ok</p>"),
+        ("http://h/never", 200, "<a href='http://[bad'>"),
+    ]
+    responses = read_responses(spark.createDataFrame(pages, "url string, status int, html string"))
+    counts = Counts()
+    assert crawl_job(responses, seeds, str(tmp_path / "c"), depth=2, counts=counts) == 3
+    assert counts.totals() == {"pages_read": 2, "pages_refused": 0, "refs_left_out": 2}
+    counts = Counts()
+    assert scrape_job(responses, seeds, "emails", str(tmp_path / "s"), depth=2, counts=counts) == 0
+    assert counts.totals()["pages_read"] == 2
+    (tmp_path / "x.ndjson").write_text('{"url": "u"}\noops\n')
+    counts = Counts()
+    assert summary_job(spark, str(tmp_path / "x.ndjson"), "quarantine", counts).first().value == 1
+    assert counts.totals() == {"lines_rejected": 1}
+
+
 def test_limits_are_checked(tmp_path, responses, seeds):
     with pytest.raises(ValueError, match="depth"):
         crawl_job(responses, seeds, str(tmp_path / "x"), depth=4)
