@@ -55,9 +55,13 @@ def _shingles(words: Column) -> Column:
 
 
 def _lane(parts: Column, salt: int, half: Callable[[Column], Column]) -> Column:
-    """One strong lane of a list of paragraphs: half of a salted hash, summed modulo 2^32."""
+    """One strong lane of a list of paragraphs: half of a salted hash, summed modulo 2^32.
+
+    The salt comes first and seeds the hash of the paragraph, so that two paragraphs which
+    collide under one salt need not under the next: lanes are no functions of one hash.
+    """
     zero = F.lit(0).cast("long")
-    return F.aggregate(parts, zero, lambda total, part: low32(total + half(F.xxhash64(part, F.lit(salt)))))
+    return F.aggregate(parts, zero, lambda total, part: low32(total + half(F.xxhash64(F.lit(salt), part))))
 
 
 def strong_lanes(text: Column) -> Column:

@@ -21,7 +21,7 @@ def chained(parts):
 
 
 def with_number(text, n):
-    return xxhash.xxh64_intdigest(n.to_bytes(4, "little"), xxhash.xxh64_intdigest(text, 42))
+    return xxhash.xxh64_intdigest(text, xxhash.xxh64_intdigest(n.to_bytes(4, "little"), 42))
 
 
 def vector(text):
@@ -97,3 +97,16 @@ def test_ring_over_many_ranges(spark, n):
     got = {r.id: (r.next.id, r.prev.id) for r in fp.neighbours(spread, ["id"]).collect()}
     ids = list(range(0, n * 5, 5))
     assert got == {v: (ids[(k + 1) % n], ids[k - 1]) for k, v in enumerate(ids)}
+
+
+def test_lanes_are_not_functions_of_one_hash(spark):
+    """Every salt hashes the paragraph itself: no lane follows from the plain hash of the paragraph."""
+    texts = [f"paragraph {i}" for i in range(50)]
+    rows = spark.createDataFrame([(t,) for t in texts], "text string").select("text", fp.strong_lanes(F.col("text")).alias("lanes")).collect()
+    for r in rows:
+        plain = xxhash.xxh64_intdigest(r.text, 42)
+        for salt in range(fp.SALTS):
+            number = salt.to_bytes(4, "little")
+            followed = xxhash.xxh64_intdigest(number, plain)
+            assert [r.lanes[2 * salt], r.lanes[2 * salt + 1]] != [followed % M, followed >> 32]
+    assert len({tuple(r.lanes) for r in rows}) == len(rows)
