@@ -10,10 +10,13 @@ priority contains it, or if one of higher priority cuts into it.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
+from typing import NamedTuple
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -130,7 +133,7 @@ SENTENCES = (
     ("unlicense", r"this is free and unencumbered software released into the public domain"),
     ("public-domain", r"(?:dedicated|released|placed|hereby put) (?:in|into|to) the public domain"),
     ("proprietary", r"all rights reserved (?:unauthori[sz]ed|no part)"),
-    ("proprietary", r"(?:confidential and proprietary|proprietary and confidential)"),
+    ("proprietary", r"confidential and proprietary|proprietary and confidential"),
     ("ofl-1.1", r"this font software is licen[sc]ed under the sil open font licen[sc]e"),
     ("cc-by", r"this work is licen[sc]ed under (?:a|the) creative commons attribution"),
 )
@@ -197,8 +200,7 @@ def rules() -> tuple[Rule, ...]:
     return tuple(made)
 
 
-@dataclass(frozen=True)
-class Detection:
+class Detection(NamedTuple):
     """Words ``start`` to ``end`` (behind the last) by one rule."""
 
     start: int
@@ -228,22 +230,37 @@ class Scanner:
         present = {word for _, word in self.automaton.iter(reduced.decode("latin-1"))}
         if not present:
             return
+        blanks = np.flatnonzero(np.frombuffer(reduced, np.uint8) == 0x20)
         for rule, gates, pattern in zip(self.rules, self.gates, self.patterns):
             if any(gate <= present for gate in gates):
-                for match in pattern.finditer(reduced):
-                    start = reduced.count(b" ", 0, match.start())
-                    yield Detection(start, start + match.group().count(b" ") + 1, rule)
+                spans = [match.span() for match in pattern.finditer(reduced)]
+                # A word's number is that of the blanks before it.
+                words = np.searchsorted(blanks, np.array(spans, np.int64).reshape(-1, 2)).tolist()
+                yield from (Detection(start, end + 1, rule) for start, end in words)
 
     @staticmethod
     def resolve(found: list[Detection]) -> list[Detection]:
-        """What stays, in the order of the text: by priority, then length, then place and rule order."""
-        kept: list[Detection] = []
+        """What stays, in the order of the text: by priority, then length, then place and rule order.
+
+        Of what stays none contains another: kept detections in order of their starts are
+        in order of their ends too, so the last one that starts in time tells.
+        """
+        kept, starts = [], []  # all kept so far, by start
+        above, above_starts = [], []  # those of a higher priority than the present one
+        priority = None
         for d in sorted(found, key=lambda d: (-d.rule.priority, d.start - d.end, d.start)):
-            inside = any(k.start <= d.start and d.end <= k.end for k in kept)
-            cut = any(k.start < d.end and d.start < k.end and k.rule.priority > d.rule.priority for k in kept)
-            if not inside and not cut:
-                kept.append(d)
-        return sorted(kept, key=lambda d: (d.start, d.end))
+            if d.rule.priority != priority:
+                above, above_starts = list(kept), list(starts)
+                priority = d.rule.priority
+            at = bisect_right(starts, d.start)
+            if at and kept[at - 1].end >= d.end:
+                continue
+            cut = bisect_left(above_starts, d.end)
+            if cut and above[cut - 1].end > d.start:
+                continue
+            kept.insert(at, d)
+            starts.insert(at, d.start)
+        return kept
 
 
 def scan(rows: DataFrame, text_col: str = "text") -> DataFrame:
@@ -254,7 +271,8 @@ def scan(rows: DataFrame, text_col: str = "text") -> DataFrame:
     (distinct, sorted, joined by comma; empty if none), ``score`` (the largest
     confidence of a detection that stays, else 0), ``spans`` (start, end, label, rule
     of what stays). A null or empty text has no words and no labels. Repeated rows
-    count each, other columns stay but those named like a new one.
+    count each, other columns stay but those named like a new one. An empty table gives
+    an empty one. Of a long text the time grows with its length and its detections.
     """
     spans = T.ArrayType(T.StructType().add("start", "long").add("end", "long").add("label", "string").add("rule", "string"))
     new = T.StructType().add("n_words", "long").add("n_base", "long").add("first_word", "long").add("last_word", "long")

@@ -1,4 +1,6 @@
+import random
 import re
+import time
 
 import pytest
 
@@ -76,3 +78,63 @@ def test_hundreds_of_rules_empty_and_clashing(none, clashing, odd):
     assert len(licenses.rules()) >= 300
     assert licenses.scan(none).count() == 0
     assert values(licenses.scan(clashing), "doc_id", "n_words") == values(licenses.scan(odd), "doc_id", "n_words")
+
+
+def by_definition(found):
+    """Each detection against all kept ones."""
+    kept = []
+    for d in sorted(found, key=lambda d: (-d.rule.priority, d.start - d.end, d.start)):
+        inside = any(k.start <= d.start and d.end <= k.end for k in kept)
+        cut = any(k.start < d.end and d.start < k.end and k.rule.priority > d.rule.priority for k in kept)
+        if not inside and not cut:
+            kept.append(d)
+    return sorted(kept, key=lambda d: (d.start, d.end))
+
+
+def test_resolution_against_brute_force():
+    draw = random.Random(1)
+    rules = [licenses.Rule(f"r{i}", f"r{i}", "x", (), i % 4, 0.5) for i in range(8)]
+    for _ in range(500):
+        found = []
+        for _ in range(draw.randrange(25)):
+            start = draw.randrange(30)
+            found.append(licenses.Detection(start, start + draw.randrange(1, 9), draw.choice(rules)))
+        assert licenses.Scanner.resolve(found) == by_definition(found)
+
+
+def test_labels_against_brute_force(spark):
+    """Labels, score and spans of texts mixed from pieces of rules: every rule run without its gate, each pair compared."""
+    draw = random.Random(2)
+    scanner = licenses.Scanner()
+    pieces = [c for c in CASES] + [re.sub(r"\(\?[:=]|\)\??|[\[\]?\\]|\.\{.*?\}", " ", r.pattern).replace("|", " ") for r in scanner.rules]
+    texts = [" ".join(draw.choice(pieces) if draw.random() < 0.7 else "plain words here" for _ in range(draw.randrange(12))) for _ in range(60)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in licenses.scan(rows).collect():
+        reduced, _ = scanner.reduce(texts[r.doc_id].encode())
+        found = []
+        for rule, pattern in zip(scanner.rules, scanner.patterns):
+            for m in pattern.finditer(reduced):
+                start = reduced.count(b" ", 0, m.start())
+                found.append(licenses.Detection(start, start + m.group().count(b" ") + 1, rule))
+        stays = by_definition(found)
+        base = [d for d in found if d.rule.base]
+        assert r.labels == ",".join(sorted({d.rule.label for d in (*base, *stays)}))
+        assert r.score == max((d.rule.confidence for d in (*base, *stays)), default=0.0)
+        assert [(s.start, s.end, s.rule) for s in r.spans] == [(d.start, d.end, d.rule.name) for d in stays]
+
+
+def test_long_text_of_license_lines():
+    """Two megabytes of detections take seconds; four times the text no more than some four times the time."""
+    scanner = licenses.Scanner()
+    took = {}
+    for times in (25_000, 100_000):
+        reduced, _ = scanner.reduce(b"the mit license text\n" * times)
+        start = time.perf_counter()
+        stays = scanner.resolve(list(scanner.found(reduced)))
+        took[times] = time.perf_counter() - start
+        assert len(stays) == times
+    assert took[100_000] < 10 * took[25_000]
+
+
+def test_every_rule_has_a_gate():
+    assert all(r.keywords and all(r.keywords) for r in licenses.rules())
