@@ -9,12 +9,12 @@ executors; the model's size is bounded by that sample and it is sent to the task
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,7 +33,8 @@ NGRAM = 5
 ENOUGH = 20
 UNDETERMINED = "und"
 
-LETTERS = re.compile(r"[^\W\d_]+")
+#: Words are runs of letters; signs of numbers such as ² or Ⅷ are none.
+LETTERS = regex.compile(r"\p{L}+")
 
 
 def bounded_sample(rows: DataFrame, group: Column, id_col: str, text_col: str, most: int) -> DataFrame:
@@ -149,7 +150,8 @@ def identify(rows: DataFrame, model: Model, text_col: str = "text") -> DataFrame
 
     ``und`` and 0 for a null text, one without letters, or a model that has learned
     nothing. Equal logs go to the first language by name. Other columns stay but those
-    named like a new one.
+    named like a new one. Repeated rows count each, an empty table gives an empty one,
+    and of a long text all words count.
     """
     shared = rows.sparkSession.sparkContext.broadcast(model)
 

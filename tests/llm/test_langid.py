@@ -1,3 +1,7 @@
+import math
+import random
+from collections import Counter
+
 from pyspark.sql import functions as F
 
 from pagegraph.llm import langid
@@ -44,6 +48,66 @@ def test_odd_texts_empty_and_clashing(spark, odd, none, clashing):
     assert len(values(kept, "doc_id")) <= len(known)
 
 
+def test_numbers_are_no_letters(spark):
+    model = langid.train(lessons(spark))
+    rows = spark.createDataFrame([(1, "²³ ½ Ⅷ ① ٣ 42 _"), (2, "Ⅷ haus"), (3, "ª")], "doc_id long, text string")
+    got = {r.doc_id: r for r in langid.identify(rows, model).collect()}
+    assert got[1].lang_pred == "und" and got[1].score == 0.0
+    assert got[2].lang_pred == "de" and got[3].lang_pred != "und"
+    kept = langid.keep_known(rows.select("doc_id", "text"), model, 0.0)
+    assert sorted(r.doc_id for r in kept.collect()) == [2, 3]
+
+
+def by_hand(lessons, text):
+    """Word-first backoff with plain dictionaries: learn from (text, language) pairs and predict one text."""
+    counts = {}
+    for lesson, lang in lessons:
+        for word in "".join(c if c.isalpha() else " " for c in lesson.lower()).split():
+            keys = [("w", word)]
+            for n in range(1, 6):
+                marked = word if n == 1 else f"<{word}>"
+                keys += [(n, marked[i : i + n]) for i in range(len(marked) - n + 1)]
+            for key in keys:
+                counts.setdefault(key, Counter())[lang] += 1
+    counts = {key: own for key, own in counts.items() if own.total() >= 2}
+    langs = sorted({lang for own in counts.values() for lang in own})
+    kinds = {kind: [own for (k, _), own in counts.items() if k == kind] for kind in ("w", 1, 2, 3, 4, 5)}
+    total = {(kind, lang): sum(own[lang] for own in owns) for kind, owns in kinds.items() for lang in langs}
+
+    def log(key, lang):
+        return math.log((counts[key][lang] + 0.5) / (total[key[0], lang] + 0.5 * (len(kinds[key[0]]) + 1)))
+
+    words = "".join(c if c.isalpha() else " " for c in text.lower()).split()
+    if not words:
+        return "und", 0.0
+    sums = dict.fromkeys(langs, 0.0)
+    for word in words:
+        keys = [("w", word)] if ("w", word) in counts else []
+        for n in range(5, 0, -1):
+            if not keys:
+                marked = word if n == 1 else f"<{word}>"
+                grams = [(n, marked[i : i + n]) for i in range(len(marked) - n + 1)]
+                keys = [g for g in grams if g in counts]
+        for lang in langs:
+            sums[lang] += sum(log(k, lang) for k in keys) / len(keys) if keys else 0.0
+    scale = min(len(words), 20) / len(words)
+    best = max(langs, key=lambda lang: (sums[lang], [-ord(c) for c in lang]))
+    return best, 1 / sum(math.exp((sums[lang] - sums[best]) * scale) for lang in langs)
+
+
+def test_backoff_against_brute_force(spark):
+    draw = random.Random(3)
+    words = {lang: t.split() for lang, t in TEACH.items()}
+    rows = [(i, " ".join(draw.choice(words[lang]) for _ in range(12)), lang) for i, lang in enumerate([*TEACH] * 6)]
+    model = langid.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    every = [w for own in words.values() for w in own] + ["strassenhaus", "rivages", "towns", "qqq", "x2y", "ÉTÉ"]
+    texts = [" ".join(draw.choice(every) for _ in range(draw.randrange(1, 40))) for _ in range(80)]
+    asked = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in langid.identify(asked, model).collect():
+        lang, score = by_hand([(t, lang) for _, t, lang in rows], texts[r.doc_id])
+        assert r.lang_pred == lang and abs(r.score - score) < 1e-4
+
+
 def test_held_out_accuracy(spark):
     sf = "/root/testdata/sf0.01"
     told = langid.op6_language_id(spark, sf).filter("held_out").join(spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang"), "doc_id")
