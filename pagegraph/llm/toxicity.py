@@ -2,9 +2,9 @@
 
 A text's features are the n-grams of its distinct words (2 to 5 characters, the ends
 of a word marked), hashed into BUCKETS. Their log-count ratios between the labels come
-from RATIO_ROWS labelled rows a label, summed on the executors; the logistic weights
-on the scaled features are fitted on the first FIT_ROWS of those. What the tasks get
-is one number a bucket.
+from all labelled rows, summed on the executors; the logistic weights on the scaled
+features are fitted on a bounded sample of them, FIT_ROWS a label. What the driver and
+the tasks get is a few numbers a bucket, and the features of that sample.
 """
 
 from __future__ import annotations
@@ -26,12 +26,12 @@ BUCKET_BITS = 18
 BUCKETS = 1 << BUCKET_BITS
 SIZES = (2, 3, 4, 5)
 
-#: Rows of each label that ratios are counted on, and weights fitted on, at most: the
-#: least by a hash of the id. The ids are broadcast, so no text moves but the sample's.
-RATIO_ROWS = 5000
-FIT_ROWS = 600
+#: Rows of each label that weights are fitted on, at most: the least by a hash of the id.
+FIT_ROWS = 1500
+#: Buckets whose counts travel as one row.
+PART = 4096
 #: Steps of the fit, their length, and the pull of the weights to zero.
-ROUNDS = 60
+ROUNDS = 100
 RATE = 2.0
 RIDGE = 1e-7
 
@@ -73,21 +73,49 @@ class Model:
 
 
 def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of a task's documents, by label: how much of each bucket, and how many."""
-    sums, rows = np.zeros((2, BUCKETS)), np.zeros(2, np.int64)
+    """Of a task's rows, by label: how many have each bucket, PART buckets to a row of
+    4-byte numbers, and how many rows there are (part -1)."""
+    sums, rows = np.zeros((2, BUCKETS), np.int32), np.zeros((2, 1), np.int32)
     for batch in batches:
         for part in sliced(batch, 1):
             for label, text in zip(part.column(0).to_pylist(), texts(part.column(1))):
-                buckets, _ = word_features(distinct_words(text))
+                sums[label, np.unique(word_features(distinct_words(text))[0])] += 1
                 rows[label] += 1
-                if len(buckets):
-                    own, n = np.unique(buckets, return_counts=True)
-                    sums[label, own] += np.minimum(n, 1)
     for label in (0, 1):
-        at = np.flatnonzero(sums[label])
-        label_column = pa.array(np.full(len(at) + 1, label), pa.int32())
-        bucket = pa.array(np.append(at, -1), pa.int64())
-        yield pa.RecordBatch.from_arrays([label_column, bucket, pa.array(np.append(sums[label, at].astype(np.int64), rows[label]))], names=["label", "bucket", "n"])
+        if rows[label]:
+            parts = [rows[label], *sums[label].reshape(-1, PART)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([label] * len(parts), pa.int32()), pa.array(range(-1, len(parts) - 1), pa.int32()), pa.array([p.tobytes() for p in parts], pa.binary())],
+                names=["label", "part", "counts"],
+            )
+
+
+def _added(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts of one part of the buckets, added up: 8-byte numbers."""
+    total = 0
+    for batch in batches:
+        for counts in batch.column(2).to_pylist():
+            total = total + np.frombuffer(counts, np.int32).astype(np.int64)
+    yield pa.RecordBatch.from_pydict({"label": [key[0]], "part": [key[1]], "counts": [total.tobytes()]})
+
+
+def bucket_counts(labelled: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Of rows ``label, text``: how many of each label have each bucket, and how many there are."""
+    shape = "label int, part int, counts binary"
+    told = labelled.select("label", "text").mapInArrow(_sums, shape).groupBy("label", "part").applyInArrow(_added, shape).collect()
+    sums, rows = np.zeros((2, BUCKETS), np.int64), np.zeros(2, np.int64)
+    for label, part, counts in told:
+        numbers = np.frombuffer(counts, np.int64)
+        if part < 0:
+            rows[label] = numbers[0]
+        else:
+            sums[label, part * PART : (part + 1) * PART] = numbers
+    return sums, rows
+
+
+def log_ratios(sums: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """How much likelier, as a logarithm, a row of label 1 has each bucket than one of label 0; one more row of each assumed."""
+    return np.log((sums[1] + 1.0) / (rows[1] + 2)) - np.log((sums[0] + 1.0) / (rows[0] + 2))
 
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -100,26 +128,39 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
+#: Features worked on at a time.
+CHUNK = 1 << 20
+
+
 def fit(features: list[tuple[int, np.ndarray, np.ndarray]], ratios: np.ndarray) -> tuple[np.ndarray, float]:
     """Logistic weights on the scaled features of some rows, and the intercept; both labels weigh alike."""
     labels = np.array([label for label, _, _ in features], np.float64)
-    row = np.repeat(np.arange(len(features), dtype=np.int32), [len(b) for _, b, _ in features])
-    at = np.concatenate([b for _, b, _ in features])
-    values = np.concatenate([(n / np.sqrt(n.sum())).astype(np.float32) for _, _, n in features])
-    values *= ratios[at].astype(np.float32)
-    own, column = np.unique(at, return_inverse=True)
-    column = column.astype(np.int32)
+    lengths = np.array([len(b) for _, b, _ in features])
+    column = np.concatenate([b for _, b, _ in features])
+    values = np.concatenate([(n / np.sqrt(n.sum())).astype(np.float32) * ratios[b].astype(np.float32) for _, b, n in features])
+    used = np.zeros(BUCKETS, bool)
+    used[column] = True
+    own = np.flatnonzero(used)
+    place = np.zeros(BUCKETS, np.int32)
+    place[own] = np.arange(len(own))
+    column = place[column]
+    # Whole rows to a chunk, so that no step holds more than a chunk's features in doubles.
+    ends = np.cumsum(lengths)
+    cuts = np.unique(np.concatenate([[0], np.searchsorted(ends, np.arange(CHUNK, ends[-1] + CHUNK, CHUNK), side="right"), [len(lengths)]]))
+    chunks = [(a, b, slice(ends[a] - lengths[a], ends[b - 1]), np.repeat(np.arange(b - a, dtype=np.int32), lengths[a:b])) for a, b in zip(cuts[:-1], cuts[1:])]
     weights, intercept = np.ones(len(own)) * 0.1, 0.0
     # Steps are scaled by each feature's own gradients.
     balance = np.where(labels == 1, 0.5 / max(labels.sum(), 1), 0.5 / max((1 - labels).sum(), 1))
     seen, seen_i = np.full(len(own), 1e-12), 1e-12
     for _ in range(ROUNDS):
-        margin = np.bincount(row, values * weights.astype(np.float32)[column], len(features)) + intercept
-        error = (1 / (1 + np.exp(-np.clip(margin, -30, 30))) - labels) * balance
-        step = np.bincount(column, values * error.astype(np.float32)[row], len(own)) + RIDGE * weights
+        step, step_i = RIDGE * weights, 0.0
+        for a, b, at, row in chunks:
+            margin = np.bincount(row, values[at] * weights[column[at]], b - a) + intercept
+            error = (1 / (1 + np.exp(-np.clip(margin, -30, 30))) - labels[a:b]) * balance[a:b]
+            step += np.bincount(column[at], values[at] * error[row], len(own))
+            step_i += error.sum()
         seen += step**2
         weights -= RATE * step / np.sqrt(seen)
-        step_i = error.sum()
         seen_i += step_i**2
         intercept -= RATE * step_i / np.sqrt(seen_i)
     whole = np.zeros(BUCKETS)
@@ -127,40 +168,41 @@ def fit(features: list[tuple[int, np.ndarray, np.ndarray]], ratios: np.ndarray)
     return whole, intercept
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, id_col: str, text_col: str, most: int) -> DataFrame:
-    """Columns ``label``, ``place`` (by hash of the id, from 1 in each label) and ``text``: at most ``most`` rows a label.
-
-    An id labelled both ways counts as 1; of several texts of one id the least is taken.
-    """
+def marks(labels: DataFrame, label_col: str, id_col: str) -> DataFrame:
+    """``id`` and ``label`` of every id marked 0 or 1; marked both ways it counts as 1."""
     known = labels.filter(named(label_col).isin(0, 1) & named(id_col).isNotNull())
-    marks = known.groupBy(named(id_col).alias("id")).agg(F.max(named(label_col)).cast("int").alias("label"))
-    chosen = least_rows(marks.withColumn("h", F.xxhash64("id")), "label", ["h", "id"], most).drop("h")
-    texts_of = docs.filter(named(text_col).isNotNull()).select(named(id_col).alias("id"), named(text_col).alias("text"))
-    # At most 2 * most ids, whatever the tables' size.
-    met = texts_of.join(F.broadcast(staged(chosen, "labelled-ids")), "id")
-    return staged(met.groupBy("id", "label", "place").agg(F.min("text").alias("text")).drop("id"), "labelled-sample")
+    return known.groupBy(named(id_col).alias("id")).agg(F.max(named(label_col)).cast("int").alias("label"))
 
 
-def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: str = "doc_id", text_col: str = "text", most: int = RATIO_ROWS, fit_rows: int = FIT_ROWS) -> Model:
+def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: str = "doc_id", text_col: str = "text", fit_rows: int = FIT_ROWS) -> Model:
     """Learn from documents with a text that ``labels`` marks 0 or 1; others teach nothing.
 
-    With rows of one label only, the score is that label's smoothed share; with none
-    it is 0.
+    Each such row counts for the ratios, repeated ids and texts included. The weights are
+    fitted on at most ``fit_rows`` rows a label, the least by a hash of id and text. With rows of
+    one label only, the score is that label's smoothed share; with none it is 0.
     """
-    sample = labelled_sample(docs, labels, label_col, id_col, text_col, most)
-    counted = sample.select("label", "text").mapInArrow(_sums, "label int, bucket long, n long").groupBy("label", "bucket").agg(F.sum("n").alias("n")).toArrow()
-    sums = np.zeros((2, BUCKETS + 1))
-    sums[counted["label"].to_numpy(), counted["bucket"].to_numpy()] = counted["n"].to_numpy()
-    n_rows = sums[:, -1].copy()
-    if not n_rows.all():
-        total = n_rows.sum()
-        return Model(np.zeros(1), 0.0, float((n_rows[1] + 0.5) / (total + 1)) if total else 0.0)
-    smoothed = sums[:, :BUCKETS] + 1.0
-    ratios = np.log(smoothed[1] / (n_rows[1] + 2)) - np.log(smoothed[0] / (n_rows[0] + 2))
-    fitted = sample.filter(F.col("place") <= fit_rows).select("label", "text")
-    told = fitted.mapInArrow(_features, "label int, buckets array<int>, counts array<int>").toArrow()
+    texts_of = docs.filter(named(text_col).isNotNull()).select(
+        named(id_col).alias("id"), named(text_col).alias("text"), F.xxhash64(named(id_col), named(text_col)).alias("h")
+    )
+    # The marks' size decides: few are broadcast, else ids and texts meet by a shuffle.
+    known = staged(marks(labels, label_col, id_col), "toxic-marks")
+    labelled = texts_of.join(known, "id")
+    sums, rows = bucket_counts(labelled)
+    if not rows.all():
+        total = rows.sum()
+        return Model(np.zeros(1), 0.0, float((rows[1] + 0.5) / (total + 1)) if total else 0.0)
+    ratios = log_ratios(sums, rows)
+    least = least_rows(labelled.select("label", "h"), "label", ["h"], fit_rows).groupBy("label").agg(F.max("h").alias("upto"))
+    upto = dict(least.collect())
+    # Texts beyond the greatest limit go before they are joined.
+    few = texts_of.filter(F.col("h") <= max(upto.values())).join(known, "id")
+    chosen = few.filter(F.col("h") <= F.when(F.col("label") == 1, upto[1]).otherwise(upto[0]))
+    sample = staged(chosen.dropDuplicates(["label", "h"]).select("label", "text"), "fit-sample")
+    told = sample.mapInArrow(_features, "label int, buckets array<int>, counts array<int>").toArrow()
     features = [(label, np.asarray(b.values), np.asarray(n.values)) for label, b, n in zip(told["label"].to_pylist(), told["buckets"], told["counts"])]
     features = sorted((f for f in features if len(f[1])), key=lambda f: (f[0], f[1].tobytes(), f[2].tobytes()))
+    if not features:
+        return Model(np.zeros(1), 0.0, float((rows[1] + 0.5) / (rows.sum() + 1)))
     weights, intercept = fit(features, ratios)
     return Model(weights.astype(np.float32), float(intercept))
 
@@ -196,7 +238,8 @@ def classify(rows: DataFrame, model: Model, text_col: str = "text") -> DataFrame
     """``rows`` without the text, with ``score`` (0 to 1) and ``predicted`` (1 from 0.5 on).
 
     A null text counts as empty and gets the score that stands without any feature.
-    Other columns stay but those named like a new one; repeated rows count each.
+    Other columns stay but those named like a new one; repeated rows count each, an empty
+    table gives an empty one, and of a long text all distinct words count.
     """
     shared = rows.sparkSession.sparkContext.broadcast(model)
 

@@ -28,6 +28,75 @@ def test_learns_spelling_variants(spark):
     assert bad > 0.5 > good and variant > good
 
 
+def buckets_by_hand(text):
+    """Buckets of a text, n-gram by n-gram."""
+    found = set()
+    for word in dict.fromkeys(toxicity.WORDS.findall(text.lower())):
+        marked = f"<{word}>"
+        for size in toxicity.SIZES:
+            for i in range(len(marked) - size + 1):
+                h = size
+                for c in marked[i : i + size]:
+                    h = ((h ^ ord(c)) * int(toxicity._MIX)) % (1 << 64)
+                    h ^= h >> 29
+                found.add(h >> (64 - toxicity.BUCKET_BITS))
+    return found
+
+
+def test_ratios_against_brute_force(spark):
+    """Over all labelled rows, repeated ids and texts included, whatever the tasks."""
+    rows = [(i % 70, f"some text {i % 50} about n{i % 9} é\U0001f600", None) for i in range(200)] + [(900, None, None), (None, "no id", None)]
+    labels = [(i, i % 3 % 2, None) for i in range(60)] + [(5, 1, None), (61, 7, None), (62, None, None), (None, 1, None), (900, 1, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, x string").repartition(5)
+    table = spark.createDataFrame(labels, "doc_id long, toxic int, x string")
+    known = toxicity.marks(table, "toxic", "doc_id")
+    met = docs.filter("text IS NOT NULL").join(known.withColumnRenamed("id", "doc_id"), "doc_id")
+    sums, n = toxicity.bucket_counts(met)
+    label_of = {}
+    for i, label, _ in labels:
+        if i is not None and label in (0, 1):
+            label_of[i] = max(label, label_of.get(i, 0))
+    want, rows_of = np.zeros((2, toxicity.BUCKETS), np.int64), [0, 0]
+    for i, text, _ in rows:
+        if i in label_of and text is not None:
+            rows_of[label_of[i]] += 1
+            for b in buckets_by_hand(text):
+                want[label_of[i], b] += 1
+    assert n.tolist() == rows_of and (sums == want).all()
+    ratio = toxicity.log_ratios(sums, n)
+    b = next(iter(buckets_by_hand("some")))
+    assert ratio[b] == np.log((want[1, b] + 1) / (rows_of[1] + 2)) - np.log((want[0, b] + 1) / (rows_of[0] + 2))
+
+
+def test_scores_against_brute_force(spark):
+    """The mean-scaled sum of the weights of a text's n-grams, with repeats among its distinct words."""
+    model = trained(lessons(spark))
+    texts = ["such a stupid fool", "kind kind friend stupid", "x", "", "!!", "Note 12 on w3"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in toxicity.classify(rows, model).collect():
+        words = list(dict.fromkeys(toxicity.WORDS.findall(texts[r.doc_id].lower())))
+        weights = []
+        for word in words:
+            buckets, _ = toxicity.word_features([word])
+            weights += [float(model.weights[b]) for b in buckets]
+        margin = sum(weights) / max(len(weights), 1) ** 0.5 + model.intercept
+        assert abs(r.score - 1 / (1 + np.exp(-margin))) < 1e-6
+
+
+def test_fit_descends_as_plain_gradients_do():
+    """Chunks of rows give the steps of the whole."""
+    rng = np.random.default_rng(5)
+    features = [(int(i % 3 == 0), np.sort(rng.choice(500, 40, replace=False)).astype(np.int32), rng.integers(1, 4, 40).astype(np.int32)) for i in range(90)]
+    ratios = rng.normal(0, 1, toxicity.BUCKETS)
+    whole = toxicity.fit(features, ratios)
+    before, toxicity.CHUNK = toxicity.CHUNK, 100
+    try:
+        parts = toxicity.fit(features, ratios)
+    finally:
+        toxicity.CHUNK = before
+    assert np.allclose(whole[0], parts[0], atol=1e-6) and abs(whole[1] - parts[1]) < 1e-6
+
+
 def test_one_label_or_none(spark, none):
     only = lessons(spark).filter("toxic = 0")
     model = trained(only)
