@@ -6,15 +6,10 @@ one; a shard's fingerprints form a BK-tree (children keyed by Hamming distance t
 parent) which is searched following only edges within the radius.
 
 Trees of a whole corpus can't be broadcast, so a shard's tree stays with the task
-that builds it and the shard's own fingerprints are its queries. Two ways to shards:
-
-  within r bits    64 bits in r + 1 blocks: two fingerprints within r bits agree on a
-                   block. Values of a block that too many fingerprints share are cut
-                   further by r + 1 blocks of their other bits, which is as exact.
-  by similarity    a Jaccard similarity of 0.8 leaves up to 16 bits apart, where no
-                   block need agree. There, shards come from MinHash bands, the tree
-                   gives candidates within a wide radius, and candidates are checked
-                   on their whole sets of shingles.
+that builds it and the shard's own fingerprints are its queries. The 64 bits make r + 1
+blocks: two fingerprints within r bits agree on a block, whose value is their shard.
+Values of a block that too many fingerprints share are cut further by r + 1 blocks of
+their other bits, which is as exact.
 """
 
 from __future__ import annotations
@@ -125,9 +120,6 @@ def merge_labels(labels: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray
         labels = after
 
 
-# --- within a number of bits ------------------------------------------------------------------
-
-
 def block_masks(radius: int, depth: int = 3) -> list[int]:
     """Masks of a tree of blocks: r + 1 of all bits, and below each block r + 1 of the bits not fixed yet.
 
@@ -205,6 +197,13 @@ def fingerprinted(rows: DataFrame, text_col: str, words_each: int) -> DataFrame:
     return append_columns(rows, text_col, T.StructType().add("fp", "long"), scorer)
 
 
+def fingerprint_roots(prints: DataFrame, radius: int) -> DataFrame:
+    """``fp`` and ``root``: every distinct fingerprint with one that stands for its component."""
+    nodes = staged(prints.select("fp").distinct(), "distinct-prints")
+    stars = components(shard_links(nodes, radius))
+    return nodes.join(stars.select(F.col("u").alias("fp"), F.col("v").alias("root")), "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"))
+
+
 def linked(rows: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, words_each: int = 3, radius: int = 2) -> DataFrame:
     """``id_col``, ``fingerprint`` (16 hex digits) and ``component_id`` of every row.
 
@@ -216,8 +215,7 @@ def linked(rows: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, w
     """
     prints = staged(fingerprinted(rows.select(named(id_col).alias("_id"), named(text_col).alias("_text")), "_text", words_each), "fingerprints")
     nodes = staged(prints.groupBy("fp").agg(F.min("_id").alias("least")), "distinct-fingerprints")
-    stars = components(shard_links(nodes.select("fp"), radius))
-    grouped = nodes.join(stars.select(F.col("u").alias("fp"), F.col("v").alias("root")), "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"), "least")
+    grouped = nodes.join(fingerprint_roots(nodes, radius), "fp")
     leasts = grouped.groupBy("root").agg(F.min("least").alias("component_id"))
     by_print = staged(grouped.join(leasts, "root").select("fp", "component_id"), "components")
     met = prints.join(by_print, "fp")
@@ -228,260 +226,29 @@ def op10_simhash_components(spark, sf_dir: str) -> DataFrame:
     return linked(documents(spark, sf_dir))
 
 
-# --- by similarity ----------------------------------------------------------------------------
-
-#: MinHash values of a text; the first BANDS * BAND_ROWS make its bands, REFINE more cut crowded ones.
-HASHES = 64
-BANDS = 10
-BAND_ROWS = 2
-REFINE = 6
-#: Bits that texts of similarity 0.8 may lie apart (expected: 10), and how far the
-#: estimate of their similarity from HASHES values may fall short (five deviations):
-#: either loses less than one pair of just 0.8 in 200,000.
-WIDE = 24
-SHORT = 0.25
-#: Rows of a shard here, and the shingles in their sets.
-SIMILAR_ROWS = 2048
-SIMILAR_ITEMS = 1 << 21
-#: Texts searched at a time, and sets compared with one at a time.
-SIMILAR_QUERIES = 256
-PARTNERS_AT_ONCE = 64
-
-_RANDOM = np.random.default_rng(SEED)
-_FACTORS = _RANDOM.integers(1, 1 << 63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_OFFSETS = _RANDOM.integers(0, 1 << 63, HASHES, dtype=np.uint64)
-
-
-def minhashes(hashes: np.ndarray) -> np.ndarray:
-    """HASHES minima of the shingles, 32 bits each."""
-    least = np.full(HASHES, np.iinfo(np.uint64).max, np.uint64)
-    for start in range(0, len(hashes), CHUNK):
-        part = hashes[start : start + CHUNK]
-        for k in range(HASHES):
-            least[k] = min(least[k], (part * _FACTORS[k] + _OFFSETS[k]).min())
-    return (least >> np.uint64(32)).astype(np.uint32).view(np.int32)
-
-
-def sketches(rows: DataFrame, text_col: str, words_each: int) -> DataFrame:
-    """``rows`` without the text, with ``node`` (128-bit digest of the text), ``fp``, ``mins`` and ``shingles`` (their number), all of the distinct shingles."""
-    new = T.StructType().add("node", "string").add("fp", "long").add("mins", T.ArrayType(T.IntegerType())).add("shingles", "long")
-
-    def scorer() -> Scorer:
-        def score(column: pa.Array) -> list[list]:
-            nodes, fps, mins, numbers = [], [], [], []
-            for raw in raw_texts(column):
-                hashes = np.unique(shingle_hashes(raw, words_each))
-                nodes.append(xxhash.xxh3_128_hexdigest(raw))
-                fps.append(signed(simhash(hashes)))
-                mins.append(minhashes(hashes) if len(hashes) else np.zeros(HASHES, np.int32))
-                numbers.append(len(hashes))
-            return [nodes, fps, mins, numbers]
-
-        return score
-
-    return append_columns(rows, text_col, new, scorer)
-
-
-def candidates(values: np.ndarray, mins: np.ndarray, least: float, labels: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs of places estimated ``least`` alike, of different ``labels``, in parts.
-
-    All of them: from the BK-tree over the fingerprints, none dropped for another. The
-    caller may join labels between parts, which spares the pairs inside a group.
-    """
-    distinct, place = np.unique(values, return_inverse=True)
-    order = np.argsort(place, kind="stable")
-    starts = np.searchsorted(place[order], np.arange(len(distinct) + 1))
-    tree = BKTree(distinct)
-    for start in range(0, len(values), SIMILAR_QUERIES):
-        a, b = [], []
-        for query, node in tree.within(values[start : start + SIMILAR_QUERIES], WIDE):
-            n = starts[node + 1] - starts[node]
-            one = np.repeat(query + start, n)
-            other = order[np.repeat(starts[node], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)]
-            met = (one < other) & (labels[one] != labels[other])
-            one, other = one[met], other[met]
-            for at in range(0, len(one), CHUNK):
-                x, y = one[at : at + CHUNK], other[at : at + CHUNK]
-                good = (mins[x] == mins[y]).mean(axis=1, dtype=np.float32) >= least
-                a.append(x[good].astype(np.int32))
-                b.append(y[good].astype(np.int32))
-        if a:
-            yield np.concatenate(a), np.concatenate(b)
-
-
-def join_estimated(values: np.ndarray, mins: np.ndarray, least: float, labels: np.ndarray) -> None:
-    """Join the labels of all texts estimated ``least`` alike."""
-    for a, b in candidates(values, mins, least, labels):
-        labels[:] = merge_labels(labels, a, b)
-
-
-def join_verified(values: np.ndarray, mins: np.ndarray, least: float, labels: np.ndarray, sets: np.ndarray, sizes: np.ndarray, similarity: float) -> None:
-    """Join the labels of all candidates whose whole sets have the Jaccard similarity.
-
-    ``sets`` are the texts' distinct shingles one after another, ``sizes`` their numbers.
-    A candidate is left unchecked only if a verified group holds both already, or if the
-    sizes alone rule the similarity out.
-    """
-    words, codes = np.unique(sets, return_inverse=True)
-    starts, marked = np.cumsum(sizes) - sizes, np.zeros(len(words), bool)
-    for a, b in candidates(values, mins, least, labels):
-        order = np.argsort(a, kind="stable")
-        a, b = a[order], b[order]
-        edges = np.flatnonzero(np.diff(a, prepend=-1, append=-1))
-        for low, high in zip(edges[:-1], edges[1:]):
-            x = a[low]
-            own = codes[starts[x] : starts[x] + sizes[x]]
-            marked[own] = True
-            for at in range(low, high, PARTNERS_AT_ONCE):
-                y = b[at : min(at + PARTNERS_AT_ONCE, high)]
-                y = y[(labels[y] != labels[x]) & (np.minimum(sizes[y], sizes[x]) >= similarity * np.maximum(sizes[y], sizes[x]))]
-                if not len(y):
-                    continue
-                firsts = np.cumsum(sizes[y]) - sizes[y]
-                items = codes[np.repeat(starts[y] - firsts, sizes[y]) + np.arange(sizes[y].sum())]
-                shared = np.add.reduceat(marked[items], firsts, dtype=np.int64)
-                alike = y[shared / (sizes[x] + sizes[y] - shared) >= similarity]
-                if len(alike):
-                    joined = np.unique(np.append(labels[alike], labels[x]))
-                    labels[np.isin(labels, joined)] = joined[0]
-            marked[own] = False
-
-
-def band_keys(nodes: DataFrame) -> DataFrame:
-    """``key`` and ``node``: each text under its bands, without keys that one text has alone.
-
-    A key that more than SIMILAR_ROWS texts share (say by a common passage) is cut by
-    REFINE further values: a pair of similarity 0.8 shares none of them with a chance of
-    0.2 ** REFINE, one in 15,000, as it misses all bands with one in 27,000.
-    """
-    band = lambda k: F.xxhash64(F.lit(k), *[F.get("mins", F.lit(k * BAND_ROWS + i)) for i in range(BAND_ROWS)])
-    keys = staged(nodes.select("node", F.explode(F.array(*[band(k) for k in range(BANDS)])).alias("key")), "band-keys")
-    counts = staged(keys.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1"), "band-counts")
-    met = keys.join(counts, "key")
-    finer = F.array(*[F.xxhash64("key", F.lit(k), F.get("mins", F.lit(BANDS * BAND_ROWS + k))) for k in range(REFINE)])
-    crowded = met.filter(F.col("n") > SIMILAR_ROWS).join(nodes.select("node", "mins"), "node")
-    cut = crowded.select("node", F.explode(finer).alias("key"))
-    return met.filter(F.col("n") <= SIMILAR_ROWS).select("node", "key").unionAll(cut)
-
-
-def shard_groups(table: pa.Table, similarity: float, verify: bool) -> pa.Table:
-    """Links of one shard: of each ``group`` that another joins, one text to one of the other.
-
-    By the estimate, or, if ``verify``, by the whole sets of shingles (``set``).
-    """
-    first = {name: i for i, name in reversed(list(enumerate(table.column("node").to_pylist())))}
-    names = sorted(first)
-    once = table.take([first[name] for name in names]).combine_chunks()
-    _, least, place = np.unique(once.column("group").to_numpy(zero_copy_only=False).astype(str), return_index=True, return_inverse=True)
-    labels = least[place]
-    fps, mins = once.column("fp").to_numpy().view(np.uint64), np.array(once.column("mins").to_pylist(), np.int32).reshape(-1, HASHES)
-    if verify:
-        sets = once.column("set").combine_chunks()
-        join_verified(fps, mins, similarity - SHORT, labels, sets.flatten().to_numpy(), np.diff(sets.offsets.to_numpy()).astype(np.int64), similarity)
-    else:
-        join_estimated(fps, mins, similarity - SHORT, labels)
-    own = least[labels[least] != least]
-    return pa.table({"u": pa.array([names[i] for i in own], pa.string()), "v": pa.array([names[i] for i in labels[own]], pa.string())})
-
-
-def key_links(rows: DataFrame, carried: DataFrame, similarity: float, verify: bool) -> DataFrame:
-    """``u`` and ``v``: links by which alike texts hang together that share a ``key``.
-
-    ``rows`` have ``key``, ``node`` and ``items`` (what its set counts for a shard's
-    size); ``carried`` has what the tasks compare. Complete: a key of more than a shard is
-    dealt in parts, each of them compared in itself; then its texts outside the group that
-    most of them have come to are dealt again, and every two of those parts, and every one
-    of them with every part of that group, meet in a task. Only pairs inside a group
-    that is joined already are left out.
-    """
-    rows = staged(rows, "keyed-texts")
-    shards = lambda n, items: F.greatest(F.lit(1), F.ceil(n / SIMILAR_ROWS), F.ceil(items / SIMILAR_ITEMS))
-    compare = lambda table: shard_groups(table, similarity, verify)
-
-    def compared(dealt: DataFrame) -> DataFrame:
-        return staged(dealt.join(carried, "node").groupBy("shard").applyInArrow(compare, "u string, v string"), "shard-links")
-
-    counts = rows.groupBy("key").agg(shards(F.count("*"), F.sum("items")).alias("parts"), F.count("*").alias("n")).filter("n > 1")
-    met = rows.join(counts, "key")
-    total = met.agg(shards(F.count("*"), F.coalesce(F.sum("items"), F.lit(0)))).first()[0]
-    part = F.pmod(F.xxhash64("node", "key"), "parts")
-    found = compared(met.select("node", F.col("node").alias("group"), F.pmod(F.xxhash64("key", part), F.lit(total)).alias("shard")))
-    crowded = staged(met.filter("parts > 1").select("key", "node", "items"), "crowded-keys")
-    if crowded.isEmpty():
-        return found
-
-    roots = components(found).select(F.col("u").alias("node"), F.col("v").alias("root"))
-    grouped = staged(crowded.join(roots, "node", "left").select("key", "node", "items", F.coalesce("root", "node").alias("group")), "crowded-groups")
-    sizes = grouped.groupBy("key", "group").agg(F.count("*").alias("n"), F.sum("items").alias("items"))
-    most = F.max_by("group", F.struct("n", "group"))
-    main = staged(sizes.groupBy("key").agg(most.alias("main")), "main-groups")
-    in_main = F.col("group") == F.col("main")
-    number = lambda side: shards(F.coalesce(F.sum(F.when(side, F.col("n"))), F.lit(0)), F.coalesce(F.sum(F.when(side, F.col("items"))), F.lit(0)))
-    parts = sizes.join(main, "key").groupBy("key").agg(number(~in_main).alias("others"), number(in_main).alias("mains"), F.count("*").alias("groups"))
-    open_ = staged(parts.filter("groups > 1").join(main, "key").drop("groups"), "open-keys")
-    if open_.isEmpty():
-        return found
-    # A block is a pair of parts: of others (i <= j), or of others and the main group (j < 0).
-    own = F.pmod(F.xxhash64(F.lit(1), "node", "key"), F.when(in_main, F.col("mains")).otherwise(F.col("others")))
-    upto = lambda n: F.sequence(F.lit(0).cast("long"), n - 1)
-    pair = lambda i, j: F.struct(i.alias("i"), j.alias("j"))
-    of_other = F.concat(F.transform(upto(F.col("others")), lambda k: pair(F.least(k, "own"), F.greatest(k, "own"))), F.transform(upto(F.col("mains")), lambda k: pair(F.col("own"), -1 - k)))
-    of_main = F.transform(upto(F.col("others")), lambda k: pair(k, -1 - F.col("own")))
-    blocks = grouped.join(open_, "key").withColumn("own", own).select("key", "node", "group", F.explode(F.when(in_main, of_main).otherwise(of_other)).alias("block"))
-    return found.unionAll(compared(blocks.select("node", "group", F.xxhash64("key", "block.i", "block.j").alias("shard"))))
-
-
-def shingle_sets(rows: DataFrame, words_each: int) -> DataFrame:
-    """``node`` and ``set``: the distinct shingles of each ``body``, as 32-bit hashes."""
-
-    def scorer() -> Scorer:
-        def one(raw: bytes) -> np.ndarray:
-            return np.unique((shingle_hashes(raw, words_each) >> np.uint64(32)).astype(np.uint32)).view(np.int32)
-
-        return lambda column: [[one(raw) for raw in raw_texts(column)]]
-
-    return append_columns(rows, "body", T.StructType().add("set", T.ArrayType(T.IntegerType())), scorer)
-
-
-def keep_one(rows: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, words_each: int = 5, similarity: float = 0.8) -> DataFrame:
-    """One row, whole, of each group of near copies: of the text with the least id.
+def keep_one(rows: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, words_each: int = 3, radius: int = 2) -> DataFrame:
+    """One row, whole, of each component of ``linked``: the one with the least id.
 
-    Texts are near copies if their sets of ``words_each``-word shingles have a Jaccard
-    similarity of ``similarity`` or more, directly or through others; equal texts are.
-    Candidates are found by bands, BK-trees and an estimate, and all are checked on the
-    whole sets. By the model of independent hashes a pair of just 0.8 is no candidate
-    once in ten thousand times: 0.4 by its bands, 0.6 more where they are crowded, 0.1 by
-    estimate and tree. Texts
-    without words are alike only if equal. Null texts count as equal to empty ones.
-    A null id comes last. Of rows equal in id and text one stays, any of them.
+    A null id comes last. Of rows equal in id the least by a hash of the whole row stays,
+    so every run keeps the same; of rows equal in all columns one. A null text counts as
+    empty, and texts without words form one group with all whose fingerprint is near
+    zero. An empty table gives an empty one; of a long text all words count.
     """
-    body = F.coalesce(named(text_col), F.lit(""))
-    narrow = rows.select(named(id_col).alias("id"), F.xxhash64(body).alias("h"), body.alias("body"))
-    met = staged(sketches(narrow, "body", words_each), "sketches")
+    whole = F.xxhash64(*[named(f.name) for f in rows.schema if not isinstance(f.dataType, T.MapType | T.VariantType)])
+    narrow = rows.select(named(id_col).alias("id"), whole.alias("h"), named(text_col).alias("_text"))
+    prints = staged(fingerprinted(narrow, "_text", words_each), "fingerprints")
+    roots = staged(fingerprint_roots(prints, radius), "fingerprint-roots")
     lead = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "h"))
-    nodes = staged(met.groupBy("node").agg(lead.alias("lead"), F.first("fp").alias("fp"), F.first("mins").alias("mins"), F.first("shingles").alias("shingles")), "nodes")
-    # What one estimate or several hang together is a cluster: pairs of two clusters are no candidates.
-    worded = nodes.filter("shingles > 0")
-    keys = band_keys(worded).distinct().withColumn("items", F.lit(0).cast("long"))
-    stars = components(key_links(keys, worded.select("node", "fp", "mins"), similarity, verify=False))
-    ends = staged(stars.unionAll(stars.select(F.col("v").alias("u"), "v").distinct()).select(F.col("u").alias("node"), F.xxhash64("v").alias("key")), "clusters")
-
-    # Only the texts in a cluster, one copy of each, give their sets.
-    asked = nodes.join(ends, "node").select("node", "key", F.col("lead.id").alias("lead_id"), F.col("lead.h").alias("lead_h"))
-    texts_asked = narrow.join(asked, F.col("id").eqNullSafe(F.col("lead_id")) & (F.col("h") == F.col("lead_h")))
-    sets = staged(shingle_sets(texts_asked.select("node", "key", "body"), words_each).dropDuplicates(["node"]), "shingle-sets")
-    carried = sets.select("node", "set").join(nodes.select("node", "fp", "mins"), "node")
-    links = key_links(sets.select("key", "node", F.size("set").cast("long").alias("items")), carried, similarity, verify=True)
-
-    roots = components(links).select(F.col("u").alias("node"), F.col("v").alias("root"))
-    groups = nodes.select("node", "lead").join(roots, "node", "left").groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("lead").alias("lead"))
-    chosen = groups.select(F.col("lead.id").alias("keep_id"), F.col("lead.h").alias("keep_h"))
-    times = met.groupBy(F.col("id").alias("times_id"), F.col("h").alias("times_h")).agg(F.count("*").alias("times")).filter("times > 1")
+    # Cut down to a row a fingerprint first, so that no group's rows meet in one task.
+    by_print = prints.groupBy("fp").agg(lead.alias("lead"), F.count("*").alias("n"))
+    groups = by_print.join(roots, "fp").groupBy("root").agg(F.min("lead").alias("lead")).select(F.col("lead.id").alias("keep_id"), F.col("lead.h").alias("keep_h"))
+    times = prints.groupBy(F.col("id").alias("times_id"), F.col("h").alias("times_h")).agg(F.count("*").alias("times")).filter("times > 1")
     repeated = F.col("keep_id").eqNullSafe(F.col("times_id")) & (F.col("keep_h") == F.col("times_h"))
-    chosen = staged(chosen.join(times, repeated, "left").select("keep_id", "keep_h", F.col("times").isNotNull().alias("again")), "kept-rows")
+    chosen = staged(groups.join(times, repeated, "left").select("keep_id", "keep_h", F.col("times").isNotNull().alias("again")), "kept-rows")
 
     kept = {c: free_name([*rows.columns, "keep_id", "keep_h", "again"], f"_{i}") for i, c in enumerate(rows.columns)}
-    plain = rows.select(*[named(c).alias(new) for c, new in kept.items()], F.xxhash64(body).alias("_h"))
+    plain = rows.select(*[named(c).alias(new) for c, new in kept.items()], whole.alias("_h"))
     stays = plain.join(chosen, named(kept[id_col]).eqNullSafe(F.col("keep_id")) & (F.col("_h") == F.col("keep_h")))
+    # Only rows equal in every column are there more than once.
     once = stays.filter(~F.col("again")).unionAll(stays.filter("again").dropDuplicates([kept[id_col], "_h"]))
     return once.select(*[named(new).alias(c) for c, new in kept.items()])
