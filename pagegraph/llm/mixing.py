@@ -68,7 +68,8 @@ def mix(rows: DataFrame, size_col: str, id_col: str = "doc_id", source_col: str
     Null sources are a source of their own, null ids hash as empty text, rows
     without words take nothing, repeated rows count each. Reruns agree: equal keys
     order by id, size and ``tie``. An empty table gives an empty one. A column
-    named like a new one is replaced.
+    named like a new one is replaced. Of a long text all words count. An id that many
+    rows share, a null one too, is no task's work alone.
     """
     outputs = ("source_size", "target", "taken")
     kept = [c for c in rows.columns if c.lower() not in outputs]
@@ -102,10 +103,22 @@ def mix(rows: DataFrame, size_col: str, id_col: str = "doc_id", source_col: str
     met = keyed.join(staged(cuts, "mix-cuts"), named(source) == F.col("_cut_source"))
     whole = F.col("_rounds") * named(size)
     apart = met.filter(named(part) != F.col("_cut")).withColumn("taken", F.when(named(part) < F.col("_cut"), whole + named(size)).otherwise(whole))
-    ties = [tie] if tie is not None else []
-    inside = Window.partitionBy(named(source), named(part)).orderBy(named(key), named(id_col), named(size), *ties).rowsBetween(Window.unboundedPreceding, -1)
-    left = F.col("_missing") - F.coalesce(F.sum(named(size)).over(inside), F.lit(0))
-    cut = met.filter(named(part) == F.col("_cut")).withColumn("taken", whole + F.greatest(F.lit(0), F.least(named(size), left)))
+    # The rows of the range at the cut, most often few; where one id has many of them, they
+    # are dealt in runs of their order, of which equal rows may fill several.
+    at_cut = staged(met.filter(named(part) == F.col("_cut")), "mix-cut-rows")
+    run, salt = free_name([*met.columns, *outputs], "_run"), free_name([*met.columns, *outputs], "_salt")
+    order = [named(c) for c in (key, id_col, size)] + ([tie] if tie is not None else [])
+    runs = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    numbered = at_cut.withColumn(salt, F.monotonically_increasing_id())  # of a written table: the same when read again
+    dealt = staged(numbered.repartitionByRange(runs, named(source), *order, named(salt)).withColumn(run, F.spark_partition_id()), "mix-cut-runs")
+    by_run = dealt.groupBy(F.col("_cut_source").alias("run_source"), named(run).alias("run_number")).agg(F.sum(named(size)).alias("run_size"))
+    earlier = Window.partitionBy("run_source").orderBy("run_number").rowsBetween(Window.unboundedPreceding, -1)
+    by_run = by_run.select("run_source", "run_number", F.coalesce(F.sum("run_size").over(earlier), F.lit(0)).alias("run_before"))
+    inside = Window.partitionBy(named(source), named(run)).orderBy(*order, named(salt)).rowsBetween(Window.unboundedPreceding, -1)
+    placed = dealt.withColumn("_inside", F.coalesce(F.sum(named(size)).over(inside), F.lit(0)))
+    placed = placed.join(by_run, (F.col("_cut_source") == F.col("run_source")) & (named(run) == F.col("run_number")))
+    left = F.col("_missing") - F.col("run_before") - F.col("_inside")
+    cut = placed.withColumn("taken", whole + F.greatest(F.lit(0), F.least(named(size), left)))
     columns = [*[named(c) for c in kept], F.col("source_size"), F.col("target"), F.col("taken").cast("long").alias("taken")]
     return apart.select(*columns).unionAll(cut.select(*columns))
 

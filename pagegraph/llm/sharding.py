@@ -21,6 +21,8 @@ MULTIPLIER = np.uint64(2862933555777941757)
 
 #: Key bits that name the range of a shard in which slots are counted: 4,096 ranges.
 RANGE_BITS = 12
+#: Rows of a range that are numbered together, about.
+CROWD = 1 << 16
 KEY_BITS = 60
 
 
@@ -58,7 +60,8 @@ def shard(rows: DataFrame, id_col: str = "doc_id", shards: int = SHARDS, order:
 
     ``slot`` numbers the rows of a shard from 0 without gaps, by key, id and
     ``order``; it is counted in ranges of the key and the ranges are added up, so no
-    shard is one task's work. ``grown_shard`` is the shard with one shard more.
+    shard is one task's work. Nor is an id that many rows share: a range beyond CROWD rows is
+    numbered in pieces. ``grown_shard`` is the shard with one shard more.
     Rows of equal id (nulls too) lie in one shard. An empty table gives an empty
     one. A column named like a new one is replaced.
     """
@@ -68,12 +71,21 @@ def shard(rows: DataFrame, id_col: str = "doc_id", shards: int = SHARDS, order:
     keyed = rows.select(*[named(c) for c in kept], stable_key(id_col).alias(key))
     placed = keyed.select("*", shard_of(named(key), shards).alias("shard"), shard_of(named(key), shards + 1).alias("grown_shard"))
     placed = placed.withColumn(part, F.shiftright(named(key), KEY_BITS - RANGE_BITS))
-    counts = placed.groupBy("shard", named(part).alias("_part")).agg(F.count("*").alias("_rows"))
-    prefix = Window.partitionBy("shard").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select(F.col("shard").alias("_shard"), "_part", F.coalesce(F.sum("_rows").over(prefix), F.lit(0)).alias("_before"))
-    inside = Window.partitionBy("shard", named(part)).orderBy(named(key), named(id_col), *(order or []))
+    # Written, so that counting and numbering see the same rows in the same places.
+    placed = staged(placed, "shard-keys")
+    crowds = placed.groupBy("shard", named(part).alias("_part")).agg(F.count("*").alias("_rows")).filter(F.col("_rows") > CROWD)
+    crowds = staged(crowds.select(F.col("shard").alias("_shard"), "_part", F.ceil(F.col("_rows") / CROWD).alias("_pieces")), "shard-crowds")
+    here = (F.col("shard") == F.col("_shard")) & (named(part) == F.col("_part"))
+    number, place = (free_name([*kept, *outputs], n) for n in ("_piece", "_place"))
+    # A range that one id fills is cut by the rows' places in the written table.
+    placed = placed.withColumn(place, F.monotonically_increasing_id()).join(crowds, here, "left")
+    placed = placed.withColumn(number, F.pmod(F.xxhash64(named(place)), F.coalesce("_pieces", F.lit(1)))).drop("_shard", "_part", "_pieces")
+    counts = placed.groupBy("shard", named(part).alias("_part"), named(number).alias("_number")).agg(F.count("*").alias("_rows"))
+    prefix = Window.partitionBy("shard").orderBy("_part", "_number").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select(F.col("shard").alias("_shard"), "_part", "_number", F.coalesce(F.sum("_rows").over(prefix), F.lit(0)).alias("_before"))
+    inside = Window.partitionBy("shard", named(part), named(number)).orderBy(named(key), named(id_col), *(order or []), named(place))
     numbered = placed.withColumn("slot", F.row_number().over(inside) - 1)
-    met = numbered.join(starts, (F.col("shard") == F.col("_shard")) & (named(part) == F.col("_part")))
+    met = numbered.join(starts, here & (named(number) == F.col("_number")))
     return met.select(*[named(c) for c in kept], "shard", (F.col("slot") + F.col("_before")).alias("slot"), "grown_shard")
 
 
@@ -81,5 +93,5 @@ def op3_shard_jump(spark, sf_dir: str) -> DataFrame:
     """All documents in 24 shards by the law of the key; the text is read once and never shuffled."""
     text = F.coalesce(F.col("text"), F.lit(""))
     narrow = documents(spark, sf_dir).select("doc_id", (F.octet_length(text) + 8).cast("long").alias("size"), F.crc32(text).alias("text_crc32"))
-    placed = shard(staged(narrow, "shard-rows"), order=[F.col("size"), F.col("text_crc32")])
+    placed = shard(narrow, order=[F.col("size"), F.col("text_crc32")])
     return placed.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")

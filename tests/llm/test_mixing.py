@@ -1,4 +1,6 @@
+import hashlib
 import re
+from collections import Counter
 
 import pytest
 from hypothesis import given, settings
@@ -74,3 +76,30 @@ def test_empty_and_clashing(none, clashing, odd):
     plain = mixing.mix(sized(odd), "size", tie=F.xxhash64("text"))
     assert values(mixed, "doc_id", "taken") == values(plain, "doc_id", "taken")
     assert set(clashing.columns) <= set(mixed.columns)
+
+
+def test_a_third_of_all_rows_on_one_id(spark):
+    """Null ids, equal in all columns too, at the cut: taken words follow the order, whatever the runs they are dealt in."""
+    rows = [(i, "a", 3 + i % 4) for i in range(300)] + [(None, "a", 5)] * 150 + [(None, "a", 1 + i % 3) for i in range(60)] + [(7, None, 2)] * 40
+    df = spark.createDataFrame(rows, "doc_id long, source string, size long")
+    targets = by_hand({"a": sum(n for _, s, n in rows if s), None: 80})
+
+    def key(row):
+        return hashlib.md5(f"mix:{'' if row[0] is None else row[0]}".encode()).hexdigest(), row[0] or -1, row[2]
+
+    want = Counter()
+    for source in ("a", None):
+        own = sorted((r for r in rows if r[1] == source), key=key)
+        total, left = sum(r[2] for r in own), round(targets[source])
+        rounds, left = divmod(left, total)
+        for r in own:
+            part = max(0, min(r[2], left))
+            left -= part
+            want[(r[0], r[2], rounds * r[2] + part)] += 1
+    for parts in ("3", "17"):
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+        try:
+            got = Counter((r.doc_id, r["size"], r.taken) for r in mixing.mix(df.repartition(4), "size").collect())
+        finally:
+            spark.conf.unset("spark.sql.shuffle.partitions")
+        assert got == want

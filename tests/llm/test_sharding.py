@@ -46,3 +46,16 @@ def test_slots_shards_and_repeated_rows(odd, odd_rows):
 def test_empty_and_clashing(none, clashing, odd):
     assert sharding.shard(none).count() == 0
     assert values(sharding.shard(clashing), "doc_id", "shard") == values(sharding.shard(odd), "doc_id", "shard")
+
+
+def test_a_third_of_all_rows_on_one_id(spark, monkeypatch):
+    """Null ids, equal in all columns too: slots stay without gaps, and no task numbers more than a piece."""
+    monkeypatch.setattr(sharding, "CROWD", 50)
+    rows = [(i, f"t{i}") for i in range(600)] + [(None, "same")] * 200 + [(None, f"n{i}") for i in range(100)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = sharding.shard(df, shards=4).collect()
+    assert Counter((r.doc_id, r.text) for r in got) == Counter(rows)
+    assert all(r.shard == jump_once(key_of(r.doc_id), 4) for r in got)
+    for s in range(4):
+        slots = sorted(r.slot for r in got if r.shard == s)
+        assert slots == list(range(len(slots)))
