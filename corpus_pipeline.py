@@ -30,7 +30,7 @@ def drop_unknown_language(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: 5-word shingles, similarity 0.8 or more."""
+    """One document of each group that the SimHash operator links: 3-word shingles, 2 bits."""
     return neardup.keep_one(docs)
 
 
