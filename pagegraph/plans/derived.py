@@ -52,7 +52,8 @@ def order_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     shown = lines.select("l_orderkey", F.struct("part", "supp", line.alias("line")).alias("line"))
     # The lines of one order.
     listed = shown.groupBy("l_orderkey").agg(F.array_sort(F.collect_list("line")).alias("lines"))
-    orders = orders.join(listed, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    # Dealt out first: orders may lie in one small file, and pages take long to read.
+    orders = orders.repartition("o_orderkey").join(listed, F.col("o_orderkey") == F.col("l_orderkey"), "left")
     body = F.concat(
         F.format_string(
             '<a href="/">home</a><a href="/list/%d/#here">list</a><a href=\'./%d\'>next<p>clerk%d@shop.example</p>',
