@@ -210,7 +210,7 @@ def linked(rows: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, w
     Texts whose fingerprints differ in at most ``radius`` bits are linked, directly or
     through others; ``component_id`` is the least id of those linked, null only if all
     their ids are. A null text counts as empty; texts without words have fingerprint 0
-    and link like others. Repeated rows and ids keep a row each, other columns are not
+    and link like others. Of a long text all shingles count. Repeated rows and ids keep a row each, other columns are not
     read, an empty table gives an empty one.
     """
     prints = staged(fingerprinted(rows.select(named(id_col).alias("_id"), named(text_col).alias("_text")), "_text", words_each), "fingerprints")
