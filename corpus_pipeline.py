@@ -18,24 +18,45 @@ from pagegraph.session import staged
 LANGUAGE_SCORE = 0.5
 
 
+# In every stage repeated rows count each (of near copies one stays), other columns pass as
+# they are whatever their names, an empty table gives an empty one, and of a long text every word
+# counts. What each does with nulls and empty texts is said below.
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier, learned from the labelled ones of four folds, scores under 0.5."""
+    """Documents that the classifier, learned from the labelled ones of four folds, scores under 0.5.
+
+    A null or empty text has no features and gets the score that stands without any. A null id is
+    never labelled. Without labels of both kinds all documents have one score.
+    """
     return toxicity.keep_clean(docs, toxicity.train_on(docs, sf_dir))
 
 
 def drop_unknown_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language that the model, learned from three folds, can tell."""
+    """Documents in a language that the model, learned from three folds, can tell.
+
+    A text that is null or has no letter goes. Rows without language teach nothing; where none has
+    one, all go.
+    """
     model = langid.train(docs.filter(fold("doc_id", langid.FOLDS) != langid.HELD_OUT))
     return langid.keep_known(docs, model, LANGUAGE_SCORE)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group that the SimHash operator links: 3-word shingles, 2 bits."""
+    """One document of each group that the SimHash operator links: 3-word shingles, 2 bits.
+
+    The one with the least id stays, a null id last, ties by a hash of the row. Texts without
+    words, null ones too, are one group.
+    """
     return neardup.keep_one(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as their source's target takes them; the one at a source's cut up to it."""
+    """Documents as often as their source's target takes them; the one at a source's cut up to it.
+
+    A null source is one of its own. Texts without words are taken by no source. A text that is
+    cut has its ``n_chars`` anew.
+    """
     size = free_name(docs.columns, "size")
     sized = docs.withColumn(size, mixing.word_count(F.col("text")))
     mixed = mixing.mix(sized, size, tie=F.xxhash64("text"))
@@ -43,7 +64,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with the token ids in place of the text."""
+    """Documents with the token ids in place of the text; of a null or empty text none."""
     return bpe.encode(docs).withColumn("n_tokens", F.size("ids"))
 
 
@@ -55,7 +76,8 @@ STAGES = [
     ("bpe", encode),
 ]
 
-#: Learned models and near duplicates are beyond SQL; the tests hold keep_one against brute force, of run() the number of rows.
+#: Learned models, fingerprints' components and token ids are beyond SQL; tests hold each stage
+#: against a brute-force version of its rows.
 ORACLE_SQL = None
 
 
