@@ -6,6 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from pagegraph.operators.counts import Counts
 from pagegraph.operators.extract import FACTS, page_facts
@@ -37,24 +38,41 @@ def corpus_facts(responses: DataFrame, fields: Sequence[str] = FACTS, counts: Co
     return page_facts(responses, KEPT, fields=fields, counts=counts)
 
 
-def _unique(pages: DataFrame) -> DataFrame:
-    return one_of_each(pages, ["requested_url"], ("status", "final_url"))
+#: Of pages that share a URL the first by these stays, then by a hash of the row.
+ORDER = ("status", "final_url")
 
 
 def corpus_of(pages: DataFrame) -> Corpus:
     """Responses, or facts of them, as they lie."""
-    return Corpus(_unique(pages), "html" not in pages.columns)
+    if "html" not in pages.columns:
+        return Corpus(one_of_each(pages, ["requested_url"], ORDER), True)
+    hashed = one_of_each(_hashed(pages.select(*KEPT, "html")), ["requested_url"], (*ORDER, "page_hash"))
+    return Corpus(hashed.drop("page_hash"), False)
+
+
+def _hashed(pages: DataFrame) -> DataFrame:
+    return pages.withColumn("page_hash", F.xxhash64("html"))
+
+
+def _laid_out(pages: DataFrame, label: str, buckets: int | None) -> DataFrame:
+    """``pages`` (with ``page_hash``) bucketed by URL, one a URL.
+
+    Whether a URL is repeated is asked of the table, bucket by bucket and without a shuffle;
+    only then is it written anew.
+    """
+    table = bucketed(pages, label, ["requested_url"], buckets)
+    unique = one_of_each(table, ["requested_url"], (*ORDER, "page_hash"))
+    return (table if unique is table else bucketed(unique, label, ["requested_url"], buckets)).drop("page_hash")
 
 
 def write_corpus(responses: DataFrame, buckets: int | None = None) -> Corpus:
     """Responses written once as a table bucketed by URL, for crawls that visit a part of them."""
-    pages = _unique(responses.select(*KEPT, "html"))
-    return Corpus(bucketed(pages, "corpus", ["requested_url"], buckets), False, True)
+    return Corpus(_laid_out(_hashed(responses.select(*KEPT, "html")), "corpus", buckets), False, True)
 
 
 def write_facts(
     responses: DataFrame, fields: Sequence[str] = FACTS, buckets: int | None = None, counts: Counts | None = None
 ) -> Corpus:
     """Facts of every response written once, bucketed by URL, for crawls that visit nearly all; no HTML is moved."""
-    facts = corpus_facts(_unique(responses.select(*KEPT, "html")), fields, counts)
-    return Corpus(bucketed(facts, "facts", ["requested_url"], buckets), True, True)
+    facts = page_facts(_hashed(responses.select(*KEPT, "html")), (*KEPT, "page_hash"), fields=fields, counts=counts)
+    return Corpus(_laid_out(facts, "facts", buckets), True, True)

@@ -211,6 +211,10 @@ n_external::BIGINT AS n_external, n_emails::BIGINT AS n_emails, n_images::BIGINT
 _CRAWL_SHOPS = f"WITH {_SHOPS} SELECT {_SHOP_COLUMNS} FROM placed"
 _CRAWL_SHOPS_BUDGET = f"WITH {_SHOPS} SELECT {_SHOP_COLUMNS} FROM placed WHERE place <= 100"
 
+_CRAWL_SHOPS_READ = f"""WITH {_SHOPS}
+SELECT count(*) AS pages_read, 0::BIGINT AS pages_refused, 0::BIGINT AS refs_left_out
+FROM placed WHERE place <= 100 AND status <> 0"""
+
 _CRAWL_SHOP_ROWS = f"""WITH {_SHOPS}
 SELECT seed, level::BIGINT AS level, status::BIGINT AS status, count(*) AS n_pages,
        sum(least(n_internal, 5))::BIGINT AS n_internal_links, sum(n_external)::BIGINT AS n_external_links,
@@ -392,6 +396,7 @@ ORACLES: dict[str, str] = {
     "stream_summary": _SUMMARY_CRAWL,
     "stream_unique_urls": f"SELECT unique_urls FROM ({_SUMMARY_CRAWL})",
     "crawl_clamped": _CRAWL_VISITS,
+    "crawl_shops_read": _CRAWL_SHOPS_READ,
     "posts_written": _POST_METADATA,
     "rows_written": "SELECT count(*) AS n_rows FROM pages",
 }

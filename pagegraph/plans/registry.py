@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pagegraph.functions.text import emails_in, post_username
 from pagegraph.functions.urls import canonicalize_urls, netloc
 from pagegraph.operators.corpus import write_corpus, write_facts
+from pagegraph.operators.counts import Counts
 from pagegraph.operators.crawl import crawl
 from pagegraph.operators.elements import extract_elements
 from pagegraph.operators.extract import (
@@ -156,20 +157,24 @@ def crawl_row_links(spark, sf_dir):
     ).select("seed", "url", "status", "level", "n_internal_links", _long("pos"), "link")
 
 
-def shop_crawl(spark, sf_dir, max_pages: int | None = None, fields: Sequence[str] = FACTS) -> DataFrame:
+def shop_crawl(
+    spark, sf_dir, max_pages: int | None = None, fields: Sequence[str] = FACTS, counts: Counts | None = None
+) -> DataFrame:
     """Crawl of the derived shops, three levels deep.
 
     Without a budget nearly every page is visited: each is read once, and its facts are
     laid out by URL. With one, the pages are, and only those visited are read.
     """
     responses = read_responses(derived.shop_pages(spark, sf_dir))
-    return _crawl_of(responses, spark, sf_dir, max_pages, fields)
+    return _crawl_of(responses, spark, sf_dir, max_pages, fields, counts)
 
 
-def _crawl_of(responses: DataFrame, spark, sf_dir, max_pages: int | None, fields: Sequence[str] = FACTS) -> DataFrame:
+def _crawl_of(
+    responses: DataFrame, spark, sf_dir, max_pages: int | None, fields: Sequence[str] = FACTS, counts: Counts | None = None
+) -> DataFrame:
     seeds = read_seeds(derived.shop_seeds(spark, sf_dir))
-    corpus = write_facts(responses, [*fields, "links"]) if max_pages is None else write_corpus(responses)
-    return crawl(corpus, seeds, depth=3, max_pages=max_pages, fields=fields)
+    corpus = write_facts(responses, [*fields, "links"], counts=counts) if max_pages is None else write_corpus(responses)
+    return crawl(corpus, seeds, depth=3, max_pages=max_pages, fields=fields, counts=counts)
 
 
 def crawl_shop_attempts(spark, sf_dir):
@@ -186,6 +191,13 @@ def crawl_shops_budget(spark, sf_dir):
     return _visit_columns(shop_crawl(spark, sf_dir, 100))
 
 
+def crawl_shops_read(spark, sf_dir):
+    """What the crawl with a budget has read and left out, counted in passing."""
+    counts = Counts()
+    shop_crawl(spark, sf_dir, 100, counts=counts).write.format("noop").mode("overwrite").save()
+    return spark.range(1).select(*[F.lit(n).cast("bigint").alias(name) for name, n in counts.totals().items()])
+
+
 def crawl_shop_rows(spark, sf_dir):
     rows = crawl_rows(shop_crawl(spark, sf_dir))
     return rows.groupBy("seed", "level", "status").agg(
@@ -392,6 +404,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_summary": stream_summary_totals,
     "stream_unique_urls": stream_unique_urls,
     "crawl_clamped": crawl_clamped,
+    "crawl_shops_read": crawl_shops_read,
     "posts_written": posts_written,
     "rows_written": rows_written,
 }

@@ -96,18 +96,21 @@ def _written(df: DataFrame, path: str, partition_by: str | None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def bucketed(df: DataFrame, label: str, by: list[str], buckets: int | None = None, path: str | None = None) -> DataFrame:
+def bucketed(
+    df: DataFrame, label: str, by: list[str], buckets: int | None = None, path: str | None = None, name: str | None = None
+) -> DataFrame:
     """``df`` written once as a table bucketed by some columns, in the shared folder.
 
     Joins and groupings by just these columns leave the table where it is: only the
     other side is shuffled, into as many parts. ``buckets`` is the number of shuffle
     partitions unless given; a table to be joined by others needs about one a core and
-    some 200 MB at most. The catalog's entry ends with the session.
+    some 200 MB at most. Its entry in the session's catalog, ``name``, is an external table:
+    a catalog that outlives the session keeps the entry until it is dropped.
     """
     spark = df.sparkSession
     path = path or staging_path(spark, label)
     count = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    name = f"pagegraph_{uuid.uuid4().hex}"
+    name = name or f"pagegraph_{uuid.uuid4().hex}"
     with _shuffles_removed(spark):
         df.repartition(count, *by).write.bucketBy(count, *by).option("path", path).saveAsTable(name)
     return spark.table(name)
@@ -119,16 +122,20 @@ class Staging:
     def __init__(self, spark: SparkSession):
         self.spark = spark
         self.paths: list[str] = []
+        self.tables: list[str] = []
 
     def bucketed(self, df: DataFrame, label: str, by: list[str], buckets: int | None = None) -> DataFrame:
         self.paths.append(staging_path(self.spark, label))
-        return bucketed(df, label, by, buckets, self.paths[-1])
+        self.tables.append(f"pagegraph_{uuid.uuid4().hex}")
+        return bucketed(df, label, by, buckets, self.paths[-1], self.tables[-1])
 
     def keep(self, df: DataFrame, label: str, partition_by: str | None = None) -> DataFrame:
         self.paths.append(staging_path(self.spark, label))
         return _written(df, self.paths[-1], partition_by)
 
     def drop(self) -> None:
+        for table in self.tables:
+            self.spark.sql(f"DROP TABLE IF EXISTS {table}")
         for path in self.paths:
             drop_path(self.spark, path)
-        self.paths = []
+        self.paths, self.tables = [], []

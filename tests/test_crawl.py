@@ -227,6 +227,13 @@ def test_which_of_repeated_pages(spark):
     assert len(titles) == 1 and titles <= {"a", "b"}
 
 
+def test_repeats_are_sought_without_a_shuffle(spark):
+    """Laid out first, then counted bucket by bucket on the URL alone."""
+    table = write_corpus(site(spark, GRAPH)).pages
+    plan = table.select("requested_url").groupBy("requested_url").count()._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Bucketed: true" in plan and "html" not in plan
+
+
 def test_laid_out_corpora_give_the_same(spark):
     pages = GRAPH | {"z": (200, HOME + "a", links("/c")), "gone": (404, None, None)}
     responses, seeds = site(spark, pages), seeds_of(spark, HOME, HOME + "b", HOME + "z", HOME + "none")
