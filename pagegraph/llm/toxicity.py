@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pagegraph.llm.common import Scorer, append_columns, documents, fold, keep_rows, least_rows, named, sliced, texts
+from pagegraph.operators.keys import MAYBE, maybe_among
 from pagegraph.session import staged
 
 BUCKET_BITS = 18
@@ -144,23 +145,31 @@ def fit(features: list[tuple[int, np.ndarray, np.ndarray]], ratios: np.ndarray)
     place = np.zeros(BUCKETS, np.int32)
     place[own] = np.arange(len(own))
     column = place[column]
-    # Whole rows to a chunk, so that no step holds more than a chunk's features in doubles.
+    # Whole rows to a chunk, so that no step holds more than a chunk's features in doubles. A
+    # chunk is kept by rows and by columns: sums over either are sums of runs.
     ends = np.cumsum(lengths)
     cuts = np.unique(np.concatenate([[0], np.searchsorted(ends, np.arange(CHUNK, ends[-1] + CHUNK, CHUNK), side="right"), [len(lengths)]]))
-    chunks = [(a, b, slice(ends[a] - lengths[a], ends[b - 1]), np.repeat(np.arange(b - a, dtype=np.int32), lengths[a:b])) for a, b in zip(cuts[:-1], cuts[1:])]
+    chunks = []
+    for a, b in zip(cuts[:-1], cuts[1:]):
+        low, high = ends[a] - lengths[a], ends[b - 1]
+        order = np.argsort(column[low:high], kind="stable")
+        row = np.repeat(np.arange(a, b, dtype=np.int32), lengths[a:b])[order]
+        columns, firsts = np.unique(column[low:high][order], return_index=True)
+        chunks.append((slice(a, b), slice(low, high), ends[a:b] - lengths[a:b] - low, values[low:high][order], row, columns, firsts))
     weights, intercept = np.ones(len(own)) * 0.1, 0.0
     # Steps are scaled by each feature's own gradients.
     balance = np.where(labels == 1, 0.5 / max(labels.sum(), 1), 0.5 / max((1 - labels).sum(), 1))
     seen, seen_i = np.full(len(own), 1e-12), 1e-12
+    error = np.zeros(len(labels))
     for _ in range(ROUNDS):
-        step, step_i = RIDGE * weights, 0.0
-        for a, b, at, row in chunks:
-            margin = np.bincount(row, values[at] * weights[column[at]], b - a) + intercept
-            error = (1 / (1 + np.exp(-np.clip(margin, -30, 30))) - labels[a:b]) * balance[a:b]
-            step += np.bincount(column[at], values[at] * error[row], len(own))
-            step_i += error.sum()
+        step = RIDGE * weights
+        for rows, at, starts, by_column, row, columns, firsts in chunks:
+            margin = np.add.reduceat(values[at] * weights[column[at]], starts) + intercept
+            error[rows] = (1 / (1 + np.exp(-np.clip(margin, -30, 30))) - labels[rows]) * balance[rows]
+            step[columns] += np.add.reduceat(by_column * error[row], firsts)
         seen += step**2
         weights -= RATE * step / np.sqrt(seen)
+        step_i = error.sum()
         seen_i += step_i**2
         intercept -= RATE * step_i / np.sqrt(seen_i)
     whole = np.zeros(BUCKETS)
@@ -184,9 +193,14 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col:
     texts_of = docs.filter(named(text_col).isNotNull()).select(
         named(id_col).alias("id"), named(text_col).alias("text"), F.xxhash64(named(id_col), named(text_col)).alias("h")
     )
-    # The marks' size decides: few are broadcast, else ids and texts meet by a shuffle.
     known = staged(marks(labels, label_col, id_col), "toxic-marks")
-    labelled = texts_of.join(known, "id")
+    n = known.count()
+    if not n:
+        return Model(np.zeros(1), 0.0, 0.0)
+    # Texts of other ids stay where they are: a filter over the marked ids holds them back. The
+    # rest meet their labels by a shuffle, at any size.
+    marked = maybe_among(texts_of, known, ["id"], n).filter(F.col(MAYBE)).drop(MAYBE)
+    labelled = marked.join(known.hint("merge"), "id")
     sums, rows = bucket_counts(labelled)
     if not rows.all():
         total = rows.sum()
@@ -195,7 +209,7 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col:
     least = least_rows(labelled.select("label", "h"), "label", ["h"], fit_rows).groupBy("label").agg(F.max("h").alias("upto"))
     upto = dict(least.collect())
     # Texts beyond the greatest limit go before they are joined.
-    few = texts_of.filter(F.col("h") <= max(upto.values())).join(known, "id")
+    few = texts_of.filter(F.col("h") <= max(upto.values())).join(known.hint("merge"), "id")
     chosen = few.filter(F.col("h") <= F.when(F.col("label") == 1, upto[1]).otherwise(upto[0]))
     sample = staged(chosen.dropDuplicates(["label", "h"]).select("label", "text"), "fit-sample")
     told = sample.mapInArrow(_features, "label int, buckets array<int>, counts array<int>").toArrow()
