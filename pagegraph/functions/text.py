@@ -24,9 +24,12 @@ _WHITESPACE = r"[\s\x1c-\x1f]"
 def trim_unicode(text: Column) -> Column:
     """Trim every kind of Unicode white space, not only blanks.
 
-    A run of blanks inside is tried once, at its start, however long it is.
+    A run of blanks inside is tried once, at its start, however long it is. A text with
+    plain characters at both ends, which most have, is not searched at all.
     """
-    return F.regexp_replace(text, rf"(?U)^{_WHITESPACE}+|(?<!{_WHITESPACE}){_WHITESPACE}++\z", "")
+    first, last = F.substring(text, 1, 1), F.substring(text, -1, 1)
+    trimmed = F.regexp_replace(text, rf"(?U)^{_WHITESPACE}+|(?<!{_WHITESPACE}){_WHITESPACE}++\z", "")
+    return F.when(first.between("!", "~") & last.between("!", "~"), text).otherwise(trimmed)
 
 
 def blank_to_null(text: Column) -> Column:

@@ -12,10 +12,14 @@ from pagegraph.session import staged
 
 def parse_lines(lines: DataFrame, *keep: Column) -> DataFrame:
     """Text lines (``value``) as ``line, v`` and what is to be kept besides; blank lines
-    are skipped and ``v`` is NULL where a line is not one JSON object."""
-    kept = lines.select(trim_unicode(F.col("value")).alias("line"), *keep).filter(F.col("line") != "")
+    are skipped and ``v`` is NULL where a line is not one JSON object.
+
+    Each step passes through a generator: no filter on its result is moved below it, so
+    a line is trimmed and parsed once whatever is asked of it.
+    """
+    kept = lines.select(F.explode(F.array(trim_unicode(F.col("value")))).alias("line"), *keep).filter(F.col("line") != "")
     parsed = F.when(F.startswith("line", F.lit("{")), F.try_parse_json("line"))
-    return kept.withColumn("v", parsed)
+    return kept.select("*", F.inline(F.array(F.struct(parsed.alias("v")))))
 
 
 def _or_fail(line: Column, v: Column) -> Column:

@@ -157,3 +157,10 @@ def test_totals_of_each_file(spark, tmp_path):
         (tmp_path / f"{name}.ndjson").write_text("".join(f'{{"url": "u{i}", "status": 200}}\n' for i in range(n)))
     rows = summarize(read_ndjson(spark, str(tmp_path), with_file=True), ["file"]).collect()
     assert {r.file.rpartition("/")[2]: r.total_rows for r in rows} == {"one.ndjson": 2, "two.ndjson": 3}
+
+
+def test_lines_are_parsed_once(spark, tmp_path):
+    (tmp_path / "rows.ndjson").write_text('{"url": "u"}\n')
+    plan = summarize(read_ndjson(spark, str(tmp_path / "rows.ndjson")))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("parseJson") == 1
+    assert plan.count("regexp_replace") == 1

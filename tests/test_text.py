@@ -29,7 +29,7 @@ def test_is_html(spark):
 
 
 def test_trim_knows_unicode_space(spark):
-    values = ["  a b\t\n", "  x　", "\x1cy\x1f", "", "\n"]
+    values = ["  a b\t\n", "  x　", "\x1cy\x1f", "", "\n", "a", " ", "a ", "\x85b", "é ", "!  ~", "\x7f", "x" * 9 + " "]
     assert evaluated(spark, values, text.trim_unicode) == [v.strip() for v in values]
 
 
