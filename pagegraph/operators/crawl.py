@@ -45,10 +45,14 @@ def _visited_facts(corpus: Corpus, frontier: DataFrame, level: int, fields: Sequ
 
 def _visit(corpus: Corpus, frontier: DataFrame, level: int, fields: Sequence[str], counts: Counts | None) -> DataFrame:
     """Visit every queued URL; one without response gives status 0 and no content."""
-    facts = _visited_facts(corpus, frontier, level, fields, counts)
     none = F.array().cast("array<string>")
-    found = frontier.join(facts, F.col("node") == F.col("requested_url"), "left")
-    found = found.withColumns({f: F.lit(None).cast(VISIT_FACTS[f]) for f in FACTS if f not in facts.columns})
+    same_url = F.col("node") == F.col("requested_url")
+    if corpus.read and corpus.laid_out:
+        # One pass: the buckets are streamed past the frontier, neither moved nor sorted.
+        found = corpus.pages.join(frontier.hint("shuffle_hash"), same_url, "right")
+    else:
+        found = frontier.join(_visited_facts(corpus, frontier, level, fields, counts), same_url, "left")
+    found = found.withColumns({f: F.lit(None).cast(VISIT_FACTS[f]) for f in FACTS if f not in found.columns})
     filled = found.withColumns(
         {
             "url": F.coalesce(F.col("final_url"), F.col("node")),

@@ -46,14 +46,21 @@ def rejected_refs(hrefs: str, base_url: str) -> Column:
     return F.expr(f"size(filter({canonical_refs_sql(base_url, followable(hrefs))}, link -> link is null))")
 
 
+def _on_host(link: str, host: str) -> str:
+    """Whether a canonical link is on a host. The path of a web link begins with a slash, so
+    its start tells; of other schemes the host is cut out."""
+    web = " ".join(f"when startswith({link}, '{s}://') then startswith({link}, concat('{s}://', {host}, '/'))" for s in ("http", "https"))
+    return f"case {web} else {canonical_netloc(link)} = {host} end"
+
+
 def links_on(links: str, seed_netloc: str) -> Column:
     """Links to the seed's host; a seed without host has none."""
-    return F.expr(f"filter({links}, link -> {canonical_netloc('link')} = coalesce({seed_netloc}, ''))")
+    return F.expr(f"filter({links}, link -> {_on_host('link', f"coalesce({seed_netloc}, '')")})")
 
 
-def links_off(links: str, seed_netloc: str) -> Column:
-    """Links to other hosts than the seed's."""
-    return F.expr(f"filter({links}, link -> {canonical_netloc('link')} <> coalesce({seed_netloc}, ''))")
+def links_off(links: str, internal: str) -> Column:
+    """Links, each once, that are not among the internal ones: those to other hosts."""
+    return F.array_except(links, internal)
 
 
 def mailto_emails(hrefs: str) -> Column:
@@ -63,16 +70,18 @@ def mailto_emails(hrefs: str) -> Column:
     return F.filter(addresses, lambda address: address != "")
 
 
-def page_emails(hrefs: str, text: str) -> Column:
-    """Distinct addresses of mail links and visible text, sorted."""
-    linked = F.coalesce(mailto_emails(hrefs), F.expr(NO_STRINGS))
-    return F.array_sort(F.array_union(linked, emails_in(F.col(text))))
+def page_emails(hrefs: str, text: str, linked: str | None = None) -> Column:
+    """Distinct addresses of mail links and visible text, sorted. ``linked`` has those of the
+    links where they are known."""
+    known = [F.col(linked)] if linked else []
+    mails = F.coalesce(*known, mailto_emails(hrefs), F.expr(NO_STRINGS))
+    return F.sort_array(F.array_union(mails, emails_in(F.col(text))))
 
 
 def page_images(srcs: str, base_url: str) -> Column:
     """Distinct canonical image URLs, sorted."""
     found = canonical_refs_sql(base_url, f"filter({srcs}, s -> s <> '')")
-    return F.expr(f"coalesce(array_sort(array_distinct(array_compact({found}))), {NO_STRINGS})")
+    return F.expr(f"coalesce(sort_array(array_distinct(array_compact({found}))), {NO_STRINGS})")
 
 
 def page_description(metas: Column, first_p: Column) -> Column:
@@ -101,12 +110,13 @@ def page_facts(
     """``keep`` columns with title, canonical links, emails and images of each page, or
     those named: the facts of a page that do not depend on who visits it.
 
-    Only the elements they need are read. ``counts`` gets ``pages_read``, ``pages_refused`` by
+    Only the elements they need are read, and plain references resolved on the way; the
+    others are left to ``page_links`` and ``page_images``. ``counts`` gets ``pages_read``, ``pages_refused`` by
     the tokenizer and, with links, ``refs_left_out`` for want of a valid host.
     """
     carried = list(dict.fromkeys([*keep, base_url]))
     wanted = list(dict.fromkeys(e for f in fields for e in _ELEMENTS_OF[f]))
-    elements = extract_elements(pages, wanted, carried)
+    elements = extract_elements(pages, wanted, carried, base_url)
     if counts is not None:
         counted = {"pages_read": F.count(F.lit(1)), "pages_refused": how_many(F.col("parse_error").isNotNull())}
         if "links" in fields:
@@ -114,18 +124,17 @@ def page_facts(
         elements = watched(elements, counts, **counted)
     made = {
         "title": lambda: page_title(F.col("title_raw")),
-        "links": lambda: page_links("hrefs", base_url),
-        "emails": lambda: page_emails("hrefs", "at_text"),
-        "images": lambda: page_images("srcs", base_url),
+        "links": lambda: F.coalesce(F.col("plain_links"), page_links("hrefs", base_url)),
+        "emails": lambda: page_emails("hrefs", "at_text", "linked_mails"),
+        "images": lambda: F.coalesce(F.col("plain_images"), page_images("srcs", base_url)),
     }
     return elements.select(*keep, *[made[f]().alias(f) for f in FACTS if f in fields])
 
 
 def with_split_links(facts: DataFrame, seed_netloc: str) -> DataFrame:
     """Replace ``links`` by internal and external links as seen from a seed's host."""
-    return facts.withColumns(
-        {"internal_links": links_on("links", seed_netloc), "external_links": links_off("links", seed_netloc)}
-    ).drop("links")
+    split = facts.withColumn("internal_links", links_on("links", seed_netloc))
+    return split.withColumn("external_links", links_off("links", "internal_links")).drop("links")
 
 
 def profile_pages(responses: DataFrame, seed_netloc: str, keep: Sequence[str] = ()) -> DataFrame:

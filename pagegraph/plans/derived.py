@@ -25,8 +25,15 @@ def key(column: str, block: int) -> Column:
     return F.expr(f"{column} div {block}")
 
 
+def _filled(template: str, *numbers: Column | str) -> Column:
+    """``format_string`` of integers for ``%d`` alone, without its parser; a null is "null" as there."""
+    texts = template.split("%d")
+    shown = [F.coalesce(F.col(n).cast("string") if isinstance(n, str) else n.cast("string"), F.lit("null")) for n in numbers]
+    return F.concat(F.lit(texts[0]), *[part for n, text in zip(shown, texts[1:], strict=True) for part in (n, F.lit(text))])
+
+
 def shop_url(shop: Column) -> Column:
-    return F.format_string("http://h%d.shop.example", shop)
+    return _filled("http://h%d.shop.example", shop)
 
 
 def _page(title: Column, body: Column) -> Column:
@@ -41,33 +48,33 @@ def order_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     links, and the clerk's address. Pending orders answer 404 without body, urgent
     ones redirect."""
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
-    lines = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", F.col("l_partkey").alias("part"), F.col("l_suppkey").alias("supp")
-    ).distinct()
-    line = F.format_string(
-        '<img src="/img/%d.png#x"><a href="http://S%d.supplier.example:80/p/%d/?o=1#top">part'
-        '<a href="MAILTO: sales%d@supplier.example ?subject=x">',
-        "part", "supp", "part", "supp",
-    )
-    shown = lines.select("l_orderkey", F.struct("part", "supp", line.alias("line")).alias("line"))
-    # The lines of one order.
-    listed = shown.groupBy("l_orderkey").agg(F.array_sort(F.collect_list("line")).alias("lines"))
+    line = F.struct(F.col("l_partkey").alias("part"), F.col("l_suppkey").alias("supp"))
+    # The lines of one order, equal ones once.
+    listed = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.sort_array(F.collect_set(line)).alias("lines"))
     # Dealt out first: orders may lie in one small file, and pages take long to read.
     orders = orders.repartition("o_orderkey").join(listed, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    shown = F.transform(
+        "lines",
+        lambda at: _filled(
+            '<img src="/img/%d.png#x"><a href="http://S%d.supplier.example:80/p/%d/?o=1#top">part'
+            '<a href="MAILTO: sales%d@supplier.example ?subject=x">',
+            at["part"], at["supp"], at["part"], at["supp"],
+        ),
+    )
     body = F.concat(
-        F.format_string(
+        _filled(
             '<a href="/">home</a><a href="/list/%d/#here">list</a><a href=\'./%d\'>next<p>clerk%d@shop.example</p>',
             key("o_orderkey", BLOCK), F.col("o_orderkey") + 1, "o_custkey",
         ),
-        F.coalesce(F.array_join(F.col("lines")["line"], ""), F.lit("")),
+        F.coalesce(F.array_join(shown, ""), F.lit("")),
     )
-    url = F.concat(shop_url(key("o_orderkey", SHOP)), F.format_string("/o/%d", "o_orderkey"))
+    url = F.concat(shop_url(key("o_orderkey", SHOP)), _filled("/o/%d", "o_orderkey"))
     pending = F.col("o_orderstatus") == "P"
     return orders.select(
         url.alias("url"),
         F.when(pending, F.lit(404)).otherwise(F.lit(200)).alias("status"),
         F.when(F.col("o_orderpriority") == "1-URGENT", F.concat(url, F.lit("/final"))).alias("final_url"),
-        F.when(~pending, _page(F.format_string("Order %d &amp; parts", "o_orderkey"), body)).alias("html"),
+        F.when(~pending, _page(_filled("Order %d &amp; parts", "o_orderkey"), body)).alias("html"),
     )
 
 
@@ -76,23 +83,23 @@ def list_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     order of the next block."""
     orders = table(spark, sf_dir, "orders").select("o_orderkey").distinct()
     blocks = orders.groupBy(key("o_orderkey", BLOCK).alias("block")).agg(
-        F.array_sort(F.collect_list("o_orderkey")).alias("orders")
+        F.sort_array(F.collect_list("o_orderkey")).alias("orders")
     )
-    links = F.transform("orders", lambda k: F.format_string('<a href="../o/%d">', k))
+    links = F.transform("orders", lambda k: _filled('<a href="../o/%d">', k))
     body = F.concat(
         F.lit('<a href="/">'),
         F.array_join(links, ""),
-        F.format_string(
+        _filled(
             '<a href="/list/%d"><a href="/o/%d"><a href="javascript:void(0)">',
             F.col("block") + 1, (F.col("block") + 1) * BLOCK,
         ),
     )
-    url = F.concat(shop_url(key("block", SHOP // BLOCK)), F.format_string("/list/%d/", "block"))
+    url = F.concat(shop_url(key("block", SHOP // BLOCK)), _filled("/list/%d/", "block"))
     return blocks.select(
         url.alias("url"),
         F.lit(200).alias("status"),
         F.lit(None).cast("string").alias("final_url"),
-        _page(F.format_string("List %d", "block"), body).alias("html"),
+        _page(_filled("List %d", "block"), body).alias("html"),
     )
 
 
@@ -100,15 +107,15 @@ def home_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A page per shop with its lists and one offsite link."""
     blocks = table(spark, sf_dir, "orders").select(key("o_orderkey", BLOCK).alias("block")).distinct()
     shops = blocks.groupBy(key("block", SHOP // BLOCK).alias("shop")).agg(
-        F.array_sort(F.collect_list("block")).alias("blocks")
+        F.sort_array(F.collect_list("block")).alias("blocks")
     )
-    links = F.transform("blocks", lambda b: F.format_string('<a href="list/%d">', b))
+    links = F.transform("blocks", lambda b: _filled('<a href="list/%d">', b))
     body = F.concat(F.lit('<a href="https://About.example">'), F.array_join(links, ""))
     return shops.select(
-        F.format_string("HTTP://H%d.shop.example:80", "shop").alias("url"),
+        _filled("HTTP://H%d.shop.example:80", "shop").alias("url"),
         F.lit(200).alias("status"),
         F.lit(None).cast("string").alias("final_url"),
-        _page(F.format_string("Shop %d", "shop"), body).alias("html"),
+        _page(_filled("Shop %d", "shop"), body).alias("html"),
     )
 
 

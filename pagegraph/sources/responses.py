@@ -65,5 +65,7 @@ def read_attempts(log: DataFrame, distinct: bool = False) -> DataFrame:
 
 def read_seeds(df: DataFrame, url_col: str = "url") -> DataFrame:
     """Distinct canonical seeds and their hosts."""
-    seeds = df.select(normalize_url(url_col).alias("seed")).filter(F.col("seed").isNotNull()).distinct()
+    # Through a generator: the filter is not moved below a ``distinct`` of ``df``, where
+    # the canonical form would be worked out for every row.
+    seeds = df.select(F.explode(F.array(normalize_url(url_col))).alias("seed")).filter(F.col("seed").isNotNull()).distinct()
     return seeds.withColumn("seed_netloc", netloc("seed"))
