@@ -28,5 +28,6 @@ def list_size(row: Column, field: str) -> Column:
 def truthy_json(row: Column, field: str) -> Column:
     """JSON text of a value that is not null, false, zero or empty; else NULL."""
     text = F.to_json(_at(row, field, "variant"))
-    falsy = F.rlike(text, F.lit(r'^(?:null|false|""|\[\]|\{\}|-?0(?:\.0*)?(?:E.*)?)$'))
-    return F.when(~falsy, text)
+    # The whole text or no match at all: a condition on the text would work it out again.
+    whole = r'(?s)^(?!(?:null|false|""|\[\]|\{\}|-?0(?:\.0*)?(?:E.*)?)\z).+'
+    return F.get(F.regexp_extract_all(text, F.lit(whole), F.lit(0)), F.lit(0))

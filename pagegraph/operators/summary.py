@@ -27,10 +27,11 @@ COUNTERS = tuple(name for name in REPORT_LINES if name != "unique_urls")
 
 def row_counts(rows: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
     """What each row adds to every total, and the URL it counts under."""
-    v = F.col("v")
-    kind = text_of(v, "kind")
-    scraped = F.coalesce(kind.isin(*SCRAPE_KINDS), F.lit(False))
-    status = integer_of(v, "status")
+    # A step of its own: several totals ask for them, and a condition would read them again.
+    scraped = F.coalesce(F.col("_kind").isin(*SCRAPE_KINDS), F.lit(False))
+    rows = rows.select(*keys, "v", text_of(F.col("v"), "kind").alias("_kind"))
+    rows = rows.withColumn("_status", F.when(~scraped, integer_of(F.col("v"), "status")))
+    v, kind, status = F.col("v"), F.col("_kind"), F.col("_status")
 
     def has_status(hundreds: int) -> Column:
         return (~scraped & status.between(hundreds * 100, hundreds * 100 + 99)).cast("bigint")

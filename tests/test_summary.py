@@ -6,6 +6,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from pagegraph.functions.variants import truthy_json
 from pagegraph.operators.summary import REPORT_LINES, summarize, summary_report
 from pagegraph.sources.ndjson import (
     read_ndjson,
@@ -164,3 +165,13 @@ def test_lines_are_parsed_once(spark, tmp_path):
     plan = summarize(read_ndjson(spark, str(tmp_path / "rows.ndjson")))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("parseJson") == 1
     assert plan.count("regexp_replace") == 1
+
+
+def test_a_values_text_is_worked_out_once(spark):
+    """A value stands once in its own test: a condition on it would read the row again."""
+    rows = spark.createDataFrame(
+        [('{"a": "x\\ny"}',), ('{"a": ""}',), ('{"a": 0.0}',), ('{"a": "0"}',), ('{"a": [null]}',), ('{"a": {}}',), ("{}",)], "line string"
+    ).select(F.try_parse_json("line").alias("v"))
+    told = rows.select(truthy_json(F.col("v"), "a").alias("a"))
+    assert [r.a for r in told.collect()] == ['"x\\ny"', None, None, '"0"', "[null]", None, None]
+    assert told._jdf.queryExecution().analyzed().toString().lower().count("to_json(") == 1
