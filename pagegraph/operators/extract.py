@@ -46,16 +46,17 @@ def rejected_refs(hrefs: str, base_url: str) -> Column:
     return F.expr(f"size(filter({canonical_refs_sql(base_url, followable(hrefs))}, link -> link is null))")
 
 
-def _on_host(link: str, host: str) -> str:
-    """Whether a canonical link is on a host. The path of a web link begins with a slash, so
-    its start tells; of other schemes the host is cut out."""
-    web = " ".join(f"when startswith({link}, '{s}://') then startswith({link}, concat('{s}://', {host}, '/'))" for s in ("http", "https"))
-    return f"case {web} else {canonical_netloc(link)} = {host} end"
-
-
 def links_on(links: str, seed_netloc: str) -> Column:
-    """Links to the seed's host; a seed without host has none."""
-    return F.expr(f"filter({links}, link -> {_on_host('link', f"coalesce({seed_netloc}, '')")})")
+    """Links to the seed's host; a seed without host has none.
+
+    The path of a canonical web link begins with a slash, so its start tells its host; of
+    other schemes the host is cut out. What a link must start with is worked out once a page.
+    """
+    host = f"coalesce({seed_netloc}, '')"
+    starts = ", ".join(f"'{s}', concat('{s}://', {host}, '/')" for s in ("http", "https"))
+    web = " ".join(f"when startswith(link, '{s}://') then startswith(link, g.{s})" for s in ("http", "https"))
+    on_host = f"case {web} else {canonical_netloc('link')} = g.host end"
+    return F.expr(f"transform(array(named_struct('links', {links}, 'host', {host}, {starts})), g -> filter(g.links, link -> {on_host}))[0]")
 
 
 def links_off(links: str, internal: str) -> Column:

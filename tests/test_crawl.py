@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pagegraph.operators.corpus import corpus_facts, corpus_of, write_corpus, write_facts
 from pagegraph.operators.counts import Counts
 from pagegraph.operators.crawl import crawl
+from pagegraph.operators.extract import with_split_links
 from pagegraph.operators.shape import crawl_rows, dedupe_pages, scrape, scrape_all
 from pagegraph.operators.traverse import bfs, clamp_depth
 from pagegraph.sources.responses import read_responses, read_seeds
@@ -299,3 +300,16 @@ def test_dedupe_moves_only_possible_copies(spark):
         assert "hashpartitioning(page_id" not in passing and "LeftAnti" in plan[plan.index("SortMergeJoin") :]
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_links_are_split_by_scheme_and_host(spark):
+    """The start of a web link tells its host; other schemes are cut."""
+    links = ["http://a.b/x", "https://a.b/", "http://a.bc/", "http://a.b:8/", "ftp://a.b/x", "ftp://c.d/x", "tel:1", "https://c.d/"]
+    df = spark.createDataFrame([(links, "a.b"), (links, None), (None, "a.b")], "links array<string>, host string")
+    got = with_split_links(df, "host").collect()
+    assert got[0].internal_links == ["http://a.b/x", "https://a.b/", "ftp://a.b/x"]
+    assert got[0].external_links == [u for u in links if u not in got[0].internal_links]
+    assert (got[1].internal_links, got[1].external_links) == (["tel:1"], [u for u in links if u != "tel:1"])
+    assert got[2].internal_links is None
+    plan = with_split_links(df, "host")._jdf.queryExecution().optimizedPlan().toString()
+    assert "http, concat(http://, " in plan

@@ -97,3 +97,21 @@ def test_seeds_are_made_canonical_after_they_are_distinct(spark):
     assert sorted(r.seed for r in seeds.collect()) == [f"http://h{i}.ex/" for i in range(3)]
     plan = seeds._jdf.queryExecution().optimizedPlan().toString()
     assert "regexp" not in plan[plan.rindex("Aggregate [shop") :]
+
+
+def test_references_are_read_together_but_apart():
+    """All of a page are matched at once; one that holds a line break, or is odd, fails them all."""
+    assert resolve_plain("http://h.ex/a/b", iter(["httpd/x", "../c/", "HTTPS"])) == ["http://h.ex/a/httpd/x", "http://h.ex/c", "http://h.ex/a/HTTPS"]
+    assert resolve_plain("http://h.ex/", ["/a\n/b", "x y"]) is None
+    assert resolve_plain("http://h.ex/", ["/a\n/b"]) is None
+    assert resolve_plain("http://h.ex/", ["/a", ""]) is None
+    assert resolve_plain("http://h.ex/", ["/a", "\r"]) is None
+
+
+@pytest.mark.parametrize("tag", ["p", "i", "e", "embed", "titles", "tt", "rb", "scripts", "x", "nav", "section"])
+def test_tags_with_the_first_letter_of_an_odd_one(tag):
+    html = f"<{tag}>a@b.cd<{tag} id='x'></{tag}>e</{tag}>"
+    reader = PageReader(FIELDS)
+    # A void's end tag is left to the tokenizer.
+    plain = read_plain(html, reader.want)
+    assert plain is None if tag == "embed" else plain == {field: reader.read_all(html)[field] for field in FIELDS}
