@@ -44,6 +44,8 @@ _IPV6 = (
     r"(?:[0-9a-f]{1,4}(?::[0-9a-f]{1,4})*)?::"
     r"(?:(?:[0-9a-f]{1,4}:)*(?:[0-9a-f]{1,4}|[0-9]{1,3}(?:\.[0-9]{1,3}){3}))?)"
 )
+# A web URL of a bare host and a bare path that is the root or has no slash at its end.
+_CANONICAL = r"^https?://[a-z0-9.-]+/(?:[A-Za-z0-9_.~/-]*[A-Za-z0-9_.~-])?\z"
 _BRACKETED = rf"(?i)^[^\[]*\[(?:v[0-9a-f]+\.[^\]]+|{_IPV6}(?:%[^%\]]+)?)\]"
 
 
@@ -187,7 +189,9 @@ def normalize_url(url: str) -> Column:
     """Canonical form: lower-case scheme and host, no default port, no fragment,
     no path parameters, no trailing slash. NULL when the host is not valid."""
     split = _bound(_cleaned(url), "c", _split("c"))
-    return F.expr(_bound(_bound(split, "s", _canonical_parts("s")), "p", _written("p")))
+    whole = _bound(_bound(split, "s", _canonical_parts("s")), "p", _written("p"))
+    # Nearly every URL of a crawl is canonical as it comes; one match tells.
+    return F.expr(f"if({url} rlike r'{_CANONICAL}', {url}, {whole})")
 
 
 def canonical_netloc(url: str) -> str:

@@ -165,3 +165,20 @@ def test_hidden_delimiters_are_complete():
 def test_null_url(spark, url):
     df = spark.createDataFrame([(url,)], "url string")
     assert df.select(urls.normalize_url("url").alias("u")).first().u is None
+
+
+NEAR_CANONICAL = [
+    "http://h1.ex/", "https://h.ex/o/12", "http://h.ex/a.b/../c", "http://h.ex//a", "http://./-", "http://h.ex/a/", "http://h.ex//", "http://h.ex",
+    "http://H.ex/a", "HTTP://h.ex/a", "http://h.ex:80/a", "http://h.ex/a?b", "http://h.ex/a#b", "http://h.ex/a;p", "http://h.ex/a\n",
+    "http://h.ex/\ta", "http:///a", "http://[x/a", "ftp://h.ex/a/", "http://é.ex/a", "http://h.ex/é/", "http://u@h.ex/a",
+]
+
+
+def test_canonical_urls_pass_as_they_are(spark):
+    """The short way gives what the long one does, which a blank in front forces."""
+    df = spark.createDataFrame([(u, f" {u}") for u in NEAR_CANONICAL], "url string, blank string")
+    got = df.select("url", urls.normalize_url("url").alias("got"), urls.normalize_url("blank").alias("whole"))
+    assert all(row.got == row.whole for row in got.collect())
+    assert df.filter(f"url rlike r'{urls._CANONICAL}'").count() == 5
+    assert df.filter(f"url rlike r'{urls._CANONICAL}'").filter(urls.normalize_url("url") != F.col("url")).count() == 0
+    assert "RLIKE" in got._jdf.queryExecution().optimizedPlan().toString()
