@@ -55,19 +55,22 @@ def _hashed(pages: DataFrame) -> DataFrame:
 
 
 def _laid_out(pages: DataFrame, label: str, buckets: int | None) -> DataFrame:
-    """``pages`` (with ``page_hash``) bucketed by URL, one a URL.
+    """``pages``, with ``html`` or ``page_hash``, bucketed by URL, one a URL.
 
     Whether a URL is repeated is asked of the table, bucket by bucket and without a shuffle;
-    only then is it written anew.
+    only then is it written anew, and only then are pages with their HTML hashed.
     """
     table = bucketed(pages, label, ["requested_url"], buckets)
-    unique = one_of_each(table, ["requested_url"], (*ORDER, "page_hash"))
-    return (table if unique is table else bucketed(unique, label, ["requested_url"], buckets)).drop("page_hash")
+    hashed = table if "page_hash" in table.columns else _hashed(table)
+    unique = one_of_each(hashed, ["requested_url"], (*ORDER, "page_hash"))
+    if unique is not hashed:
+        table = bucketed(unique.drop("page_hash"), label, ["requested_url"], buckets)
+    return table.drop("page_hash")
 
 
 def write_corpus(responses: DataFrame, buckets: int | None = None) -> Corpus:
     """Responses written once as a table bucketed by URL, for crawls that visit a part of them."""
-    return Corpus(_laid_out(_hashed(responses.select(*KEPT, "html")), "corpus", buckets), False, True)
+    return Corpus(_laid_out(responses.select(*KEPT, "html"), "corpus", buckets), False, True)
 
 
 def write_facts(

@@ -49,10 +49,14 @@ def order_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     ones redirect."""
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
     line = F.struct(F.col("l_partkey").alias("part"), F.col("l_suppkey").alias("supp"))
-    # The lines of one order, equal ones once.
-    listed = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.sort_array(F.collect_set(line)).alias("lines"))
-    # Dealt out first: orders may lie in one small file, and pages take long to read.
-    orders = orders.repartition("o_orderkey").join(listed, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    # Dealt out first: orders may lie in one small file, and pages take long to make and read. In
+    # a given number of parts, which are not merged to fewer and leave no core without work.
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # The lines of one order, equal ones once. An order has few, and they lie far apart: a
+    # grouping before the shuffle would sort them all and merge hardly any.
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey").repartition(parts, "l_orderkey")
+    listed = lines.groupBy("l_orderkey").agg(F.sort_array(F.collect_set(line)).alias("lines"))
+    orders = orders.repartition(parts, "o_orderkey").join(listed, F.col("o_orderkey") == F.col("l_orderkey"), "left")
     shown = F.transform(
         "lines",
         lambda at: _filled(

@@ -25,6 +25,7 @@ RECOMMENDED = {
 }
 
 FILE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+OPEN_WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
 
 
 def recommended(builder: SparkSession.Builder) -> SparkSession.Builder:
@@ -67,14 +68,26 @@ def _hadoop(spark: SparkSession, path: str):
 
 
 @contextmanager
-def _shuffles_removed(spark: SparkSession):
-    """Shuffle files of the writes inside go as soon as each write has ended."""
-    before = spark.conf.get(FILE_CLEANUP, "false")
-    spark.conf.set(FILE_CLEANUP, "true")
+def _with_setting(spark: SparkSession, key: str, value: str, default: str):
+    before = spark.conf.get(key, default)
+    spark.conf.set(key, value)
     try:
         yield
     finally:
-        spark.conf.set(FILE_CLEANUP, before)
+        spark.conf.set(key, before)
+
+
+def _shuffles_removed(spark: SparkSession):
+    """Shuffle files of the writes inside go as soon as each write has ended."""
+    return _with_setting(spark, FILE_CLEANUP, "true", "false")
+
+
+def _buckets_unsorted(spark: SparkSession):
+    """Rows of the bucketed writes inside go to the file of their bucket as they come.
+
+    Spark sorts them by bucket otherwise, bodies included, though here a task has one bucket only.
+    """
+    return _with_setting(spark, OPEN_WRITERS, "2", "0")
 
 
 def staged(df: DataFrame, label: str, partition_by: str | None = None) -> DataFrame:
@@ -111,7 +124,7 @@ def bucketed(
     path = path or staging_path(spark, label)
     count = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     name = name or f"pagegraph_{uuid.uuid4().hex}"
-    with _shuffles_removed(spark):
+    with _shuffles_removed(spark), _buckets_unsorted(spark):
         df.repartition(count, *by).write.bucketBy(count, *by).option("path", path).saveAsTable(name)
     return spark.table(name)
 

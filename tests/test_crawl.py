@@ -1,17 +1,21 @@
 """Traversal and crawl against small graphs and a plain queue."""
 
 import random
+import re
 from collections import deque
 
 import pytest
 from pyspark.sql import functions as F
 
+from pagegraph import session
 from pagegraph.operators.corpus import corpus_facts, corpus_of, write_corpus, write_facts
 from pagegraph.operators.counts import Counts
 from pagegraph.operators.crawl import crawl
 from pagegraph.operators.extract import with_split_links
 from pagegraph.operators.shape import crawl_rows, dedupe_pages, scrape, scrape_all
 from pagegraph.operators.traverse import bfs, clamp_depth
+from pagegraph.plans import derived
+from pagegraph.session import bucketed
 from pagegraph.sources.responses import read_responses, read_seeds
 
 HOME = "https://example.com/"
@@ -235,6 +239,44 @@ def test_repeats_are_sought_without_a_shuffle(spark):
     assert "Exchange" not in plan and "Bucketed: true" in plan and "html" not in plan
 
 
+def test_pages_are_laid_out_unhashed(spark):
+    """Bodies are hashed where a URL is repeated only; the table has no hash to write."""
+    pages = site(spark, GRAPH)
+    for corpus in (write_corpus(pages), write_corpus(pages.unionByName(pages))):
+        assert spark.read.parquet(*corpus.pages.inputFiles()).columns == ["requested_url", "status", "final_url", "html"]
+        assert corpus.pages.count() == len(GRAPH)
+
+
+def test_buckets_are_written_without_a_sort(spark):
+    """A task of a bucketed write has one bucket, so its rows, bodies included, need no sort."""
+    spark.sql("CREATE TABLE unsorted_buckets (url STRING, html STRING) USING parquet CLUSTERED BY (url) INTO 4 BUCKETS")
+    write = "EXPLAIN INSERT INTO unsorted_buckets SELECT /*+ REPARTITION(4, url) */ 'u' || id AS url, 'h' AS html FROM range(9)"
+    try:
+        with session._buckets_unsorted(spark):
+            plan = spark.sql(write).first()[0]
+        assert "WriteFiles" in plan and "Sort" not in plan
+        assert "Sort" in spark.sql(write).first()[0]
+    finally:
+        spark.sql("DROP TABLE unsorted_buckets")
+    table = bucketed(spark.range(100), "numbers", ["id"], 4)
+    assert sorted(r.id for r in table.collect()) == list(range(100))
+    assert spark.conf.get(session.OPEN_WRITERS, "0") == "0"
+
+
+def test_lines_of_orders_are_grouped_after_their_shuffle(spark, tmp_path):
+    """Scattered lines go to their order as they are; equal ones count once, in order."""
+    orders = [(1, 7, "O", "5-LOW"), (2, 8, "O", "1-URGENT"), (3, 9, "P", "5-LOW")]
+    lines = [(1, 5, 2), (1, 4, 9), (1, 5, 2), (None, 6, 1), (3, 1, 1)]
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_orderstatus string, o_orderpriority string").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.createDataFrame(lines, "l_orderkey long, l_partkey long, l_suppkey long").write.parquet(f"{tmp_path}/lineitem.parquet")
+    pages = derived.order_pages(spark, str(tmp_path))
+    shown = {r.url.rsplit("/", 1)[1]: r.html and re.findall(r"/img/(\d+)", r.html) for r in pages.collect()}
+    assert shown == {"1": ["4", "5"], "2": [], "3": None}
+    plan = pages._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+    below = plan[plan.rindex("hashpartitioning(l_orderkey") :]
+    assert "collect_set" in plan and "collect_set" not in below
+
+
 def test_laid_out_corpora_give_the_same(spark):
     pages = GRAPH | {"z": (200, HOME + "a", links("/c")), "gone": (404, None, None)}
     responses, seeds = site(spark, pages), seeds_of(spark, HOME, HOME + "b", HOME + "z", HOME + "none")
