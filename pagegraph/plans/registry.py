@@ -28,7 +28,7 @@ from pagegraph.operators.traverse import MAX_DEPTH, bfs
 from pagegraph.plans import derived
 from pagegraph.plans.derived import table
 from pagegraph.plans.jobs import attempt_responses
-from pagegraph.session import staged, staging_path
+from pagegraph.session import passing, staged, staging_path
 from pagegraph.sources.ndjson import parse_lines, read_ndjson, write_ndjson, write_ndjson_counted, write_posts
 from pagegraph.sources.responses import read_attempts, read_responses, read_seeds
 from pagegraph.streaming import streams
@@ -234,9 +234,9 @@ def _scrape_shops(target: str) -> Callable[[SparkSession, str], DataFrame]:
     return lambda spark, sf_dir: scrape(shop_crawl(spark, sf_dir, fields=TARGET_FACTS[target]), target)
 
 
-def _written(frame: DataFrame, label: str) -> str:
+def _written(frame: DataFrame, label: str, compressed: bool = False) -> str:
     path = staging_path(frame.sparkSession, label)
-    write_ndjson(frame, path)
+    write_ndjson(frame, path, compressed)
     return path
 
 
@@ -259,11 +259,18 @@ def summary_by_file(spark, sf_dir):
 
 
 def mixed_rows(spark, sf_dir) -> DataFrame:
-    """Crawl rows, scrape rows of every target and post rows of derived pages."""
-    visits = staged(shop_crawl(spark, sf_dir), "visits")
+    """Crawl rows, scrape rows of every target and post rows of derived pages.
+
+    Tables go as soon as nothing reads them: those of the crawl once its visits are written,
+    the visits once their rows are. Scrapes come first, as their grouping takes most room.
+    """
     posts = post_metadata(read_responses(derived.post_pages(spark, sf_dir), final_as_given=True))
-    frames = {"crawl": crawl_rows(visits), "posts": posts, "scrapes": scrape_all(visits)}
-    return read_ndjson(spark, [_written(frame.drop("seed"), label) for label, frame in frames.items()])
+    with passing(spark) as block:
+        with passing(spark):
+            visits = block.keep(shop_crawl(spark, sf_dir), "visits")
+        frames = {"scrapes": scrape_all(visits), "crawl": crawl_rows(visits), "posts": posts}
+        paths = [_written(frame.drop("seed"), label, compressed=True) for label, frame in frames.items()]
+    return read_ndjson(spark, paths)
 
 
 def summary_mixed(spark, sf_dir):

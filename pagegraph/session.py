@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -77,7 +78,7 @@ def _with_setting(spark: SparkSession, key: str, value: str, default: str):
         spark.conf.set(key, before)
 
 
-def _shuffles_removed(spark: SparkSession):
+def shuffles_removed(spark: SparkSession):
     """Shuffle files of the writes inside go as soon as each write has ended."""
     return _with_setting(spark, FILE_CLEANUP, "true", "false")
 
@@ -97,14 +98,18 @@ def staged(df: DataFrame, label: str, partition_by: str | None = None) -> DataFr
     planner the true size of the table: it broadcasts the table while that size
     is under ``spark.sql.autoBroadcastJoinThreshold`` and shuffles it beyond.
     With ``partition_by`` the rows of each value lie in a folder of their own.
+    Inside ``passing`` it goes when that block ends, else with the application.
     """
+    block = _PASSING.get()
+    if block is not None:
+        return block.keep(df, label, partition_by)
     return _written(df, staging_path(df.sparkSession, label), partition_by)
 
 
 def _written(df: DataFrame, path: str, partition_by: str | None) -> DataFrame:
     spark = df.sparkSession
     writer = df.write.partitionBy(partition_by) if partition_by else df.write
-    with _shuffles_removed(spark):
+    with shuffles_removed(spark):
         writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -118,13 +123,17 @@ def bucketed(
     other side is shuffled, into as many parts. ``buckets`` is the number of shuffle
     partitions unless given; a table to be joined by others needs about one a core and
     some 200 MB at most. Its entry in the session's catalog, ``name``, is an external table:
-    a catalog that outlives the session keeps the entry until it is dropped.
+    a catalog that outlives the session keeps the entry until it is dropped. Inside
+    ``passing`` a table without a path of its own goes when that block ends.
     """
+    block = _PASSING.get()
+    if block is not None and path is None:
+        return block.bucketed(df, label, by, buckets)
     spark = df.sparkSession
     path = path or staging_path(spark, label)
     count = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     name = name or f"pagegraph_{uuid.uuid4().hex}"
-    with _shuffles_removed(spark), _buckets_unsorted(spark):
+    with shuffles_removed(spark), _buckets_unsorted(spark):
         df.repartition(count, *by).write.bucketBy(count, *by).option("path", path).saveAsTable(name)
     return spark.table(name)
 
@@ -152,3 +161,22 @@ class Staging:
         for path in self.paths:
             drop_path(self.spark, path)
         self.paths, self.tables = [], []
+
+
+_PASSING: ContextVar[Staging | None] = ContextVar("passing", default=None)
+
+
+@contextmanager
+def passing(spark: SparkSession):
+    """What is ``staged`` or ``bucketed`` inside is removed when the block ends, also when it fails.
+
+    For steps whose result is written before that: nothing may read their tables later.
+    The block's ``keep`` writes a table that an inner block leaves for it.
+    """
+    block = Staging(spark)
+    before = _PASSING.set(block)
+    try:
+        yield block
+    finally:
+        _PASSING.reset(before)
+        block.drop()

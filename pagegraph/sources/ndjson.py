@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from pagegraph.functions.text import trim_unicode
 from pagegraph.operators.counts import Counts, how_many, watched
-from pagegraph.session import staged
+from pagegraph.session import shuffles_removed, staged
 
 
 def parse_lines(lines: DataFrame, *keep: Column) -> DataFrame:
@@ -49,11 +49,18 @@ def rejected_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return parse_lines(spark.read.text(path)).filter(F.col("v").isNull()).select("line")
 
 
-def write_ndjson(df: DataFrame, path: str) -> None:
+#: Rows of a compressed file at most: one task reads it whole.
+ROWS_A_FILE = 500_000
+
+
+def write_ndjson(df: DataFrame, path: str, compressed: bool = False) -> None:
     """Overwrite ``path`` with one JSON object per row: columns in order, nulls
-    written out, text as it is."""
+    written out, text as it is. ``compressed`` files (gzip) are read back like plain ones."""
     writer = df.write.mode("overwrite").option("ignoreNullFields", "false").option("lineSep", "\n")
-    writer.json(path)
+    if compressed:
+        writer = writer.option("compression", "gzip").option("maxRecordsPerFile", ROWS_A_FILE)
+    with shuffles_removed(df.sparkSession):
+        writer.json(path)
 
 
 def write_ndjson_counted(df: DataFrame, path: str) -> int:

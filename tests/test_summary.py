@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from pagegraph.functions.variants import truthy_json
 from pagegraph.operators.summary import REPORT_LINES, summarize, summary_report
+from pagegraph.sources import ndjson
 from pagegraph.sources.ndjson import (
     read_ndjson,
     rejected_lines,
@@ -133,6 +134,19 @@ def test_written_rows(spark, tmp_path):
     assert len(written_lines(path)) == 2
 
 
+def test_compressed_rows_come_back_from_several_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(ndjson, "ROWS_A_FILE", 2)
+    path = str(tmp_path / "out")
+    df = spark.createDataFrame([(f"é{i}\n", None) for i in range(5)], "url string, title string").coalesce(1)
+    write_ndjson(df, path, compressed=True)
+    files = [f for f in os.listdir(path) if f.startswith("part-")]
+    assert len(files) == 3 and all(f.endswith(".json.gz") for f in files)
+    found = read_ndjson(spark, path).select(F.col("v").cast("string").alias("line")).collect()
+    assert sorted(json.loads(r.line)["url"] for r in found) == [f"é{i}\n" for i in range(5)]
+    write_ndjson(df, path)
+    assert len(written_lines(path)) == 5
+
+
 def test_posts_without_rows_write_nothing(spark, tmp_path):
     posts = spark.createDataFrame([("p",)], "url string")
     write_posts(posts.limit(0), str(tmp_path / "none"))
