@@ -258,6 +258,10 @@ def summary_by_file(spark, sf_dir):
     return summarize(rows.withColumn("run", label).drop("file"), ["run"])
 
 
+#: Values of scrapes are grouped for one such part of the seeds after the other: a shuffle holds only that.
+SEED_PARTS = 2
+
+
 def mixed_rows(spark, sf_dir) -> DataFrame:
     """Crawl rows, scrape rows of every target and post rows of derived pages.
 
@@ -268,8 +272,10 @@ def mixed_rows(spark, sf_dir) -> DataFrame:
     with passing(spark) as block:
         with passing(spark):
             visits = block.keep(shop_crawl(spark, sf_dir), "visits")
-        frames = {"scrapes": scrape_all(visits), "crawl": crawl_rows(visits), "posts": posts}
-        paths = [_written(frame.drop("seed"), label, compressed=True) for label, frame in frames.items()]
+        part = F.pmod(F.xxhash64("seed"), F.lit(SEED_PARTS))
+        frames = [("scrapes", scrape_all(visits.filter(part == i))) for i in range(SEED_PARTS)]
+        frames += [("crawl", crawl_rows(visits)), ("posts", posts)]
+        paths = [_written(frame.drop("seed"), label, compressed=True) for label, frame in frames]
     return read_ndjson(spark, paths)
 
 

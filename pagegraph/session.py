@@ -27,6 +27,7 @@ RECOMMENDED = {
 
 FILE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 OPEN_WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
+PARQUET_CODEC = "spark.sql.parquet.compression.codec"
 
 
 def recommended(builder: SparkSession.Builder) -> SparkSession.Builder:
@@ -171,12 +172,14 @@ def passing(spark: SparkSession):
     """What is ``staged`` or ``bucketed`` inside is removed when the block ends, also when it fails.
 
     For steps whose result is written before that: nothing may read their tables later.
-    The block's ``keep`` writes a table that an inner block leaves for it.
+    The block's ``keep`` writes a table that an inner block leaves for it. Tables written
+    inside are compressed with zstd, as several lie side by side.
     """
     block = Staging(spark)
     before = _PASSING.set(block)
     try:
-        yield block
+        with _with_setting(spark, PARQUET_CODEC, "zstd", "snappy"):
+            yield block
     finally:
         _PASSING.reset(before)
         block.drop()

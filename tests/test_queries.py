@@ -8,7 +8,7 @@ import pytest
 import __spark_entry__ as entry
 from pagegraph.plans.derived import order_pages
 from pagegraph.plans.oracles import ORACLES
-from pagegraph.plans.registry import QUERIES
+from pagegraph.plans.registry import QUERIES, SEED_PARTS
 from pagegraph.session import bucketed, passing, staged, staging_dir
 from tests.oracle_check import actual, connect, expected
 
@@ -79,7 +79,7 @@ def test_mixed_rows_leave_only_compressed_ndjson(spark, shop_dir):
     files, tables = _staged_now(spark), _tables_now(spark)
     columns, rows = actual(spark, shop_dir, "summary_mixed")
     left = _staged_now(spark) - files
-    assert sorted(name.rpartition("-")[0] for name in left) == ["crawl", "posts", "scrapes"]
+    assert sorted(name.rpartition("-")[0] for name in left) == ["crawl", "posts", *["scrapes"] * SEED_PARTS]
     for name in left:
         parts = [f for f in os.listdir(f"{staging_dir(spark)}/pagegraph/{name}") if f.startswith("part-")]
         assert parts and all(f.endswith(".json.gz") for f in parts)
